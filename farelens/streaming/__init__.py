@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The study reads files in batch and has no stream source, watermark, window or
+state, so nothing is built here. Every operator in ``farelens.operators`` is a
+plain DataFrame function; the stateless ones (features, filters, error
+columns) also apply unchanged to a ``readStream`` DataFrame.
+"""
