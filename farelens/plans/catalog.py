@@ -12,10 +12,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import distributions as ds
+from ..operators import errors as er
 from ..operators import features as fe
-from ..params import DEFAULT
+from ..operators import models as md
+from ..operators import profile as pr
+from ..operators import quality as qu
+from ..operators import quantiles as qn
+from ..params import DEFAULT, FEATURE_COLS, ROW_CAP, SAMPLE_ROWS, TOP_K
 from . import stages as st
 
+DEFAULT_ROW_CAP = ROW_CAP
+DEFAULT_TOP_K = TOP_K
+DEFAULT_SAMPLE_ROWS = SAMPLE_ROWS
+IQR_COLS = ("fare_amount", "distance_km")
+CORR_COLS = ("fare_amount", *FEATURE_COLS)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ROWS_ONLY: set[str] = set()
@@ -67,3 +79,239 @@ def q_filter_accounting(spark, sf_dir):
 @register("hourly_fare")
 def q_hourly_fare(spark, sf_dir):
     return st.round_doubles(fe.hourly_fares(st.features(spark, sf_dir)))
+
+
+# --- K4, G3: caps, samples, split -------------------------------------------
+
+
+@register("row_cap", rows_only=True)
+def q_row_cap(spark, sf_dir):
+    return st.round_doubles(fe.row_cap(st.features(spark, sf_dir), DEFAULT_ROW_CAP))
+
+
+@register("hash_sample", rows_only=True)
+def q_hash_sample(spark, sf_dir):
+    return st.round_doubles(fe.hash_sample(st.features(spark, sf_dir), 0.5))
+
+
+@register("train_test_split", rows_only=True)
+def q_train_test_split(spark, sf_dir):
+    train, test = fe.train_test_split(st.features(spark, sf_dir))
+    return train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part"))).groupBy(
+        "part"
+    ).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --- A1-A3, G1-G2, P8-P9, A20: quality --------------------------------------
+
+
+@register("row_counts")
+def q_row_counts(spark, sf_dir):
+    t = st.trips_ts(spark, sf_dir)
+    r = st.raw(spark, sf_dir)
+    return qu.row_counts({"trips": t, "deduplicated": r, "valid_trips": fe.valid_trips(r)})
+
+
+@register("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    return qu.duplicate_keys(st.trips_ts(spark, sf_dir))
+
+
+@register("distinct_keys")
+def q_distinct_keys(spark, sf_dir):
+    return qu.distinct_keys(st.trips_ts(spark, sf_dir))
+
+
+@register("dedup_keys")
+def q_dedup_keys(spark, sf_dir):
+    return st.round_doubles(st.raw(spark, sf_dir))
+
+
+@register("quality_report")
+def q_quality_report(spark, sf_dir):
+    return st.round_doubles(qu.quality_report(st.raw(spark, sf_dir)))
+
+
+@register("outside_box")
+def q_outside_box(spark, sf_dir):
+    return st.round_doubles(qu.outside_box(st.profile(spark, sf_dir)))
+
+
+# --- A4-A6, A14-A16, S6: profile ---------------------------------------------
+
+
+@register("missing_values")
+def q_missing_values(spark, sf_dir):
+    return st.round_doubles(pr.missing_values(st.profile(spark, sf_dir)))
+
+
+@register("numeric_min_max")
+def q_numeric_min_max(spark, sf_dir):
+    return st.round_doubles(pr.numeric_min_max(st.profile(spark, sf_dir)))
+
+
+@register("numeric_avg_std")
+def q_numeric_avg_std(spark, sf_dir):
+    return st.round_doubles(pr.numeric_avg_std(st.profile(spark, sf_dir)))
+
+
+@register("quantiles_approx", rows_only=True)
+def q_quantiles_approx(spark, sf_dir):
+    return qn.approx_quantiles(
+        st.profile(spark, sf_dir), list(IQR_COLS), list(DEFAULT.quantile_probs), DEFAULT.quantile_rel_error
+    )
+
+
+@register("quantiles_exact")
+def q_quantiles_exact(spark, sf_dir):
+    return st.round_doubles(
+        qn.exact_quantiles(st.profile(spark, sf_dir), list(IQR_COLS), [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0])
+    )
+
+
+@register("iqr_exact")
+def q_iqr_exact(spark, sf_dir):
+    return st.round_doubles(pr.iqr_report(st.profile(spark, sf_dir), list(IQR_COLS), method="exact"))
+
+
+@register("iqr_approx", rows_only=True)
+def q_iqr_approx(spark, sf_dir):
+    return pr.iqr_report(st.profile(spark, sf_dir), list(IQR_COLS), method="approx")
+
+
+@register("correlation")
+def q_correlation(spark, sf_dir):
+    return st.round_doubles(pr.correlation(st.profile(spark, sf_dir), list(CORR_COLS), nulls="zero"))
+
+
+@register("correlation_skip")
+def q_correlation_skip(spark, sf_dir):
+    return st.round_doubles(pr.correlation(st.profile(spark, sf_dir), list(CORR_COLS), nulls="skip"))
+
+
+@register("profile_summary")
+def q_profile_summary(spark, sf_dir):
+    return st.round_doubles(pr.profile_summary(st.profile(spark, sf_dir), method="exact"))
+
+
+# --- A7-A13: distributions ---------------------------------------------------
+
+
+@register("hour_distribution")
+def q_hour_distribution(spark, sf_dir):
+    return ds.value_distribution(st.profile(spark, sf_dir), "pickup_hour")
+
+
+@register("passenger_distribution")
+def q_passenger_distribution(spark, sf_dir):
+    return ds.passenger_distribution(st.profile(spark, sf_dir))
+
+
+@register("monthly_trips")
+def q_monthly_trips(spark, sf_dir):
+    return ds.monthly_trips(st.profile(spark, sf_dir))
+
+
+@register("hist_fare")
+def q_hist_fare(spark, sf_dir):
+    p = DEFAULT
+    return st.round_doubles(ds.histogram(st.profile(spark, sf_dir), "fare_amount", p.fare_bin_width, 0.0, p.heat_fare_max))
+
+
+@register("hist_distance")
+def q_hist_distance(spark, sf_dir):
+    p = DEFAULT
+    return st.round_doubles(
+        ds.histogram(st.profile(spark, sf_dir), "distance_km", p.distance_bin_width, 0.0, p.heat_distance_max)
+    )
+
+
+@register("hist_fare_data_range")
+def q_hist_fare_data_range(spark, sf_dir):
+    return st.round_doubles(ds.histogram(st.profile(spark, sf_dir), "fare_amount", DEFAULT.fare_bin_width))
+
+
+@register("pickup_heatmap")
+def q_pickup_heatmap(spark, sf_dir):
+    p = DEFAULT
+    return st.round_doubles(
+        ds.geo_heatmap(st.profile(spark, sf_dir), "pickup_longitude", "pickup_latitude", p.pickup_box, p.geo_bin_size)
+    )
+
+
+@register("dropoff_heatmap")
+def q_dropoff_heatmap(spark, sf_dir):
+    p = DEFAULT
+    return st.round_doubles(
+        ds.geo_heatmap(st.profile(spark, sf_dir), "dropoff_longitude", "dropoff_latitude", p.dropoff_box, p.geo_bin_size)
+    )
+
+
+@register("fare_distance_heatmap")
+def q_fare_distance_heatmap(spark, sf_dir):
+    return st.round_doubles(ds.fare_distance_heatmap(st.profile(spark, sf_dir)))
+
+
+@register("heatmap_pivot")
+def q_heatmap_pivot(spark, sf_dir):
+    p = DEFAULT
+    heat = ds.geo_heatmap(st.profile(spark, sf_dir), "pickup_longitude", "pickup_latitude", p.pickup_box, p.geo_bin_size)
+    labels = ds.axis_labels(p.pickup_box.lon[0], p.pickup_box.lon[1], p.geo_bin_size)
+    return st.round_doubles(ds.heatmap_pivot(heat, "lat_bin", "lat_center", "lon_bin", labels))
+
+
+# --- M10, A17-A19, P12-P13, K2, K5, M7, M11: errors and metrics ---------------
+
+
+def _result(spark, sf_dir):
+    return er.prediction_errors(st.scored(spark, sf_dir))
+
+
+@register("prediction_errors")
+def q_prediction_errors(spark, sf_dir):
+    return st.round_doubles(_result(spark, sf_dir))
+
+
+@register("error_categories")
+def q_error_categories(spark, sf_dir):
+    return st.round_doubles(er.error_categories(_result(spark, sf_dir)))
+
+
+@register("error_summary")
+def q_error_summary(spark, sf_dir):
+    return st.round_doubles(er.error_summary(_result(spark, sf_dir), median="exact"))
+
+
+@register("error_summary_approx", rows_only=True)
+def q_error_summary_approx(spark, sf_dir):
+    return er.error_summary(_result(spark, sf_dir), median="approx")
+
+
+@register("error_describe")
+def q_error_describe(spark, sf_dir):
+    return st.round_doubles(er.error_describe(_result(spark, sf_dir)))
+
+
+@register("best_predictions")
+def q_best_predictions(spark, sf_dir):
+    return st.round_doubles(er.best_predictions(_result(spark, sf_dir), DEFAULT_TOP_K))
+
+
+@register("worst_predictions")
+def q_worst_predictions(spark, sf_dir):
+    return st.round_doubles(er.worst_predictions(_result(spark, sf_dir), DEFAULT_TOP_K))
+
+
+@register("sample_rows", rows_only=True)
+def q_sample_rows(spark, sf_dir):
+    return er.sample_rows(_result(spark, sf_dir), DEFAULT_SAMPLE_ROWS)
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    return st.round_doubles(md.regression_metrics(st.scored(spark, sf_dir)))
+
+
+@register("baseline_improvement")
+def q_baseline_improvement(spark, sf_dir):
+    return st.round_doubles(md.baseline_improvement(md.regression_metrics(st.scored(spark, sf_dir))))

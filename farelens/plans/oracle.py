@@ -159,3 +159,413 @@ assert tuple(FEATURE_COLS) == (
     "passenger_count",
     "distance_km",
 )
+
+
+# --- quality ------------------------------------------------------------------
+
+ORACLE["row_counts"] = with_(*PROF_BASE) + (
+    "SELECT 'trips' AS stage, count(*) AS rows FROM trips_ts "
+    "UNION ALL SELECT 'deduplicated' AS stage, count(*) AS rows FROM raw "
+    f"UNION ALL SELECT 'valid_trips' AS stage, count(*) AS rows FROM raw WHERE {VALID}"
+)
+
+ORACLE["duplicate_keys"] = with_(*BASE) + (
+    "SELECT rows, distinct_keys, rows - distinct_keys AS duplicate_rows FROM ("
+    "SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT key FROM trips_ts) k) AS distinct_keys "
+    "FROM trips_ts) z"
+)
+
+ORACLE["distinct_keys"] = with_(*BASE) + "SELECT DISTINCT key FROM trips_ts"
+
+ORACLE["dedup_keys"] = with_(*RAW_BASE) + (
+    "SELECT key, round(fare_amount, 6) AS fare_amount, pickup_datetime, "
+    "round(pickup_longitude, 6) AS pickup_longitude, round(pickup_latitude, 6) AS pickup_latitude, "
+    "round(dropoff_longitude, 6) AS dropoff_longitude, round(dropoff_latitude, 6) AS dropoff_latitude, "
+    "passenger_count, pickup_datetime_ts FROM raw"
+)
+
+_REQ = (
+    "fare_amount",
+    "pickup_datetime_ts",
+    "pickup_longitude",
+    "pickup_latitude",
+    "dropoff_longitude",
+    "dropoff_latitude",
+    "passenger_count",
+)
+_QCHECKS = [
+    ("fare_negative_rows", "fare_amount < 0"),
+    (
+        "passenger_count_out_of_range",
+        f"passenger_count < {P.passenger_min} OR passenger_count > {P.passenger_max} OR passenger_count IS NULL",
+    ),
+    ("geo_out_of_bounds_rows", f"NOT {loose_ok()}"),
+] + [(f"{c}_nulls", f"{c} IS NULL") for c in _REQ]
+
+ORACLE["quality_report"] = (
+    with_(
+        *RAW_BASE,
+        "\nq AS (SELECT count(*) AS total_rows, "
+        + ", ".join(f"sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS {name}" for name, cond in _QCHECKS)
+        + " FROM raw)",
+    )
+    + "SELECT 'total_rows' AS \"check\", total_rows AS rows, "
+    "CASE WHEN total_rows > 0 THEN CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS pct FROM q"
+    + "".join(
+        f" UNION ALL SELECT '{name}' AS \"check\", CAST({name} AS BIGINT) AS rows, "
+        f"round(CASE WHEN total_rows > 0 THEN {name} * CAST(100 AS DOUBLE) / total_rows ELSE 0 END, 6) AS pct FROM q"
+        for name, _ in _QCHECKS
+    )
+)
+
+
+def _box_ok(lon: str, lat: str, box) -> str:
+    return (
+        f"({lon} BETWEEN {d(box.lon[0])} AND {d(box.lon[1])} AND {lat} BETWEEN {d(box.lat[0])} AND {d(box.lat[1])})"
+    )
+
+
+ORACLE["outside_box"] = with_(*PROF_BASE) + (
+    "SELECT total_rows, pickup_outside, dropoff_outside, "
+    "round(pickup_outside / total_rows, 6) AS pickup_outside_share, "
+    "round(dropoff_outside / total_rows, 6) AS dropoff_outside_share FROM ("
+    "SELECT count(*) AS total_rows, "
+    f"CAST(sum(CASE WHEN NOT {_box_ok('pickup_longitude', 'pickup_latitude', P.pickup_box)} THEN 1 ELSE 0 END) AS BIGINT) AS pickup_outside, "
+    f"CAST(sum(CASE WHEN NOT {_box_ok('dropoff_longitude', 'dropoff_latitude', P.dropoff_box)} THEN 1 ELSE 0 END) AS BIGINT) AS dropoff_outside "
+    "FROM prof) z"
+)
+
+# --- profile ------------------------------------------------------------------
+
+# profile frame columns and their kinds, written out for the oracle
+_KINDS = [
+    ("key", "string"),
+    ("fare_amount", "numeric"),
+    ("pickup_datetime", "string"),
+    ("pickup_longitude", "numeric"),
+    ("pickup_latitude", "numeric"),
+    ("dropoff_longitude", "numeric"),
+    ("dropoff_latitude", "numeric"),
+    ("passenger_count", "numeric"),
+    ("pickup_datetime_ts", "other"),
+    ("distance_km", "numeric"),
+    ("pickup_hour", "numeric"),
+    ("pickup_dow", "numeric"),
+    ("pickup_month", "numeric"),
+    ("pickup_year", "numeric"),
+]
+_NUMERIC = [c for c, k in _KINDS if k == "numeric"]
+_DOUBLES = {"fare_amount", "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude", "distance_km"}
+
+
+def _missing(c: str, kind: str) -> str:
+    if kind == "numeric":
+        return f"{c} IS NULL OR isnan(CAST({c} AS DOUBLE))"
+    if kind == "string":
+        return f"{c} IS NULL OR trim({c}) = ''"
+    return f"{c} IS NULL"
+
+
+ORACLE["missing_values"] = with_(*PROF_BASE) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(sum(CASE WHEN {_missing(c, k)} THEN 1 ELSE 0 END) AS BIGINT) AS missing_count, "
+    f"round(sum(CASE WHEN {_missing(c, k)} THEN 1 ELSE 0 END) * CAST(100 AS DOUBLE) / count(*), 6) AS missing_pct FROM prof"
+    for c, k in _KINDS
+)
+
+
+def _r(expr: str, c: str, alias: str) -> str:
+    return f"round({expr}, 6) AS {alias}" if c in _DOUBLES else f"{expr} AS {alias}"
+
+
+ORACLE["numeric_min_max"] = with_(*PROF_BASE) + (
+    "SELECT "
+    + ", ".join(_r(f"min({c})", c, f"{c}_min") for c in _NUMERIC)
+    + ", "
+    + ", ".join(_r(f"max({c})", c, f"{c}_max") for c in _NUMERIC)
+    + " FROM prof"
+)
+
+ORACLE["numeric_avg_std"] = with_(*PROF_BASE) + (
+    "SELECT "
+    + ", ".join(f"round(avg({c}), 6) AS {c}_avg" for c in _NUMERIC)
+    + ", "
+    + ", ".join(f"round(stddev_samp({c}), 6) AS {c}_std" for c in _NUMERIC)
+    + " FROM prof"
+)
+
+_IQR_COLS = ("fare_amount", "distance_km")
+_EXACT_PROBS = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
+
+ORACLE["quantiles_exact"] = with_(*PROF_BASE) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {d(p)} AS prob, round(quantile_cont({c}, {p!r}), 6) AS value "
+    f"FROM prof WHERE {c} IS NOT NULL AND NOT isnan({c})"
+    for c in _IQR_COLS
+    for p in _EXACT_PROBS
+)
+
+
+def _iqr_cte() -> str:
+    parts = []
+    for c in _IQR_COLS:
+        parts.append(
+            f"SELECT '{c}' AS col, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median, "
+            f"quantile_cont({c}, 0.75) AS q3 FROM prof WHERE {c} IS NOT NULL AND NOT isnan({c})"
+        )
+    fences = (
+        "\nqs AS (" + " UNION ALL ".join(parts) + "),"
+        f"\nfences AS (SELECT col, q1, median, q3, q3 - q1 AS iqr, q1 - {d(P.iqr_factor)} * (q3 - q1) AS lower, "
+        f"q3 + {d(P.iqr_factor)} * (q3 - q1) AS upper FROM qs),"
+    )
+    outl = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST(sum(CASE WHEN p.{c} < f.lower OR p.{c} > f.upper THEN 1 ELSE 0 END) AS BIGINT) AS outliers, "
+        f"count(*) AS total_rows FROM prof p CROSS JOIN (SELECT * FROM fences WHERE col = '{c}') f"
+        for c in _IQR_COLS
+    )
+    return fences + "\nouts AS (" + outl + ")"
+
+
+ORACLE["iqr_exact"] = with_(*PROF_BASE, _iqr_cte()) + (
+    "SELECT f.col AS \"column\", round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, "
+    "round(iqr, 6) AS iqr, round(lower, 6) AS lower, round(upper, 6) AS upper, outliers, "
+    "round(outliers / total_rows, 6) AS outlier_share FROM fences f JOIN outs o ON f.col = o.col"
+)
+
+_CORR_COLS = ("fare_amount",) + tuple(FEATURE_COLS)
+
+
+def _corr_sql(nulls: str) -> str:
+    pairs = [(a, b) for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i:]]
+    aggs = []
+    for k, (a, b) in enumerate(pairs):
+        if nulls == "zero":
+            x, y = f"coalesce(CAST({a} AS DOUBLE), 0)", f"coalesce(CAST({b} AS DOUBLE), 0)"
+        else:
+            x = f"CASE WHEN {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
+            y = f"CASE WHEN {a} IS NOT NULL THEN CAST({b} AS DOUBLE) END"
+        aggs.append(f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0) AS r{k}")
+    index = {}
+    for k, (a, b) in enumerate(pairs):
+        index[(a, b)] = index[(b, a)] = f"r{k}"
+    cells = " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, "
+        f"round(CASE WHEN {index[(a, b)]} IS NULL OR isnan({index[(a, b)]}) THEN 0 ELSE {index[(a, b)]} END, 6) AS corr FROM w"
+        for a in _CORR_COLS
+        for b in _CORR_COLS
+    )
+    return with_(*PROF_BASE, "\nw AS (SELECT " + ", ".join(aggs) + " FROM prof)") + cells
+
+
+ORACLE["correlation"] = _corr_sql("zero")
+ORACLE["correlation_skip"] = _corr_sql("skip")
+
+_MISSING_TOTAL = " + ".join(f"sum(CASE WHEN {_missing(c, k)} THEN 1 ELSE 0 END)" for c, k in _KINDS)
+
+ORACLE["profile_summary"] = with_(
+    *PROF_BASE,
+    _iqr_cte(),
+    "\nbox AS (SELECT count(*) AS total_rows, "
+    f"sum(CASE WHEN NOT {_box_ok('pickup_longitude', 'pickup_latitude', P.pickup_box)} THEN 1 ELSE 0 END) AS po, "
+    f"sum(CASE WHEN NOT {_box_ok('dropoff_longitude', 'dropoff_latitude', P.dropoff_box)} THEN 1 ELSE 0 END) AS dout, "
+    f"{_MISSING_TOTAL} AS miss FROM prof)",
+) + (
+    "SELECT 'total_rows' AS metric, round(CAST(total_rows AS DOUBLE), 6) AS value FROM box "
+    "UNION ALL SELECT 'pickup_outside', round(CAST(po AS DOUBLE), 6) FROM box "
+    "UNION ALL SELECT 'pickup_outside_share', round(po / total_rows, 6) FROM box "
+    "UNION ALL SELECT 'dropoff_outside', round(CAST(dout AS DOUBLE), 6) FROM box "
+    "UNION ALL SELECT 'dropoff_outside_share', round(dout / total_rows, 6) FROM box "
+    "UNION ALL SELECT 'missing_cells', round(CAST(miss AS DOUBLE), 6) FROM box "
+    + "".join(
+        f"UNION ALL SELECT '{s}_iqr_lower', round(lower, 6) FROM fences WHERE col = '{c}' "
+        f"UNION ALL SELECT '{s}_iqr_upper', round(upper, 6) FROM fences WHERE col = '{c}' "
+        f"UNION ALL SELECT '{s}_iqr_outlier_share', round(outliers / total_rows, 6) FROM outs WHERE col = '{c}' "
+        for c, s in (("fare_amount", "fare"), ("distance_km", "distance"))
+    )
+)
+
+# --- distributions ------------------------------------------------------------
+
+ORACLE["hour_distribution"] = with_(*PROF_BASE) + (
+    "SELECT pickup_hour, count(*) AS count FROM prof GROUP BY pickup_hour ORDER BY pickup_hour NULLS FIRST"
+)
+
+ORACLE["passenger_distribution"] = with_(*PROF_BASE) + (
+    "SELECT passenger_count, count(*) AS count FROM prof "
+    f"WHERE passenger_count BETWEEN {P.passenger_min} AND {P.passenger_max} "
+    "GROUP BY passenger_count ORDER BY passenger_count"
+)
+
+ORACLE["monthly_trips"] = with_(*PROF_BASE) + (
+    "SELECT pickup_year, pickup_month, count(*) AS count, "
+    "CASE WHEN pickup_year IS NOT NULL AND pickup_month IS NOT NULL "
+    "THEN CAST(pickup_year AS VARCHAR) || '-' || lpad(CAST(pickup_month AS VARCHAR), 2, '0') END AS label "
+    "FROM prof GROUP BY pickup_year, pickup_month ORDER BY pickup_year NULLS FIRST, pickup_month NULLS FIRST"
+)
+
+
+def _hist_sql(col: str, width: float, lo: float, hi: float) -> str:
+    """Histogram with a fixed range: bins = ceil((hi - lo) / width), ids 0..bins."""
+    import math
+
+    bins = max(1, int(math.ceil((hi - lo) / width)))
+    b = f"floor(({col} - {d(lo)}) / {d(width)})"
+    return with_(*PROF_BASE) + (
+        f"SELECT CAST(bin_id AS INTEGER) AS bin_id, count(*) AS count, "
+        f"round({d(lo)} + bin_id * {d(width)}, 6) AS bin_left, "
+        f"round({d(lo)} + bin_id * {d(width)} + {d(width)}, 6) AS bin_right, "
+        f"round((({d(lo)} + bin_id * {d(width)}) + ({d(lo)} + bin_id * {d(width)} + {d(width)})) / 2, 6) AS bin_mid "
+        f"FROM (SELECT {b} AS bin_id FROM prof WHERE {col} IS NOT NULL) z "
+        f"WHERE bin_id >= 0 AND bin_id <= {bins} GROUP BY bin_id ORDER BY bin_id"
+    )
+
+
+ORACLE["hist_fare"] = _hist_sql("fare_amount", P.fare_bin_width, 0.0, P.heat_fare_max)
+ORACLE["hist_distance"] = _hist_sql("distance_km", P.distance_bin_width, 0.0, P.heat_distance_max)
+
+ORACLE["hist_fare_data_range"] = with_(
+    *PROF_BASE,
+    "\nrng AS (SELECT lo, CASE WHEN hi <= lo THEN lo + 1.0 ELSE hi END AS hi FROM ("
+    "SELECT coalesce(min(fare_amount), 0) AS lo, coalesce(max(fare_amount), 0) AS hi FROM prof "
+    "WHERE NOT isnan(fare_amount)) z),"
+    "\nrb AS (SELECT lo, greatest(1, CAST(ceil((hi - lo) / 1.0) AS INTEGER)) AS bins FROM rng)",
+) + (
+    "SELECT CAST(bin_id AS INTEGER) AS bin_id, count(*) AS count, round(lo + bin_id * 1.0, 6) AS bin_left, "
+    "round(lo + bin_id * 1.0 + 1.0, 6) AS bin_right, "
+    "round(((lo + bin_id * 1.0) + (lo + bin_id * 1.0 + 1.0)) / 2, 6) AS bin_mid "
+    "FROM (SELECT floor((fare_amount - lo) / 1.0) AS bin_id, lo, bins FROM prof CROSS JOIN rb "
+    "WHERE fare_amount IS NOT NULL) z WHERE bin_id >= 0 AND bin_id <= bins GROUP BY bin_id, lo ORDER BY bin_id"
+).replace("1.0", d(P.fare_bin_width))
+
+
+def _geo_sql(lon: str, lat: str, box) -> str:
+    s = d(P.geo_bin_size)
+    return with_(*PROF_BASE) + (
+        f"SELECT lat_bin, lon_bin, count(*) AS count, "
+        f"round({d(box.lon[0])} + (lon_bin + {d(0.5)}) * {s}, 6) AS lon_center, "
+        f"round({d(box.lat[0])} + (lat_bin + {d(0.5)}) * {s}, 6) AS lat_center FROM ("
+        f"SELECT CAST(floor(({lon} - {d(box.lon[0])}) / {s}) AS INTEGER) AS lon_bin, "
+        f"CAST(floor(({lat} - {d(box.lat[0])}) / {s}) AS INTEGER) AS lat_bin FROM prof "
+        f"WHERE {_box_ok(lon, lat, box)}) z GROUP BY lat_bin, lon_bin"
+    )
+
+
+ORACLE["pickup_heatmap"] = _geo_sql("pickup_longitude", "pickup_latitude", P.pickup_box)
+ORACLE["dropoff_heatmap"] = _geo_sql("dropoff_longitude", "dropoff_latitude", P.dropoff_box)
+
+ORACLE["fare_distance_heatmap"] = with_(*PROF_BASE) + (
+    f"SELECT fare_bin, dist_bin, count(*) AS count, "
+    f"round((dist_bin + {d(0.5)}) * {d(P.heat_distance_bin)}, 6) AS dist_center, "
+    f"round((fare_bin + {d(0.5)}) * {d(P.heat_fare_bin)}, 6) AS fare_center FROM ("
+    f"SELECT CAST(floor(distance_km / {d(P.heat_distance_bin)}) AS INTEGER) AS dist_bin, "
+    f"CAST(floor(fare_amount / {d(P.heat_fare_bin)}) AS INTEGER) AS fare_bin FROM prof "
+    f"WHERE distance_km >= 0 AND distance_km <= {d(P.heat_distance_max)} "
+    f"AND fare_amount >= 0 AND fare_amount <= {d(P.heat_fare_max)}) z GROUP BY fare_bin, dist_bin"
+)
+
+
+def _pivot_sql() -> str:
+    import math
+
+    box, s = P.pickup_box, P.geo_bin_size
+    n = int(math.floor((box.lon[1] - box.lon[0]) / s))
+    cols = ", ".join(
+        f"CAST(sum(CASE WHEN lon_bin = {b} THEN cnt ELSE 0 END) AS BIGINT) AS \"{round(box.lon[0] + (b + 0.5) * s, 4)!r}\""
+        for b in range(n + 1)
+    )
+    lon, lat = "pickup_longitude", "pickup_latitude"
+    return with_(*PROF_BASE) + (
+        f"SELECT round({d(box.lat[0])} + (lat_bin + {d(0.5)}) * {d(s)}, 4) AS lat_center, {cols} FROM ("
+        f"SELECT lat_bin, lon_bin, count(*) AS cnt FROM ("
+        f"SELECT CAST(floor(({lon} - {d(box.lon[0])}) / {d(s)}) AS INTEGER) AS lon_bin, "
+        f"CAST(floor(({lat} - {d(box.lat[0])}) / {d(s)}) AS INTEGER) AS lat_bin FROM prof "
+        f"WHERE {_box_ok(lon, lat, box)}) z GROUP BY lat_bin, lon_bin) h GROUP BY lat_bin ORDER BY lat_center DESC"
+    )
+
+
+ORACLE["heatmap_pivot"] = _pivot_sql()
+
+# --- errors and metrics -------------------------------------------------------
+
+SCORED = """
+scored AS (
+  SELECT CASE WHEN l_partkey % 97 = 0 THEN CAST(0 AS DOUBLE)
+              ELSE l_extendedprice / CAST(1000 AS DOUBLE) + CAST(0.000003 AS DOUBLE) END AS label,
+    CASE WHEN l_partkey % 97 = 0 THEN CAST(0 AS DOUBLE)
+         ELSE l_extendedprice / CAST(1000 AS DOUBLE) + CAST(0.000003 AS DOUBLE) END
+      + CAST((l_suppkey * 7 + l_partkey * 3) % 2400 - 1200 AS DOUBLE) / CAST(100 AS DOUBLE)
+      + CAST(0.000001 AS DOUBLE) AS prediction
+  FROM lineitem
+),
+res AS (
+  SELECT round(label, 2) AS label, round(prediction, 2) AS prediction, round(prediction - label, 2) AS error,
+    round(abs(prediction - label), 2) AS absolute_error,
+    round(abs(prediction - label) / nullif(label, 0) * 100, 2) AS percentage_error
+  FROM scored
+)"""
+
+_RES_COLS = "label, prediction, error, absolute_error, percentage_error"
+
+ORACLE["prediction_errors"] = with_(SCORED) + f"SELECT {_RES_COLS} FROM res"
+
+_CAT = (
+    "CASE WHEN absolute_error < 1.0 THEN 'Excellent (<$1)' WHEN absolute_error < 2.0 THEN 'Good ($1-$2)' "
+    "WHEN absolute_error < 5.0 THEN 'Fair ($2-$5)' WHEN absolute_error < 10.0 THEN 'Poor ($5-$10)' "
+    "ELSE 'Very Poor (>$10)' END"
+)
+
+ORACLE["error_categories"] = with_(SCORED) + (
+    f"SELECT error_category, count(*) AS count, round(round(count(*) / sum(count(*)) OVER () * 100, 2), 6) AS percentage "
+    f"FROM (SELECT {_CAT} AS error_category FROM res) z GROUP BY error_category ORDER BY count DESC"
+)
+
+ORACLE["error_summary"] = with_(SCORED) + (
+    "SELECT count(*) AS total_predictions, round(avg(abs(error)), 6) AS mean_absolute_error, "
+    "round(quantile_cont(absolute_error, 0.5), 6) AS median_absolute_error, "
+    "round(max(absolute_error), 6) AS max_error, round(min(absolute_error), 6) AS min_error, "
+    "round(avg(percentage_error), 6) AS mean_percentage_error, "
+    + ", ".join(
+        f"CAST(sum(CASE WHEN absolute_error < {t} THEN 1 ELSE 0 END) AS BIGINT) AS predictions_within_{n}"
+        for t, n in ((1.0, "1_dollar"), (2.0, "2_dollars"), (5.0, "5_dollars"))
+    )
+    + ", "
+    + ", ".join(
+        f"round(round(sum(CASE WHEN absolute_error < {t} THEN 1 ELSE 0 END) / count(*) * 100, 2), 6) AS pct_within_{n}"
+        for t, n in ((1.0, "1_dollar"), (2.0, "2_dollars"), (5.0, "5_dollars"))
+    )
+    + " FROM res"
+)
+
+ORACLE["error_describe"] = with_(SCORED, "\nw AS (SELECT abs(error) AS a, percentage_error AS p FROM res)") + " UNION ALL ".join(
+    f"SELECT '{name}' AS summary, round({fa}, 6) AS abs_error, round({fp}, 6) AS percentage_error FROM w"
+    for name, fa, fp in (
+        ("count", "CAST(count(a) AS DOUBLE)", "CAST(count(p) AS DOUBLE)"),
+        ("mean", "avg(a)", "avg(p)"),
+        ("stddev", "stddev_samp(a)", "stddev_samp(p)"),
+        ("min", "min(a)", "min(p)"),
+        ("max", "max(a)", "max(p)"),
+    )
+)
+
+ORACLE["best_predictions"] = with_(SCORED) + (
+    f"SELECT {_RES_COLS} FROM res ORDER BY absolute_error ASC NULLS FIRST, label ASC NULLS FIRST, "
+    f"prediction ASC NULLS FIRST, error ASC NULLS FIRST, percentage_error ASC NULLS FIRST LIMIT 100"
+)
+
+ORACLE["worst_predictions"] = with_(SCORED) + (
+    f"SELECT {_RES_COLS} FROM res ORDER BY absolute_error DESC NULLS LAST, label ASC NULLS FIRST, "
+    f"prediction ASC NULLS FIRST, error ASC NULLS FIRST, percentage_error ASC NULLS FIRST LIMIT 100"
+)
+
+_METRICS_CTE = (
+    "\nm AS (SELECT sqrt(avg(power(prediction - label, 2))) AS rmse, avg(abs(prediction - label)) AS mae, "
+    "1 - sum(power(prediction - label, 2)) / nullif(var_pop(label) * count(*), 0) AS r2 FROM scored)"
+)
+
+ORACLE["regression_metrics"] = with_(SCORED, _METRICS_CTE) + (
+    "SELECT round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(r2, 6) AS r2 FROM m"
+)
+
+ORACLE["baseline_improvement"] = with_(SCORED, _METRICS_CTE) + " UNION ALL ".join(
+    f"SELECT '{k}' AS metric, round({d(v)}, 6) AS baseline, round({k}, 6) AS measured, "
+    f"round({'(' + d(v) + ' - ' + k + ')' if k != 'r2' else '(' + k + ' - ' + d(v) + ')'} / {d(v)} * 100, 6) AS improvement_pct FROM m"
+    for k, v in P.baseline_linear.items()
+)
