@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from ..operators import models as md
 from ..operators import profile as pr
 from ..operators import quality as qu
 from ..operators import quantiles as qn
-from ..params import DEFAULT, FEATURE_COLS, ROW_CAP, SAMPLE_ROWS, TOP_K
+from ..params import DEFAULT, FEATURE_COLS, ROW_CAP, SAMPLE_ROWS, SMALL_MODELS, TOP_K
 from . import stages as st
 
 DEFAULT_ROW_CAP = ROW_CAP
@@ -315,3 +316,73 @@ def q_regression_metrics(spark, sf_dir):
 @register("baseline_improvement")
 def q_baseline_improvement(spark, sf_dir):
     return st.round_doubles(md.baseline_improvement(md.regression_metrics(st.scored(spark, sf_dir))))
+
+
+# --- M1-M9, M12-M13: models (small sizes; the full sizes stay Params defaults) --
+
+ML = SMALL_MODELS
+
+
+def _vectors(spark, sf_dir):
+    return md.vectorize(st.features(spark, sf_dir), ML)
+
+
+@register("assembled_features", rows_only=True)
+def q_assembled_features(spark, sf_dir):
+    out = md.assembler(ML.feature_cols).transform(st.features(spark, sf_dir))
+    return out.select("label", vector_to_array("features_raw").alias("features"))
+
+
+@register("scaled_features")
+def q_scaled_features(spark, sf_dir):
+    fe_df = st.features(spark, sf_dir)
+    prep = md.prep_pipeline(ML.feature_cols).fit(fe_df)
+    return st.round_doubles(md.scaled_columns(prep, fe_df, ML.feature_cols))
+
+
+@register("fit_linear", rows_only=True)
+def q_fit_linear(spark, sf_dir):
+    _, train, test = _vectors(spark, sf_dir)
+    model = md.fit_linear(train, ML)
+    return md.metrics_long(md.regression_metrics(model.transform(test)), "Linear")
+
+
+@register("fit_forest", rows_only=True)
+def q_fit_forest(spark, sf_dir):
+    _, train, test = _vectors(spark, sf_dir)
+    model = md.fit_forest(train, ML)
+    return md.metrics_long(md.regression_metrics(model.transform(test)), "RF")
+
+
+@register("fit_boosted", rows_only=True)
+def q_fit_boosted(spark, sf_dir):
+    _, train, test = _vectors(spark, sf_dir)
+    model = md.fit_boosted(train, ML)
+    return md.metrics_long(md.regression_metrics(model.transform(test)), "GBT")
+
+
+@register("model_comparison", rows_only=True)
+def q_model_comparison(spark, sf_dir):
+    _, train, test = _vectors(spark, sf_dir)
+    models = {"Linear": md.fit_linear(train, ML), "RF": md.fit_forest(train, ML), "GBT": md.fit_boosted(train, ML)}
+    return md.model_comparison(models, test)
+
+
+@register("tune_forest", rows_only=True)
+def q_tune_forest(spark, sf_dir):
+    _, train, _ = _vectors(spark, sf_dir)
+    _, report = md.tune_forest(train, ML)
+    return report
+
+
+@register("tune_linear", rows_only=True)
+def q_tune_linear(spark, sf_dir):
+    _, train, _ = _vectors(spark, sf_dir)
+    _, report = md.tune_linear(train, ML)
+    return report
+
+
+@register("feature_importance", rows_only=True)
+def q_feature_importance(spark, sf_dir):
+    _, train, _ = _vectors(spark, sf_dir)
+    return md.feature_importance(md.fit_forest(train, ML), ML.feature_cols)

@@ -569,3 +569,16 @@ ORACLE["baseline_improvement"] = with_(SCORED, _METRICS_CTE) + " UNION ALL ".joi
     f"round({'(' + d(v) + ' - ' + k + ')' if k != 'r2' else '(' + k + ' - ' + d(v) + ')'} / {d(v)} * 100, 6) AS improvement_pct FROM m"
     for k, v in P.baseline_linear.items()
 )
+
+# --- models -------------------------------------------------------------------
+
+# z-score with the sample standard deviation; a zero-std feature gives 0
+ORACLE["scaled_features"] = with_(*FEAT_BASE) + (
+    "SELECT round(label, 6) AS label, "
+    + ", ".join(
+        f"round(CASE WHEN stddev_samp({c}) OVER () = 0 OR stddev_samp({c}) OVER () IS NULL THEN 0 "
+        f"ELSE ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END, 6) AS z_{c}"
+        for c in FEATURE_COLS
+    )
+    + " FROM feat"
+)
