@@ -25,10 +25,16 @@ REQUIRED_COLS = (
 
 
 def _long(wide: DataFrame, value_cols: list[str], total_col: str, name: str, value: str) -> DataFrame:
-    """One-row wide counts -> (name, value, pct) rows; pct of ``total_col``."""
-    long = wide.unpivot([total_col], value_cols, name, value)
-    pct = F.when(F.col(total_col) > 0, F.col(value) * F.lit(100.0) / F.col(total_col)).otherwise(F.lit(0.0))
-    return long.select(F.col(name), F.col(value), pct.alias("pct"))
+    """One-row wide counts -> (name, value, pct) rows, the total first
+    (pct 100). A single ``explode`` over the one-row aggregate, so the
+    input is scanned once."""
+    total = F.col(total_col)
+
+    def pct(c):
+        return F.when(total > 0, F.col(c) * F.lit(100.0) / total).otherwise(F.lit(0.0))
+
+    rows = [F.struct(F.lit(c).alias(name), F.col(c).alias(value), pct(c).alias("pct")) for c in [total_col, *value_cols]]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def quality_counts(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
@@ -52,13 +58,7 @@ def quality_report(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """(check, rows, pct) with the total as its own row (pct 100)."""
     wide = quality_counts(df, params)
     checks = [c for c in wide.columns if c != "total_rows"]
-    body = _long(wide, checks, "total_rows", "check", "rows")
-    total = wide.select(
-        F.lit("total_rows").alias("check"),
-        F.col("total_rows").alias("rows"),
-        F.when(F.col("total_rows") > 0, F.lit(100.0)).otherwise(F.lit(0.0)).alias("pct"),
-    )
-    return total.unionByName(body)
+    return _long(wide, checks, "total_rows", "check", "rows")
 
 
 def duplicate_keys(df: DataFrame, key: str = "key") -> DataFrame:

@@ -65,7 +65,10 @@ def _exact_one(df: DataFrame, col: str, probs: list[float], blocks: int) -> Data
     spark = df.sparkSession
     splits = _splits(df, col, blocks)
     counted = _values(df, col).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    bucketed = Bucketizer(splits=splits, inputCol="v", outputCol="blk", handleInvalid="keep").transform(counted)
+    if len(splits) > 2:
+        bucketed = Bucketizer(splits=splits, inputCol="v", outputCol="blk", handleInvalid="keep").transform(counted)
+    else:  # no inner boundary (empty or single-valued input): one block
+        bucketed = counted.withColumn("blk", F.lit(0.0))
 
     totals = bucketed.groupBy("blk").agg(F.sum("c").alias("bc"))  # <= blocks rows
     before = Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
