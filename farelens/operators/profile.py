@@ -101,31 +101,36 @@ def iqr_report(df: DataFrame, cols: list[str], params: Params = DEFAULT, method:
 
 
 def correlation(df: DataFrame, cols: list[str], nulls: str = "zero") -> DataFrame:
-    """Pearson matrix in long form (col_a, col_b, corr), one aggregate pass.
+    """Pearson matrix in long form (col_a, col_b, corr), one scan.
 
     ``nulls="zero"`` reads null as 0, as ``DataFrame.stat.corr`` does;
     ``"skip"`` uses pairwise-complete rows. Zero variance, NaN and null
-    results become 0.0. 28 distinct pairs are computed for 49 cells."""
+    results become 0.0.
+
+    Each row is exploded into its 28 distinct (pair, x, y) tuples and grouped
+    by pair: every group carries a 10-field buffer (covariance + two
+    moments), so the aggregate stays in whole-stage codegen (one aggregate
+    with 28 covariances would exceed ``spark.sql.codegen.maxFields`` and run
+    interpreted), and the partial aggregate sends at most 28 rows per task
+    through the shuffle."""
     base = {c: F.col(c).cast("double") for c in cols}
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    aggs = []
+    tuples = []
     for k, (a, b) in enumerate(pairs):
         x, y = base[a], base[b]
         if nulls == "zero":
             x, y = F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
-        else:
-            x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        aggs.append(guarded_corr(x, y).alias(f"p{k}"))
-    wide = df.agg(*aggs)
-    index = {}
-    for k, (a, b) in enumerate(pairs):
-        index[(a, b)] = index[(b, a)] = f"p{k}"
-    cells = [
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(index[(a, b)]).alias("corr"))
-        for a in cols
-        for b in cols
-    ]
-    return wide.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+        tuples.append(F.struct(F.lit(k).alias("pair"), x.alias("x"), y.alias("y")))
+    long = df.select(F.explode(F.array(*tuples)).alias("t")).select("t.*")
+    if nulls != "zero":
+        long = long.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    per_pair = long.groupBy("pair").agg(guarded_corr(F.col("x"), F.col("y")).alias("corr"))
+    cells = [(a, b, k) for k, (a, b) in enumerate(pairs)] + [(b, a, k) for k, (a, b) in enumerate(pairs) if a != b]
+    cell_df = df.sparkSession.createDataFrame(cells, "col_a string, col_b string, pair int")
+    # every pair is present unless the input is empty; then all cells are 0.0
+    return cell_df.join(F.broadcast(per_pair), "pair", "left").select(
+        "col_a", "col_b", F.coalesce(F.col("corr"), F.lit(0.0)).alias("corr")
+    )
 
 
 def profile_summary(df: DataFrame, params: Params = DEFAULT, method: str = "approx") -> DataFrame:

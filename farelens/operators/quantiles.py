@@ -3,13 +3,17 @@
 Exact quantiles never gather a group's values into one task (Spark's
 ``percentile`` keeps every distinct value of a group in one buffer):
 
-1. ``groupBy(value).count()`` - partial aggregation, so a value holding a
-   third of all rows becomes one row per map task before the shuffle;
-2. approximate splits cut the value range into ``blocks`` ranges
-   (a bounded list of doubles, parameter-sized);
-3. per-block totals (<= blocks rows) give each block's rank offset;
-4. only the blocks that contain a target rank are window-sorted, each holding
-   about ``distinct values / blocks`` rows.
+1. ``groupBy(column, value).count()`` - partial aggregation, so a value
+   holding a third of all rows becomes one row per map task before the
+   shuffle; the (column, value, count) table is persisted, and the input is
+   scanned once for all columns;
+2. the number of blocks follows the distinct count (about 1M distinct values
+   per block, at most 65,536 blocks); approximate quantiles of the distinct
+   values cut the range into blocks (a bounded list of doubles);
+3. per-block totals (<= blocks rows, collected) give each block's rank offset
+   and locate the blocks holding the target ranks;
+4. only those blocks (<= 2 per probability) are window-sorted, by block, and
+   only their rows come back.
 
 The result uses Spark's ``percentile`` interpolation: position ``p * (n - 1)``,
 linear between the values at its floor and ceiling ranks. Null and NaN are
@@ -20,12 +24,15 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-DEFAULT_BLOCKS = 1024
+# a block is window-sorted by one task: aim for about this many distinct values
+TARGET_BLOCK_ROWS = 1_000_000
+MAX_BLOCKS = 65_536
 
 
 def _values(df: DataFrame, col: str) -> DataFrame:
@@ -51,76 +58,113 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], rel_err
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _splits(df: DataFrame, col: str, blocks: int) -> list[float]:
-    """Block boundaries: ``blocks - 1`` approximate quantiles (a bounded list)."""
+def _splits(counted: DataFrame, blocks: int) -> list[float]:
+    """Block boundaries: ``blocks - 1`` approximate quantiles of the distinct
+    values (so blocks hold similar numbers of window rows); a bounded list."""
     if blocks <= 1:
         return [-math.inf, math.inf]
     probs = [i / blocks for i in range(1, blocks)]
-    qs = _values(df, col).approxQuantile("v", probs, 1.0 / (4 * blocks))
+    qs = counted.approxQuantile("v", probs, 1.0 / (4 * blocks))
     inner = sorted({q for q in qs if q is not None and math.isfinite(q)})
     return [-math.inf, *inner, math.inf]
 
 
-def _exact_one(df: DataFrame, col: str, probs: list[float], blocks: int) -> DataFrame:
-    spark = df.sparkSession
-    splits = _splits(df, col, blocks)
-    counted = _values(df, col).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+def _block_count(n_distinct: int, blocks: int | None) -> int:
+    if blocks is not None:
+        return max(1, int(blocks))
+    return int(min(MAX_BLOCKS, max(1, math.ceil(n_distinct / TARGET_BLOCK_ROWS))))
+
+
+def _value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(cid, v, c): count per distinct non-null, non-NaN value of each column,
+    all columns in one scan (partial aggregation before the shuffle)."""
+    tagged = [F.struct(F.lit(i).alias("cid"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]
+    vals = df.select(F.explode(F.array(*tagged)).alias("t")).select("t.*")
+    vals = vals.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    return vals.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _exact_one(counted: DataFrame, n_distinct: int, probs: list[float], blocks: int | None) -> list[tuple]:
+    """[(prob, value)] for one column's (v, c) table; see the module doc."""
+    if n_distinct == 0:
+        return [(float(p), None) for p in probs]
+    splits = _splits(counted, _block_count(n_distinct, blocks))
     if len(splits) > 2:
-        bucketed = Bucketizer(splits=splits, inputCol="v", outputCol="blk", handleInvalid="keep").transform(counted)
-    else:  # no inner boundary (empty or single-valued input): one block
+        bucketed = Bucketizer(splits=splits, inputCol="v", outputCol="blk").transform(counted)
+    else:  # one block
         bucketed = counted.withColumn("blk", F.lit(0.0))
 
-    totals = bucketed.groupBy("blk").agg(F.sum("c").alias("bc"))  # <= blocks rows
-    before = Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("off", F.coalesce(F.sum("bc").over(before), F.lit(0)))
-    n = totals.agg(F.sum("bc").alias("n"))
-
-    prob_rows = spark.createDataFrame(
-        [(float(p),) for p in probs], StructType([StructField("prob", DoubleType(), False)])
+    # block totals: at most ``blocks`` rows
+    totals = sorted((r["blk"], r["bc"]) for r in bucketed.groupBy("blk").agg(F.sum("c").alias("bc")).collect())
+    n = sum(bc for _, bc in totals)
+    offsets, acc = {}, 0
+    for blk, bc in totals:
+        offsets[blk] = (acc, bc)
+        acc += bc
+    # target ranks (0-based) and the block holding each
+    wanted = {}
+    for p in probs:
+        pos = p * (n - 1)
+        for k in {math.floor(pos), math.ceil(pos)}:
+            wanted[k] = next(b for b, (off, bc) in offsets.items() if off <= k < off + bc)
+    # (block, rank inside the block, global rank): <= 2 * len(probs) rows
+    targets = counted.sparkSession.createDataFrame(
+        [(float(blk), int(k - offsets[blk][0]), int(k)) for k, blk in wanted.items()],
+        "blk double, lk bigint, k bigint",
     )
-    targets = (
-        prob_rows.crossJoin(n)
-        .where(F.col("n") > 0)
-        .withColumn("pos", F.col("prob") * (F.col("n") - 1))
-        .withColumn("k", F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos")))))
+    hits = (
+        spark_ranks(bucketed, sorted(set(wanted.values())))
+        .join(F.broadcast(targets), "blk")
+        .where((F.col("run") - F.col("c") <= F.col("lk")) & (F.col("lk") < F.col("run")))
+        .select("k", "v")
+        .collect()
     )
-    # both sides are bounded (len(probs) * 2 rows and <= blocks rows)
-    located = targets.join(
-        offsets, (F.col("k") >= F.col("off")) & (F.col("k") < F.col("off") + F.col("bc"))
-    ).select("prob", "pos", "k", "blk", "off")
+    value_at = {r["k"]: r["v"] for r in hits}
+    out = []
+    for p in probs:
+        pos = p * (n - 1)
+        lo, hi = math.floor(pos), math.ceil(pos)
+        if lo == hi:
+            out.append((float(p), value_at[lo]))
+        else:
+            out.append((float(p), (hi - pos) * value_at[lo] + (pos - lo) * value_at[hi]))
+    return out
+
 
+def spark_ranks(bucketed: DataFrame, target_blocks: list[float]) -> DataFrame:
+    """Running count per block (window partitioned by block, ordered by
+    value), only for the target blocks."""
     upto = Window.partitionBy("blk").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        bucketed.join(F.broadcast(located.select("blk").distinct()), "blk", "left_semi")
-        .withColumn("run", F.sum("c").over(upto))
-    )
-    hit = ranked.join(F.broadcast(located), "blk").where(
-        (F.col("off") + F.col("run") - F.col("c") <= F.col("k")) & (F.col("k") < F.col("off") + F.col("run"))
+    return bucketed.where(F.col("blk").isin(target_blocks)).withColumn("run", F.sum("c").over(upto))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], blocks: int | None = None) -> DataFrame:
+    """(column, prob, value), exact, distributed (see module doc).
+
+    Eager, like ``DataFrame.approxQuantile``: the distinct-value counts are
+    computed and persisted once, and the result (len(cols) * len(probs)
+    rows) comes back as a small DataFrame."""
+    counted = _value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        distinct = {r["cid"]: r["n"] for r in counted.groupBy("cid").agg(F.count(F.lit(1)).alias("n")).collect()}
+        rows = []
+        for i, c in enumerate(cols):
+            one = counted.where(F.col("cid") == i).select("v", "c")
+            rows += [(c, p, v) for p, v in _exact_one(one, distinct.get(i, 0), list(probs), blocks)]
+    finally:
+        counted.unpersist()
+    schema = StructType(
+        [
+            StructField("column", StringType(), False),
+            StructField("prob", DoubleType(), False),
+            StructField("value", DoubleType(), True),
+        ]
     )
-    lo = F.floor("pos")
-    per_prob = hit.groupBy("prob", "pos").agg(
-        F.min(F.when(F.col("k") == lo, F.col("v"))).alias("v_lo"),
-        F.max(F.when(F.col("k") == F.ceil("pos"), F.col("v"))).alias("v_hi"),
-    )
-    lo_w = F.ceil("pos") - F.col("pos")
-    hi_w = F.col("pos") - F.floor("pos")
-    value = F.when(hi_w == 0, F.col("v_lo")).otherwise(lo_w * F.col("v_lo") + hi_w * F.col("v_hi"))
-    found = per_prob.select("prob", value.alias("value"))
-    # every requested prob appears, null when the input had no values
-    return prob_rows.join(found, "prob", "left").select(F.lit(col).alias("column"), "prob", "value")
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], blocks: int = DEFAULT_BLOCKS) -> DataFrame:
-    """(column, prob, value), exact, distributed (see module doc)."""
-    parts = [_exact_one(df, c, list(probs), blocks) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "approx", rel_error: float = 0.01,
-              blocks: int = DEFAULT_BLOCKS) -> DataFrame:
+              blocks: int | None = None) -> DataFrame:
     if method == "exact":
         return exact_quantiles(df, cols, probs, blocks)
     return approx_quantiles(df, cols, probs, rel_error)

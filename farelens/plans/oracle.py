@@ -77,13 +77,12 @@ hav AS (
 ),
 prof AS (
   SELECT {RAW_COLS},
-    CAST(6371 AS DOUBLE) * 2 * atan2(sqrt(a), sqrt(1 - a)) AS distance_km,
+    CAST(6371 AS DOUBLE) * 2 * atan2(sqrt(abs(a0)), sqrt(abs(1 - a0))) AS distance_km,
     CAST(hour(pickup_datetime_ts) AS INTEGER) AS pickup_hour,
     CAST(dayofweek(pickup_datetime_ts) + 1 AS INTEGER) AS pickup_dow,
     CAST(month(pickup_datetime_ts) AS INTEGER) AS pickup_month,
     CAST(year(pickup_datetime_ts) AS INTEGER) AS pickup_year
-  FROM (SELECT *, CASE WHEN isnan(a0) THEN a0 WHEN a0 < 0 THEN CAST(0 AS DOUBLE)
-                       WHEN a0 > 1 THEN CAST(1 AS DOUBLE) ELSE a0 END AS a FROM hav) h
+  FROM hav
 )"""
 
 
