@@ -37,6 +37,18 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the default parallelism ONLY when it yields
+    fewer partitions than that (a few unsplittable files, e.g. one parquet
+    row group). A large input already has far more splits than cores, so
+    this adds no shuffle at scale."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def with_parsed_time(trips: DataFrame, out: str = "pickup_datetime_ts") -> DataFrame:
     """Raw trips plus the parsed pickup time (null when unparsable)."""
     return trips.withColumn(out, parse_time("pickup_datetime"))
