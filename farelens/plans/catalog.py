@@ -8,7 +8,9 @@ rounded to 6 places so that results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -323,8 +325,31 @@ def q_baseline_improvement(spark, sf_dir):
 ML = SMALL_MODELS
 
 
-def _vectors(spark, sf_dir):
-    return md.vectorize(st.features(spark, sf_dir), ML)
+@contextmanager
+def _model_input(spark, sf_dir):
+    """Feature table persisted for the duration of a fit (scaler fit, split,
+    model passes and scoring all reuse it), released afterwards."""
+    fe_df = st.features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield fe_df
+    finally:
+        fe_df.unpersist()
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Bring a bounded result (metrics, a grid report) back as a local frame,
+    so the persisted input can be released before the caller reads it."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def _fit_query(name: str, fit_fn):
+    def q(spark, sf_dir):
+        with _model_input(spark, sf_dir) as fe_df:
+            _, train, test = md.vectorize(fe_df, ML)
+            model = fit_fn(train, ML)
+            return _small(md.metrics_long(md.regression_metrics(model.transform(test)), name))
+
+    return q
 
 
 @register("assembled_features", rows_only=True)
@@ -340,49 +365,37 @@ def q_scaled_features(spark, sf_dir):
     return st.round_doubles(md.scaled_columns(prep, fe_df, ML.feature_cols))
 
 
-@register("fit_linear", rows_only=True)
-def q_fit_linear(spark, sf_dir):
-    _, train, test = _vectors(spark, sf_dir)
-    model = md.fit_linear(train, ML)
-    return md.metrics_long(md.regression_metrics(model.transform(test)), "Linear")
-
-
-@register("fit_forest", rows_only=True)
-def q_fit_forest(spark, sf_dir):
-    _, train, test = _vectors(spark, sf_dir)
-    model = md.fit_forest(train, ML)
-    return md.metrics_long(md.regression_metrics(model.transform(test)), "RF")
-
-
-@register("fit_boosted", rows_only=True)
-def q_fit_boosted(spark, sf_dir):
-    _, train, test = _vectors(spark, sf_dir)
-    model = md.fit_boosted(train, ML)
-    return md.metrics_long(md.regression_metrics(model.transform(test)), "GBT")
+register("fit_linear", rows_only=True)(_fit_query("Linear", md.fit_linear))
+register("fit_forest", rows_only=True)(_fit_query("RF", md.fit_forest))
+register("fit_boosted", rows_only=True)(_fit_query("GBT", md.fit_boosted))
 
 
 @register("model_comparison", rows_only=True)
 def q_model_comparison(spark, sf_dir):
-    _, train, test = _vectors(spark, sf_dir)
-    models = {"Linear": md.fit_linear(train, ML), "RF": md.fit_forest(train, ML), "GBT": md.fit_boosted(train, ML)}
-    return md.model_comparison(models, test)
+    with _model_input(spark, sf_dir) as fe_df:
+        _, train, test = md.vectorize(fe_df, ML)
+        models = {"Linear": md.fit_linear(train, ML), "RF": md.fit_forest(train, ML), "GBT": md.fit_boosted(train, ML)}
+        return _small(md.model_comparison(models, test))
 
 
 @register("tune_forest", rows_only=True)
 def q_tune_forest(spark, sf_dir):
-    _, train, _ = _vectors(spark, sf_dir)
-    _, report = md.tune_forest(train, ML)
-    return report
+    with _model_input(spark, sf_dir) as fe_df:
+        _, train, _ = md.vectorize(fe_df, ML)
+        _, report = md.tune_forest(train, ML)
+        return report
 
 
 @register("tune_linear", rows_only=True)
 def q_tune_linear(spark, sf_dir):
-    _, train, _ = _vectors(spark, sf_dir)
-    _, report = md.tune_linear(train, ML)
-    return report
+    with _model_input(spark, sf_dir) as fe_df:
+        _, train, _ = md.vectorize(fe_df, ML)
+        _, report = md.tune_linear(train, ML)
+        return report
 
 
 @register("feature_importance", rows_only=True)
 def q_feature_importance(spark, sf_dir):
-    _, train, _ = _vectors(spark, sf_dir)
-    return md.feature_importance(md.fit_forest(train, ML), ML.feature_cols)
+    with _model_input(spark, sf_dir) as fe_df:
+        _, train, _ = md.vectorize(fe_df, ML)
+        return md.feature_importance(md.fit_forest(train, ML), ML.feature_cols)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import distributions as ds
@@ -38,7 +39,16 @@ def clean(spark: SparkSession, trips: DataFrame, out_dir: str, params: Params =
 
 
 def profile(raw: DataFrame, out_dir: str, params: Params = DEFAULT) -> None:
-    prof = fe.profile_frame(raw)
+    """All profile reports; the profile frame (raw + distance + calendar) is
+    persisted once for the ~15 report jobs and released afterwards."""
+    prof = fe.profile_frame(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _profile_reports(prof, out_dir, params)
+    finally:
+        prof.unpersist()
+
+
+def _profile_reports(prof: DataFrame, out_dir: str, params: Params) -> None:
     eda = f"{out_dir}/eda"
     p = params
     reports = {
