@@ -30,7 +30,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..params import DEFAULT, Params
 from ..sources.sinks import path_exists, persist_for_passes
-from .features import row_cap, train_test_split
+from .features import hash_sample, row_cap, train_test_split
 
 METRICS = ("rmse", "mae", "r2")
 # fixed labels of the regularisation type (elastic-net mixing 0 / 1 / other)
@@ -71,9 +71,11 @@ def vectorize(fe: DataFrame, params: Params = DEFAULT, split: str = "hash"):
     default: stable under any partitioning). ``params.scaler_fit_on == "all"``
     keeps the original order (scaler fitted on every row, test included);
     ``"train"`` fits it on the training rows only."""
+    cols = ["label", *params.feature_cols]
+    if params.fit_fraction is not None:
+        fe = hash_sample(fe, params.fit_fraction, cols, params.seed + 1)
     if params.fit_row_cap:
         fe = row_cap(fe, params.fit_row_cap)
-    cols = ["label", *params.feature_cols]
     train_raw, test_raw = train_test_split(fe, params.train_fraction, params.seed, split, cols)
     prep = prep_pipeline(params.feature_cols)
     prep_model = prep.fit(fe if params.scaler_fit_on == "all" else train_raw)

@@ -7,7 +7,7 @@ original issued one job per count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_if, in_box, trip_in_box
@@ -121,6 +121,27 @@ def outside_box(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
     )
 
 
+def stage_counts(trips: DataFrame, valid: Column, key: str = "key") -> DataFrame:
+    """(stage, rows) for the input, the deduplicated rows and the valid rows,
+    in ONE scan and one shuffle: the dedup aggregate also counts each key's
+    rows, and one aggregate over the survivors sums those counts."""
+    others = [c for c in trips.columns if c != key]
+    kept = trips.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct(*[F.col(c) for c in others])).alias("_row")
+    )
+    survivors = kept.select("_n", *[F.col(f"_row.{c}").alias(c) for c in others])
+    wide = survivors.agg(
+        F.sum("_n").cast("bigint").alias("trips"),
+        F.count(F.lit(1)).alias("deduplicated"),
+        count_if(valid).alias("valid_trips"),
+    )
+    return wide.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("rows")) for c in ("trips", "deduplicated", "valid_trips")])
+        ).alias("r")
+    ).select("r.*")
+
+
 def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """(stage, rows) for named frames; each frame is one count job."""
     frames = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("stage"), "rows") for n, df in stages.items()]

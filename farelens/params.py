@@ -118,7 +118,10 @@ class Params:
     forest_grid: dict = field(default_factory=lambda: dict(FOREST_GRID))
     linear_grid: dict = field(default_factory=lambda: dict(LINEAR_GRID))
     # None: fit on every valid row; an int reproduces the original row cap
+    # (a global limit, gathered through one partition); a fraction keeps a
+    # deterministic hash sample instead (filtered in place, no exchange)
     fit_row_cap: int | None = None
+    fit_fraction: float | None = None
     # "all" (original: scaler sees test rows too) or "train"
     scaler_fit_on: str = "all"
     baseline_linear: dict = field(default_factory=lambda: dict(BASELINE_LINEAR))

@@ -110,9 +110,7 @@ def q_train_test_split(spark, sf_dir):
 
 @register("row_counts")
 def q_row_counts(spark, sf_dir):
-    t = st.trips_ts(spark, sf_dir)
-    r = st.raw(spark, sf_dir)
-    return qu.row_counts({"trips": t, "deduplicated": r, "valid_trips": fe.valid_trips(r)})
+    return qu.stage_counts(st.trips_ts(spark, sf_dir), fe.valid_trip(DEFAULT))
 
 
 @register("duplicate_keys")

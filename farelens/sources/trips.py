@@ -42,11 +42,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     fewer partitions than that (a few unsplittable files, e.g. one parquet
     row group). A large input already has far more splits than cores, so
     this adds no shuffle at scale."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Connect session): leave the plan alone
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def with_parsed_time(trips: DataFrame, out: str = "pickup_datetime_ts") -> DataFrame:

@@ -80,3 +80,12 @@ def test_row_counts(spark):
     df = spark.createDataFrame([_row("a"), _row("b")], SCHEMA)
     got = {r["stage"]: r["rows"] for r in qu.row_counts({"x": df, "y": df.limit(1)}).collect()}
     assert got == {"x": 2, "y": 1}
+
+
+def test_stage_counts_one_pass(spark):
+    from pyspark.sql import functions as F
+
+    rows = [_row("a"), _row("a", fare=9.0), _row("b", fare=-1.0), _row(None), _row(None, pc=9)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["stage"]: r["rows"] for r in qu.stage_counts(df, F.col("fare_amount") >= 0).collect()}
+    assert got == {"trips": 5, "deduplicated": 3, "valid_trips": 2}
