@@ -45,7 +45,7 @@ def error_summary(result: DataFrame, params: Params = DEFAULT, median: str = "ex
     counts and shares within 1, 2 and 5."""
     t1, t2, t5 = ERROR_THRESHOLDS
     ae = F.col("absolute_error")
-    stats = result.agg(
+    aggs = [
         F.count(F.lit(1)).alias("total_predictions"),
         F.avg(F.abs(F.col("error"))).alias("mean_absolute_error"),
         F.max(ae).alias("max_error"),
@@ -54,12 +54,19 @@ def error_summary(result: DataFrame, params: Params = DEFAULT, median: str = "ex
         count_if(ae < t1).alias("predictions_within_1_dollar"),
         count_if(ae < t2).alias("predictions_within_2_dollars"),
         count_if(ae < t5).alias("predictions_within_5_dollars"),
-    )
-    med = quantiles(result, ["absolute_error"], [0.5], median, params.quantile_rel_error).select(
-        F.col("value").alias("median_absolute_error")
-    )
+    ]
+    if median == "approx":
+        # the sketch rides along in the same single pass
+        accuracy = max(1, int(round(1.0 / params.quantile_rel_error)))
+        clean = F.when(~F.isnan(ae), ae)
+        stats = result.agg(*aggs, F.percentile_approx(clean, 0.5, accuracy).alias("median_absolute_error"))
+    else:
+        med = quantiles(result, ["absolute_error"], [0.5], "exact").select(
+            F.col("value").alias("median_absolute_error")
+        )
+        stats = result.agg(*aggs).crossJoin(F.broadcast(med))
     share = lambda c: F.round(F.col(c) / F.col("total_predictions") * 100, 2)
-    return stats.crossJoin(F.broadcast(med)).select(
+    return stats.select(
         "total_predictions",
         "mean_absolute_error",
         "median_absolute_error",

@@ -63,41 +63,47 @@ def iqr_report(df: DataFrame, cols: list[str], params: Params = DEFAULT, method:
                blocks: int | None = None) -> DataFrame:
     """Per column: q1, median, q3, iqr, lower/upper fences, outlier rows.
 
-    The fences are one row per column; they are pivoted to a single row and
-    cross-joined (broadcast, one row) into ONE counting pass for all columns.
-    Outliers: ``x < lower or x > upper``; NaN counts as above, null never."""
-    p_lo, p_mid, p_hi = params.quantile_probs
+    Two passes in all: the quantiles (one sketch aggregate, or the exact
+    distributed rank), then ONE counting pass for every column, with all
+    fences in a single broadcast row. Outliers: ``x < lower or x > upper``;
+    NaN counts as above, null never."""
+    probs = list(params.quantile_probs)
     kw = {"blocks": blocks} if blocks else {}
-    q = quantiles(df, cols, [p_lo, p_mid, p_hi], method, params.quantile_rel_error, **kw)
-    pick = lambda p: F.first(F.when(F.col("prob") == p, F.col("value")), ignorenulls=True)
-    fences = (
-        q.groupBy("column")
-        .agg(pick(p_lo).alias("q1"), pick(p_mid).alias("median"), pick(p_hi).alias("q3"))
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
-        .withColumn("lower", F.col("q1") - params.iqr_factor * F.col("iqr"))
-        .withColumn("upper", F.col("q3") + params.iqr_factor * F.col("iqr"))
-    )
-    one_row = fences.agg(
-        *[F.first(F.when(F.col("column") == c, F.col("lower")), ignorenulls=True).alias(f"lo{i}") for i, c in enumerate(cols)],
-        *[F.first(F.when(F.col("column") == c, F.col("upper")), ignorenulls=True).alias(f"hi{i}") for i, c in enumerate(cols)],
-    )
-    counts = df.crossJoin(F.broadcast(one_row)).agg(
+    q = quantiles(df, cols, probs, method, params.quantile_rel_error, **kw)
+
+    def pick(c, p):
+        return F.first(F.when((F.col("column") == c) & (F.col("prob") == p), F.col("value")), ignorenulls=True)
+
+    names = ("q1", "median", "q3")
+    fences = q.agg(*[pick(c, p).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, p in zip(names, probs)])
+    for i in range(len(cols)):
+        iqr = F.col(f"q3_{i}") - F.col(f"q1_{i}")
+        fences = fences.withColumns(
+            {
+                f"iqr_{i}": iqr,
+                f"lower_{i}": F.col(f"q1_{i}") - params.iqr_factor * iqr,
+                f"upper_{i}": F.col(f"q3_{i}") + params.iqr_factor * iqr,
+            }
+        )
+    stats = [n for n in ("q1", "median", "q3", "iqr", "lower", "upper")]
+    counted = df.crossJoin(F.broadcast(fences)).agg(
         F.count(F.lit(1)).alias("total_rows"),
+        *[F.first(f"{n}_{i}").alias(f"{n}_{i}") for i in range(len(cols)) for n in stats],
         *[
-            count_if((F.col(c) < F.col(f"lo{i}")) | (F.col(c) > F.col(f"hi{i}"))).alias(f"n{i}")
+            count_if((F.col(c) < F.col(f"lower_{i}")) | (F.col(c) > F.col(f"upper_{i}"))).alias(f"outliers_{i}")
             for i, c in enumerate(cols)
         ],
     )
-    per_col = counts.select(
-        "total_rows",
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("outliers")) for i, c in enumerate(cols)])
-        ).alias("r"),
-    ).select("r.column", "r.outliers", "total_rows")
-    return fences.join(per_col, "column").select(
-        "column", "q1", "median", "q3", "iqr", "lower", "upper", "outliers",
-        F.when(F.col("total_rows") > 0, F.col("outliers") / F.col("total_rows")).alias("outlier_share"),
-    )
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            *[F.col(f"{n}_{i}").alias(n) for n in stats],
+            F.col(f"outliers_{i}").alias("outliers"),
+            F.when(F.col("total_rows") > 0, F.col(f"outliers_{i}") / F.col("total_rows")).alias("outlier_share"),
+        )
+        for i, c in enumerate(cols)
+    ]
+    return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def correlation(df: DataFrame, cols: list[str], nulls: str = "zero") -> DataFrame:
