@@ -427,7 +427,7 @@ ORACLE["hist_fare_data_range"] = with_(
     "WHERE NOT isnan(fare_amount)) z),"
     "\nrb AS (SELECT lo, greatest(1, CAST(ceil((hi - lo) / 1.0) AS INTEGER)) AS bins FROM rng)",
 ) + (
-    "SELECT CAST(bin_id AS INTEGER) AS bin_id, count(*) AS count, round(lo + bin_id * 1.0, 6) AS bin_left, "
+    "SELECT CAST(bin_id AS BIGINT) AS bin_id, count(*) AS count, round(lo + bin_id * 1.0, 6) AS bin_left, "
     "round(lo + bin_id * 1.0 + 1.0, 6) AS bin_right, "
     "round(((lo + bin_id * 1.0) + (lo + bin_id * 1.0 + 1.0)) / 2, 6) AS bin_mid "
     "FROM (SELECT floor((fare_amount - lo) / 1.0) AS bin_id, lo, bins FROM prof CROSS JOIN rb "
