@@ -112,3 +112,52 @@ def test_oracle_agreement_sf0001(spark, duck, name):
     o = digest(duck.sql(E.oracle_sql()[name]).df())
     assert s[0] == o[0] and s[1] == o[1]
     assert s[2] == o[2], (sorted(set(s[3]) - set(o[3]))[:3], sorted(set(o[3]) - set(s[3]))[:3])
+
+
+# --- every registered plan: JVM only, no data joins, bounded broadcasts ------
+
+# model fits return small local tables; their plans hold no data operators
+MODEL_QUERIES = {"fit_linear", "fit_forest", "fit_boosted", "model_comparison", "tune_forest", "tune_linear",
+                 "feature_importance"}
+# grouped aggregates whose keys come from a fixed set, not from the data
+FIXED_GROUPS = {"correlation": "column pairs", "correlation_skip": "column pairs"}
+
+
+def _children(node):
+    c = node.children()
+    return [c.apply(i) for i in range(c.size())]
+
+
+def _physical(df):
+    p = df._jdf.queryExecution().executedPlan()
+    return p.executedPlan() if p.nodeName() == "AdaptiveSparkPlan" else p
+
+
+def _nodes(node):
+    yield node
+    for k in _children(node):
+        yield from _nodes(k)
+
+
+def _bounded(node, fixed_groups: bool) -> bool:
+    """True when the subtree yields a number of rows that does not grow with
+    the data: a global aggregate, a driver-made table, or (named queries only)
+    an aggregate grouped by a fixed key set."""
+    name = node.nodeName()
+    if "Aggregate" in name and (node.groupingExpressions().size() == 0 or fixed_groups):
+        return True
+    if name in ("Scan ExistingRDD", "LocalTableScan"):
+        return True
+    kids = _children(node)
+    return bool(kids) and all(_bounded(k, fixed_groups) for k in kids)
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - MODEL_QUERIES))
+def test_plan_is_jvm_only_with_bounded_broadcasts(spark, name):
+    root = _physical(E.queries()[name](spark, SF_SMALL))
+    names = [n.nodeName() for n in _nodes(root)]
+    assert not [n for n in names if "Python" in n or "Pandas" in n], names
+    assert not {"CartesianProduct", "SortMergeJoin", "ShuffledHashJoin"} & set(names), names
+    for n in _nodes(root):
+        if n.nodeName() == "BroadcastExchange":
+            assert _bounded(n, name in FIXED_GROUPS), (name, n.toString()[:2000])
