@@ -97,6 +97,12 @@ def hash_sample(df: DataFrame, fraction: float, cols: list[str] | None = None, s
     return df.where(hash_fraction(cols, seed) < F.lit(fraction))
 
 
+def split_part(cols: list[str], train_fraction: float = DEFAULT.train_fraction, seed: int = DEFAULT.seed) -> Column:
+    """The hash split as one column: "train" or "test" per row, so a report
+    over both halves (e.g. their sizes) is one pass instead of two."""
+    return F.when(hash_fraction(cols, seed) < F.lit(train_fraction), F.lit("train")).otherwise(F.lit("test"))
+
+
 def train_test_split(
     df: DataFrame,
     train_fraction: float = DEFAULT.train_fraction,

@@ -90,6 +90,8 @@ def test_split_disjoint_and_complete(spark):
     assert train.intersect(test).count() == 0
     a2, _ = fe.train_test_split(f.repartition(5), 0.8, 42)
     assert sorted(a2.collect()) == sorted(train.collect())
+    parts = dict(f.groupBy(fe.split_part(f.columns, 0.8, 42)).count().collect())
+    assert parts == {"train": a, "test": b}
 
 
 def test_linear_fit_beats_mean_and_round_trips(spark, tmp_out):
