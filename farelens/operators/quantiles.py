@@ -10,10 +10,12 @@ Exact quantiles never gather a group's values into one task (Spark's
 2. the number of blocks follows the distinct count (about 1M distinct values
    per block, at most 65,536 blocks); approximate quantiles of the distinct
    values cut the range into blocks (a bounded list of doubles);
-3. per-block totals (<= blocks rows, collected) give each block's rank offset
-   and locate the blocks holding the target ranks;
-4. only those blocks (<= 2 per probability) are window-sorted, by block, and
-   only their rows come back.
+3. per-(column, block) totals (<= blocks rows per column, collected) give
+   each block's rank offset and locate the blocks holding the target ranks;
+4. only those blocks (<= 2 per probability) are window-sorted, partitioned
+   by (column, block), and only their target rows come back.
+
+Steps 3 and 4 are one job each for all columns together.
 
 The result uses Spark's ``percentile`` interpolation: position ``p * (n - 1)``,
 linear between the values at its floor and ceiling ranks. Null and NaN are
@@ -84,75 +86,98 @@ def _value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return vals.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("c"))
 
 
-def _exact_one(counted: DataFrame, n_distinct: int, probs: list[float], blocks: int | None) -> list[tuple]:
-    """[(prob, value)] for one column's (v, c) table; see the module doc."""
-    if n_distinct == 0:
-        return [(float(p), None) for p in probs]
-    splits = _splits(counted, _block_count(n_distinct, blocks))
-    if len(splits) > 2:
-        bucketed = Bucketizer(splits=splits, inputCol="v", outputCol="blk").transform(counted)
-    else:  # one block
-        bucketed = counted.withColumn("blk", F.lit(0.0))
-
-    # block totals: at most ``blocks`` rows
-    totals = sorted((r["blk"], r["bc"]) for r in bucketed.groupBy("blk").agg(F.sum("c").alias("bc")).collect())
-    n = sum(bc for _, bc in totals)
-    offsets, acc = {}, 0
-    for blk, bc in totals:
-        offsets[blk] = (acc, bc)
-        acc += bc
-    # target ranks (0-based) and the block holding each
+def _blocked(counted: DataFrame, stats: dict[int, tuple[int, int]], blocks: int | None) -> DataFrame:
+    """(cid, v, c, blk): the block id of each distinct value. A column with
+    more distinct values than one block holds is cut at its own approximate
+    quantiles (one sketch pass per such column); the rest are block 0."""
+    bucketed, blk = counted, F.lit(0.0)
+    for i, (n_distinct, _) in sorted(stats.items()):
+        splits = _splits(counted.where(F.col("cid") == i), _block_count(n_distinct, blocks))
+        if len(splits) > 2:
+            bucketed = Bucketizer(splits=splits, inputCol="v", outputCol=f"_b{i}").transform(bucketed)
+            blk = F.when(F.col("cid") == i, F.col(f"_b{i}")).otherwise(blk)
+    return bucketed.select("cid", "v", "c", blk.alias("blk"))
+
+
+def _rank_targets(totals: list[tuple], probs: list[float]) -> tuple[dict, dict]:
+    """From the (cid, blk, rows) block totals: each column's row count n, and
+    the block holding each needed global rank (floor and ceiling of
+    ``p * (n - 1)``), as {(cid, rank): (blk, rank inside the block)}."""
+    offsets: dict[int, list] = {}
+    for cid, blk, bc in sorted(totals):
+        acc = offsets[cid][-1][1] + offsets[cid][-1][2] if cid in offsets else 0
+        offsets.setdefault(cid, []).append((blk, acc, bc))
+    n = {cid: off[-1][1] + off[-1][2] for cid, off in offsets.items()}
     wanted = {}
-    for p in probs:
-        pos = p * (n - 1)
-        for k in {math.floor(pos), math.ceil(pos)}:
-            wanted[k] = next(b for b, (off, bc) in offsets.items() if off <= k < off + bc)
-    # (block, rank inside the block, global rank): <= 2 * len(probs) rows
-    targets = counted.sparkSession.createDataFrame(
-        [(float(blk), int(k - offsets[blk][0]), int(k)) for k, blk in wanted.items()],
-        "blk double, lk bigint, k bigint",
-    )
-    hits = (
-        spark_ranks(bucketed, sorted(set(wanted.values())))
-        .join(F.broadcast(targets), "blk")
-        .where((F.col("run") - F.col("c") <= F.col("lk")) & (F.col("lk") < F.col("run")))
-        .select("k", "v")
-        .collect()
-    )
-    value_at = {r["k"]: r["v"] for r in hits}
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        if lo == hi:
-            out.append((float(p), value_at[lo]))
-        else:
-            out.append((float(p), (hi - pos) * value_at[lo] + (pos - lo) * value_at[hi]))
-    return out
+    for cid, off in offsets.items():
+        for p in probs:
+            pos = p * (n[cid] - 1)
+            for k in {math.floor(pos), math.ceil(pos)}:
+                blk, start = next((b, a) for b, a, bc in off if a <= k < a + bc)
+                wanted[(cid, k)] = (blk, k - start)
+    return n, wanted
 
 
-def spark_ranks(bucketed: DataFrame, target_blocks: list[float]) -> DataFrame:
-    """Running count per block (window partitioned by block, ordered by
-    value), only for the target blocks."""
-    upto = Window.partitionBy("blk").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return bucketed.where(F.col("blk").isin(target_blocks)).withColumn("run", F.sum("c").over(upto))
+def spark_ranks(bucketed: DataFrame, target_blocks: DataFrame) -> DataFrame:
+    """Running count per (column, block), ordered by value, only for the
+    target blocks (a broadcast semi join with a bounded table)."""
+    upto = Window.partitionBy("cid", "blk").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = bucketed.join(F.broadcast(target_blocks), ["cid", "blk"], "left_semi")
+    return kept.withColumn("run", F.sum("c").over(upto))
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], blocks: int | None = None) -> DataFrame:
     """(column, prob, value), exact, distributed (see module doc).
 
     Eager, like ``DataFrame.approxQuantile``: the distinct-value counts are
-    computed and persisted once, and the result (len(cols) * len(probs)
-    rows) comes back as a small DataFrame."""
+    computed and persisted once; every column is handled by the same three
+    jobs (per-column stats, block totals, ranks inside the target blocks),
+    plus one sketch pass per column that needs more than one block. The
+    result (len(cols) * len(probs) rows) comes back as a small DataFrame."""
+    probs = [float(p) for p in probs]
     counted = _value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        distinct = {r["cid"]: r["n"] for r in counted.groupBy("cid").agg(F.count(F.lit(1)).alias("n")).collect()}
-        rows = []
-        for i, c in enumerate(cols):
-            one = counted.where(F.col("cid") == i).select("v", "c")
-            rows += [(c, p, v) for p, v in _exact_one(one, distinct.get(i, 0), list(probs), blocks)]
+        stats = {
+            r["cid"]: (r["nd"], r["n"])
+            for r in counted.groupBy("cid").agg(F.count(F.lit(1)).alias("nd"), F.sum("c").alias("n")).collect()
+        }
+        value_at: dict = {}
+        n: dict = {}
+        if stats:
+            bucketed = _blocked(counted, stats, blocks)
+            # block totals: at most (blocks per column) * len(cols) rows
+            totals = [
+                (r["cid"], r["blk"], r["bc"])
+                for r in bucketed.groupBy("cid", "blk").agg(F.sum("c").alias("bc")).collect()
+            ]
+            n, wanted = _rank_targets(totals, probs)
+            # (cid, blk, rank inside the block, global rank): <= 2 * len(probs) rows per column
+            targets = df.sparkSession.createDataFrame(
+                [(cid, float(blk), int(lk), int(k)) for (cid, k), (blk, lk) in wanted.items()],
+                "cid int, blk double, lk bigint, k bigint",
+            )
+            hits = (
+                spark_ranks(bucketed, targets.select("cid", "blk").distinct())
+                .join(F.broadcast(targets), ["cid", "blk"])
+                .where((F.col("run") - F.col("c") <= F.col("lk")) & (F.col("lk") < F.col("run")))
+                .select("cid", "k", "v")
+                .collect()
+            )
+            value_at = {(r["cid"], r["k"]): r["v"] for r in hits}
     finally:
         counted.unpersist()
+    rows = []
+    for i, c in enumerate(cols):
+        for p in probs:
+            if i not in n:
+                rows.append((c, p, None))
+                continue
+            pos = p * (n[i] - 1)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            if lo == hi:
+                rows.append((c, p, value_at[(i, lo)]))
+            else:
+                rows.append((c, p, (hi - pos) * value_at[(i, lo)] + (pos - lo) * value_at[(i, hi)]))
     schema = StructType(
         [
             StructField("column", StringType(), False),
