@@ -98,3 +98,20 @@ def test_iqr_report_fences_and_outliers(spark):
     assert abs(r["a"]["q1"] - q1) < 1e-9 and abs(r["a"]["q3"] - q3) < 1e-9
     assert r["a"]["outliers"] == 3  # 1000, -1000 and NaN (counts as above); null never
     assert r["b"]["outliers"] == 3
+
+
+def test_exact_quantiles_several_columns_one_all_null(spark):
+    # columns are ranked together (shared totals and rank jobs): each must
+    # still get its own ranks, and an all-null column gives null values
+    rnd = random.Random(5)
+    xs = [rnd.uniform(-5, 5) for _ in range(1200)]
+    ys = [float(rnd.randint(0, 9)) for _ in range(1200)]
+    df = spark.createDataFrame([(x, y, None) for x, y in zip(xs, ys)], "x double, y double, z double")
+    probs = [0.0, 0.2, 0.5, 0.95, 1.0]
+    for blocks in (1, 5):
+        got = {(r["column"], r["prob"]): r["value"]
+               for r in qn.exact_quantiles(df, ["x", "y", "z"], probs, blocks=blocks).collect()}
+        for p in probs:
+            assert abs(got[("x", p)] - _np_percentile(xs, p)) < 1e-9, (blocks, p)
+            assert abs(got[("y", p)] - _np_percentile(ys, p)) < 1e-9, (blocks, p)
+            assert got[("z", p)] is None
