@@ -7,8 +7,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farelens.llm import exact, mixing, simhash
+from farelens.llm import exact, langid, mixing, pieces, simhash
 from farelens.llm.common import documents, shared_folder
+from farelens.llm.queries import piece_model
+
+#: Texts that agree with no language profile better than this are rejected.
+MIN_SCORE = 0.25
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    profiles = langid.fit(docs, usable=~langid.held_out())
+    return langid.drop_undetermined(docs, profiles, MIN_SCORE)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +32,16 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mix(docs)
 
 
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.encode(docs, piece_model())
+
+
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
     ("simhash_near_dedup", near_dedup),
     ("source_mixing", source_mixing),
+    ("sentencepiece_encoding", encoding),
 ]
 #: Fingerprints, language profiles and BPE have no SQL form; tested against brute force.
 ORACLE_SQL = None

@@ -6,14 +6,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, simhash
+import public_tokenizers
+
+from . import exact, langid, lines, mixing, pieces, simhash, urls
 from .common import documents
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_boilerplate(documents(spark, sf_dir))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    profiles = langid.fit(docs, usable=~langid.held_out())
+    own = langid.held_out().alias("held_out")
+    found = langid.predict(docs, profiles).select("doc_id", own, "lang_pred", "score", "distance")
+    return found
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir))
 
 
+def piece_model(path: str | None = None) -> bytes:
+    return pieces.read_model(path or public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model()
+    coded = pieces.decode(pieces.encode(documents(spark, sf_dir), model), model)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(spark, documents(spark, sf_dir, "pages"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.exact_groups(documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -26,13 +59,45 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
+        op2_language_id,
         op4_simhash_near_dedup,
+        op7_sentencepiece,
+        op8_url_filters,
         op9_exact_dedup,
         op10_source_mixing,
     )
 }
 
 ORACLE = {
+    "op1_line_dedup": r"""
+WITH l AS (
+  SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents),
+c AS (SELECT trim(line, ' ' || chr(9) || chr(13)) AS line FROM l
+  GROUP BY ALL HAVING count(DISTINCT coalesce('s' || source, 't')) >= 10),
+x AS (SELECT coalesce(list(line), []) AS bad FROM c WHERE line <> ''),
+d AS (SELECT doc_id, text, coalesce(string_split(text, chr(10)), []) AS lines FROM documents),
+k AS (SELECT doc_id, text, lines,
+  list_filter(lines, lambda y: NOT list_contains(bad, trim(y, ' ' || chr(9) || chr(13)))) AS kept FROM d, x)
+SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(kept, chr(10)) END AS text,
+  CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(kept) AS BIGINT) AS n_removed
+FROM k
+""",
+    "op8_url_filters": r"""
+WITH a AS (
+  SELECT page_id, CASE WHEN position('://' IN coalesce(url, '')) > 0
+    THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+u AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+r(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block'))
+SELECT page_id, any_value(host) AS host, any_value(path) AS path,
+  max_by(h || p, length(h || p)) AS rule, coalesce(max_by(v, length(h || p)), 'allow') AS verdict
+FROM u LEFT JOIN r ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p)
+GROUP BY page_id
+""",
     "op9_exact_dedup": r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
