@@ -3,12 +3,11 @@ whole tables, and its DuckDB SQL where SQL can express it."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
-from . import exact, langid, lines, mixing, pieces, simhash, urls
+from . import embeddings, exact, langid, lines, mixing, pieces, quality, simhash, urls
 from .common import documents
 
 
@@ -20,14 +19,23 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     profiles = langid.fit(docs, usable=~langid.held_out())
     own = langid.held_out().alias("held_out")
-    found = langid.predict(docs, profiles).select("doc_id", own, "lang_pred", "score", "distance")
-    return found
+    return langid.predict(docs, profiles).select("doc_id", own, "lang_pred", "score", "distance")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    found = quality.quality(docs, labels, usable=~quality.held_out())
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(documents(spark, sf_dir, "embeddings"))
+
+
 def piece_model(path: str | None = None) -> bytes:
     return pieces.read_model(path or public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -62,6 +70,8 @@ QUERIES = {
         op1_line_dedup,
         op2_language_id,
         op4_simhash_near_dedup,
+        op5_quality_classifier,
+        op6_embedding_near_dedup,
         op7_sentencepiece,
         op8_url_filters,
         op9_exact_dedup,
