@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, exact, langid, lines, mixing, pieces, quality, simhash, urls
+from . import embeddings, exact, langid, lines, mixing, pieces, quality, simhash, suffixes, urls
 from .common import documents
 
 
@@ -22,6 +22,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, profiles).select("doc_id", own, "lang_pred", "score", "distance")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(documents(spark, sf_dir))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir))
 
@@ -69,6 +73,7 @@ QUERIES = {
     for f in (
         op1_line_dedup,
         op2_language_id,
+        op3_suffix_dedup,
         op4_simhash_near_dedup,
         op5_quality_classifier,
         op6_embedding_near_dedup,
