@@ -36,6 +36,8 @@ def _letters() -> np.ndarray:
 
 
 def _summed(grams: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    if not len(grams):
+        return grams, np.empty(0, np.int64)
     if times is None:
         grams = np.sort(grams)
     else:

@@ -15,7 +15,7 @@ from .common import doc_crc, stored
 
 #: Share of the pooled covariance in a class covariance, and of its mean variance in each.
 POOLED, SPHERE = 0.05, 0.01
-#: Characters read at a time; a word or line at a border counts as two.
+#: Characters read at a time; a word at a border counts as two.
 BLOCK = 1 << 20
 FEATURES = (
     "words", "word_length", "upper", "digits", "stops", "symbols", "same_next", "distinct", "commonest", "line_length", "same_lines", "letters",
@@ -47,9 +47,8 @@ def features(text: str | None) -> list[float]:
     sizes, square roots of shares."""
     text = text or ""
     kinds = np.zeros(7, np.int64)
-    words = same_next = lines = 0
+    words = same_next = 0
     seen: dict[str, int] = {}
-    seen_lines: set[str] = set()
     for i in range(0, len(text), BLOCK):
         part = text[i : i + BLOCK]
         kinds += np.bincount(_kinds()[np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)], minlength=7)
@@ -58,18 +57,16 @@ def features(text: str | None) -> list[float]:
         same_next += sum(map(eq, own, own[1:]))
         for w in own:
             seen[w] = seen.get(w, 0) + 1
-        rows = [line for r in part.split("\n") if (line := r.strip())]
-        lines += len(rows)
-        seen_lines.update(rows)
+    lines = [line for r in text.split("\n") if (line := r.strip())]
     n, letters = max(1, len(text)), max(1, int(kinds[LOWER] + kinds[UPPER]))
     w = max(1, words)
     shares = {
         "upper": kinds[UPPER] / letters, "digits": kinds[DIGIT] / n, "stops": kinds[STOP] / w, "symbols": kinds[SYMBOL] / w,
-        "same_next": same_next / w, "commonest": max(seen.values(), default=0) / w, "same_lines": 1 - len(seen_lines) / max(1, lines),
+        "same_next": same_next / w, "commonest": max(seen.values(), default=0) / w, "same_lines": 1 - len(set(lines)) / max(1, len(lines)),
         "letters": letters / n,
     }
     sizes = {
-        "words": np.log1p(words), "word_length": np.log1p(letters / w), "line_length": np.log1p(n / max(1, lines)),
+        "words": np.log1p(words), "word_length": np.log1p(letters / w), "line_length": np.log1p(n / max(1, len(lines))),
         "distinct": np.log1p(len(seen)) - np.log1p(words),
     }
     return [float(sizes[f]) if f in sizes else float(np.sqrt(shares[f])) for f in FEATURES]
