@@ -3,7 +3,7 @@
 from .calendar import calendar_columns, parse_time
 from .errors import error_category, error_columns
 from .geo import haversine_km, in_box, trip_in_box
-from .stats import count_if, guarded_corr, is_missing
+from .stats import count_if, is_missing
 
 __all__ = [
     "calendar_columns",
@@ -14,6 +14,5 @@ __all__ = [
     "in_box",
     "trip_in_box",
     "count_if",
-    "guarded_corr",
     "is_missing",
 ]

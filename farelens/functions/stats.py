@@ -11,13 +11,6 @@ def count_if(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-def guarded_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation that never raises: a zero variance, null or NaN
-    result becomes 0.0 (the study filled failures and NaN with 0.0)."""
-    r = F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
-    return F.when(r.isNull() | F.isnan(r), F.lit(0.0)).otherwise(r)
-
-
 def is_missing(c: str, kind: str) -> Column:
     """Missing test by column kind: numeric = null or NaN, string = null or blank."""
     col = F.col(c)

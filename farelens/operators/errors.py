@@ -124,5 +124,5 @@ def worst_predictions(result: DataFrame, k: int = 100) -> DataFrame:
 
 
 def sample_rows(result: DataFrame, n: int = 1000) -> DataFrame:
-    """The first ``n`` rows (arbitrary rows of the first partitions)."""
-    return result.limit(n)
+    """The first ``n`` rows in the order of all columns (nulls first)."""
+    return result.orderBy(*[F.col(c).asc_nulls_first() for c in RESULT_COLS]).limit(n)

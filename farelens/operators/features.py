@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions import calendar_columns, haversine_km, trip_in_box
 from ..params import DEFAULT, Params
 
-HASH_BUCKETS = 1_000_000
+# bits of the hash that samples and splits compare with a fraction
+HASH_BITS = 60
 
 
 def add_distance(df: DataFrame, out: str = "distance_km") -> DataFrame:
@@ -48,10 +49,12 @@ def valid_trips(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return raw.where(valid_trip(params))
 
 
-def feature_table(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """label + the six model features, in their fixed order."""
+def feature_table(raw: DataFrame, params: Params = DEFAULT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """label + the six model features, in their fixed order; ``carry`` puts columns
+    of the trip (its key, for the split) in front."""
     cal = calendar_columns("pickup_datetime_ts")
     return valid_trips(raw, params).select(
+        *carry,
         F.col("fare_amount").alias("label"),
         *[cal[c].alias(c) for c in ("pickup_hour", "pickup_dow", "pickup_month", "pickup_year")],
         F.col("passenger_count"),
@@ -84,23 +87,23 @@ def row_cap(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
-def hash_fraction(cols: list[str], seed: int) -> Column:
-    """A stable pseudo-uniform value in [0, 1) from the row's columns."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
-    return F.pmod(h, F.lit(HASH_BUCKETS)) / F.lit(float(HASH_BUCKETS))
+def below_fraction(cols: list[str], fraction: float, seed: int) -> Column:
+    """True for about ``fraction`` of all values of ``cols``: the first 60 bits of
+    an MD5 over the seed and the columns, compared with ``fraction * 2^60``."""
+    text = F.concat_ws("\x1f", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols])
+    place = F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
+    return place < F.lit(int(fraction * (1 << HASH_BITS)))
 
 
 def hash_sample(df: DataFrame, fraction: float, cols: list[str] | None = None, seed: int = DEFAULT.seed) -> DataFrame:
     """Deterministic sample of about ``fraction`` of the rows; every partition
     filters its own rows, so no exchange and no single-partition funnel."""
-    cols = cols or df.columns
-    return df.where(hash_fraction(cols, seed) < F.lit(fraction))
+    return df.where(below_fraction(cols or df.columns, fraction, seed))
 
 
 def split_part(cols: list[str], train_fraction: float = DEFAULT.train_fraction, seed: int = DEFAULT.seed) -> Column:
-    """The hash split as one column: "train" or "test" per row, so a report
-    over both halves (e.g. their sizes) is one pass instead of two."""
-    return F.when(hash_fraction(cols, seed) < F.lit(train_fraction), F.lit("train")).otherwise(F.lit("test"))
+    """The hash split as one column: "train" or "test" per row."""
+    return F.when(below_fraction(cols, train_fraction, seed), F.lit("train")).otherwise(F.lit("test"))
 
 
 def train_test_split(
@@ -119,5 +122,5 @@ def train_test_split(
     if method == "random":
         train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
         return train, test
-    u = hash_fraction(cols or df.columns, seed)
-    return df.where(u < F.lit(train_fraction)), df.where(u >= F.lit(train_fraction))
+    train = below_fraction(cols or df.columns, train_fraction, seed)
+    return df.where(train), df.where(~train)

@@ -7,11 +7,11 @@ merge) reshaped to long form; the original ran one job per statistic
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from ..functions import count_if, guarded_corr, is_missing
+from ..functions import count_if, is_missing
 from ..params import DEFAULT, Params
 from .quality import outside_box
 from .quantiles import quantiles
@@ -34,29 +34,49 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, k in column_kinds(df).items() if k == "numeric"]
 
 
-def missing_values(df: DataFrame) -> DataFrame:
+def overview(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """One row, one pass: total_rows, the box counts and shares, and per column the
+    missing count and (numeric) min, max, avg and sample stddev. The reports below
+    are cut from it."""
+    return outside_box(df, params, [*_missing_sums(df), *_extremes(numeric_columns(df)), *_moments(numeric_columns(df))])
+
+
+def _missing_sums(df: DataFrame) -> list[Column]:
+    return [count_if(is_missing(c, k)).alias(f"{c}_missing") for c, k in column_kinds(df).items()]
+
+
+def _extremes(cols: list[str]) -> list[Column]:
+    return [F.min(c).alias(f"{c}_min") for c in cols] + [F.max(c).alias(f"{c}_max") for c in cols]
+
+
+def _moments(cols: list[str]) -> list[Column]:
+    return [F.avg(c).alias(f"{c}_avg") for c in cols] + [F.stddev(c).alias(f"{c}_std") for c in cols]
+
+
+def missing_values(df: DataFrame, row: DataFrame | None = None) -> DataFrame:
     """(column, missing_count, missing_pct). Numeric: null or NaN; string:
-    null or blank after trim; other: null."""
-    kinds = column_kinds(df)
-    wide = df.agg(
-        F.count(F.lit(1)).alias("__total"),
-        *[count_if(is_missing(c, k)).alias(c) for c, k in kinds.items()],
-    )
-    long = wide.unpivot(["__total"], list(kinds), "column", "missing_count")
-    pct = F.when(F.col("__total") > 0, F.col("missing_count") * F.lit(100.0) / F.col("__total"))
+    null or blank after trim; other: null. ``row``: an ``overview`` of df."""
+    row = row if row is not None else df.agg(F.count(F.lit(1)).alias("total_rows"), *_missing_sums(df))
+    long = row.select("total_rows", *[F.col(f"{c}_missing").alias(c) for c in df.columns])
+    long = long.unpivot(["total_rows"], list(df.columns), "column", "missing_count")
+    pct = F.when(F.col("total_rows") > 0, F.col("missing_count") * F.lit(100.0) / F.col("total_rows"))
     return long.select("column", "missing_count", pct.alias("missing_pct"))
 
 
-def numeric_min_max(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def numeric_min_max(df: DataFrame, cols: list[str] | None = None, row: DataFrame | None = None) -> DataFrame:
     """One wide row ``<c>_min ... <c>_max``; NaN sorts above all numbers."""
     cols = cols or numeric_columns(df)
-    return df.agg(*[F.min(c).alias(f"{c}_min") for c in cols], *[F.max(c).alias(f"{c}_max") for c in cols])
+    if row is None:
+        return df.agg(*_extremes(cols))
+    return row.select(*[f"{c}_{x}" for x in ("min", "max") for c in cols])
 
 
-def numeric_avg_std(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def numeric_avg_std(df: DataFrame, cols: list[str] | None = None, row: DataFrame | None = None) -> DataFrame:
     """One wide row ``<c>_avg ... <c>_std`` (sample stddev, null for one row)."""
     cols = cols or numeric_columns(df)
-    return df.agg(*[F.avg(c).alias(f"{c}_avg") for c in cols], *[F.stddev(c).alias(f"{c}_std") for c in cols])
+    if row is None:
+        return df.agg(*_moments(cols))
+    return row.select(*[f"{c}_{x}" for x in ("avg", "std") for c in cols])
 
 
 def iqr_report(df: DataFrame, cols: list[str], params: Params = DEFAULT, method: str = "approx",
@@ -106,46 +126,76 @@ def iqr_report(df: DataFrame, cols: list[str], params: Params = DEFAULT, method:
     return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def correlation(df: DataFrame, cols: list[str], nulls: str = "zero") -> DataFrame:
-    """Pearson matrix in long form (col_a, col_b, corr), one scan.
+#: Sums an aggregate may hold and still compile as one function.
+MAX_SUMS = 90
 
-    ``nulls="zero"`` reads null as 0, as ``DataFrame.stat.corr`` does;
-    ``"skip"`` uses pairwise-complete rows. Zero variance, NaN and null
-    results become 0.0.
-
-    Each row is exploded into its 28 distinct (pair, x, y) tuples and grouped
-    by pair: every group carries a 10-field buffer (covariance + two
-    moments), so the aggregate stays in whole-stage codegen (one aggregate
-    with 28 covariances would exceed ``spark.sql.codegen.maxFields`` and run
-    interpreted), and the partial aggregate sends at most 28 rows per task
-    through the shuffle."""
-    base = {c: F.col(c).cast("double") for c in cols}
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    tuples = []
-    for k, (a, b) in enumerate(pairs):
-        x, y = base[a], base[b]
-        if nulls == "zero":
-            x, y = F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
-        tuples.append(F.struct(F.lit(k).alias("pair"), x.alias("x"), y.alias("y")))
-    long = df.select(F.explode(F.array(*tuples)).alias("t")).select("t.*")
-    if nulls != "zero":
-        long = long.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    per_pair = long.groupBy("pair").agg(guarded_corr(F.col("x"), F.col("y")).alias("corr"))
-    cells = [(a, b, k) for k, (a, b) in enumerate(pairs)] + [(b, a, k) for k, (a, b) in enumerate(pairs) if a != b]
-    cell_df = df.sparkSession.createDataFrame(cells, "col_a string, col_b string, pair int")
-    # every pair is present unless the input is empty; then all cells are 0.0
-    return cell_df.join(F.broadcast(per_pair), "pair", "left").select(
-        "col_a", "col_b", F.coalesce(F.col("corr"), F.lit(0.0)).alias("corr")
-    )
 
+def correlation(df: DataFrame, cols: list[str], nulls: str = "zero", centers: dict[str, float] | None = None) -> DataFrame:
+    """Pearson matrix in long form (col_a, col_b, corr) of the columns that exist.
 
-def profile_summary(df: DataFrame, params: Params = DEFAULT, method: str = "approx") -> DataFrame:
+    ``nulls="zero"`` reads null as 0, as ``DataFrame.stat.corr`` does;
+    ``"skip"`` uses pairwise-complete rows. A constant column, NaN and null
+    results give 0.0; an empty input gives 0.0 everywhere.
+
+    One aggregate of plain sums and sums of products (for ``skip`` a few, each
+    below the size that compiles): no row is multiplied. ``centers`` are subtracted
+    first; a value near a column's mean keeps the digits of a column whose mean is
+    large against its spread."""
+    cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    raw = [F.col(c).cast("double") for c in cols]
+    if nulls == "zero":
+        raw = [F.coalesce(x, F.lit(0.0)) for x in raw]
+    xs = [x - F.lit(float((centers or {}).get(c, 0.0))) for c, x in zip(cols, raw)]
+    base = df.select(*[x.alias(f"x{i}") for i, x in enumerate(xs)])
+    x = [F.col(f"x{i}") for i in range(len(cols))]
+    limits = [f(c).alias(f"{n}{i}") for i, c in enumerate(x) for n, f in (("min", F.min), ("max", F.max))]
+    if nulls == "zero":
+        sums = [F.count(F.lit(1)).alias("n")] + [F.sum(c).alias(f"s{i}") for i, c in enumerate(x)]
+        sums += [F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i, j in pairs]
+        wide = base.agg(*sums, *limits)
+
+        def part(i, j):
+            return [F.col("n"), *[F.col(c) for c in (f"s{i}", f"s{j}", f"p{i}_{i}", f"p{j}_{j}", f"p{i}_{j}")]]
+    else:
+        sums = []
+        for i, j in pairs:
+            a, b = F.when(x[j].isNotNull(), x[i]), F.when(x[i].isNotNull(), x[j])
+            own = (F.count(a), F.sum(a), F.sum(b), F.sum(a * a), F.sum(b * b), F.sum(a * b))
+            sums += [e.alias(f"t{i}_{j}_{k}") for k, e in enumerate(own)]
+        every = limits + sums
+        wide = None
+        for k in range(0, len(every), MAX_SUMS):
+            some = base.agg(*every[k : k + MAX_SUMS])
+            wide = some if wide is None else wide.crossJoin(some)  # one row each
+
+        def part(i, j):
+            return [F.col(f"t{i}_{j}_{k}") for k in range(6)]
+
+    cells = []
+    for i, j in pairs:
+        n, sa, sb, aa, bb, ab = part(i, j)
+        spread = F.sqrt(F.greatest(n * aa - sa * sa, F.lit(0.0))) * F.sqrt(F.greatest(n * bb - sb * sb, F.lit(0.0)))
+        fixed = (F.col(f"min{i}") == F.col(f"max{i}")) | (F.col(f"min{j}") == F.col(f"max{j}"))
+        r = F.when(~fixed, F.try_divide(n * ab - sa * sb, spread))
+        r = F.when(r.isNull() | F.isnan(r), F.lit(0.0)).otherwise(r)
+        for a, b in {(i, j), (j, i)}:
+            cells.append(F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), r.alias("corr")))
+    return wide.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+
+
+def profile_summary(
+    df: DataFrame, params: Params = DEFAULT, method: str = "approx", row: DataFrame | None = None, iqr: DataFrame | None = None
+) -> DataFrame:
     """(metric, value): totals, box violations and shares, IQR fences and
-    outlier shares of fare and distance, total missing cells."""
-    box = outside_box(df, params)
-    iqr = iqr_report(df, ["fare_amount", "distance_km"], params, method)
-    miss = missing_values(df).agg(F.sum("missing_count").alias("missing_cells"))
-    box_long = box.select(
+    outlier shares of fare and distance, total missing cells. ``row`` and ``iqr``:
+    the ``overview`` and ``iqr_report`` of df where they are at hand."""
+    row = row if row is not None else overview(df, params)
+    iqr = iqr if iqr is not None else iqr_report(df, ["fare_amount", "distance_km"], params, method)
+    miss = missing_values(df, row).agg(F.sum("missing_count").alias("missing_cells"))
+    box_long = row.select(
         F.explode(
             F.array(
                 *[

@@ -101,15 +101,17 @@ def dedup_keys(df: DataFrame, key: str = "key", deterministic: bool = True) -> D
     return kept.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def outside_box(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def outside_box(df: DataFrame, params: Params = DEFAULT, more: list[Column] | None = None) -> DataFrame:
     """Rows whose pickup / dropoff lies outside the display box, and shares.
 
     Three-valued: a null coordinate makes the box test null, which is not
-    counted unless another bound already fails."""
+    counted unless another bound already fails. ``more``: further aggregates of
+    the same pass."""
     wide = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         count_if(~in_box("pickup_longitude", "pickup_latitude", params.pickup_box)).alias("pickup_outside"),
         count_if(~in_box("dropoff_longitude", "dropoff_latitude", params.dropoff_box)).alias("dropoff_outside"),
+        *(more or []),
     )
     share = lambda c: F.when(F.col("total_rows") > 0, F.col(c) / F.col("total_rows"))
     return wide.select(
@@ -118,6 +120,7 @@ def outside_box(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
         "dropoff_outside",
         share("pickup_outside").alias("pickup_outside_share"),
         share("dropoff_outside").alias("dropoff_outside_share"),
+        *[c for c in wide.columns if c not in ("total_rows", "pickup_outside", "dropoff_outside")],
     )
 
 
@@ -140,12 +143,3 @@ def stage_counts(trips: DataFrame, valid: Column, key: str = "key") -> DataFrame
             F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("rows")) for c in ("trips", "deduplicated", "valid_trips")])
         ).alias("r")
     ).select("r.*")
-
-
-def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """(stage, rows) for named frames; each frame is one count job."""
-    frames = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("stage"), "rows") for n, df in stages.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out

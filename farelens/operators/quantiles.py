@@ -1,21 +1,16 @@
-"""Quantiles: approximate (one sketch pass) and exact (distributed rank).
+"""Quantiles: approximate (one sketch pass) and exact (bracket and refine).
 
-Exact quantiles never gather a group's values into one task (Spark's
+Exact quantiles never gather a column's values into one task (Spark's
 ``percentile`` keeps every distinct value of a group in one buffer):
 
-1. ``groupBy(column, value).count()`` - partial aggregation, so a value
-   holding a third of all rows becomes one row per map task before the
-   shuffle; the (column, value, count) table is persisted, and the input is
-   scanned once for all columns;
-2. the number of blocks follows the distinct count (about 1M distinct values
-   per block, at most 65,536 blocks); approximate quantiles of the distinct
-   values cut the range into blocks (a bounded list of doubles);
-3. per-(column, block) totals (<= blocks rows per column, collected) give
-   each block's rank offset and locate the blocks holding the target ranks;
-4. only those blocks (<= 2 per probability) are window-sorted, partitioned
-   by (column, block), and only their target rows come back.
-
-Steps 3 and 4 are one job each for all columns together.
+1. one sketch pass counts the rows and brackets every wanted rank: the sketch's
+   rank error is known, so the values two errors below and above enclose it;
+2. one pass over the data groups each value by its place among the brackets:
+   values inside one keep their value (about four errors of the rows, equal ones
+   as one), all values of a gap between brackets are one group. Both are partial
+   aggregates, so a value that holds a third of all rows is one row per task;
+3. gap and bracket totals (a few numbers per wanted rank) give the rank at which
+   each bracket starts, and a running count inside the bracket finds the value.
 
 The result uses Spark's ``percentile`` interpolation: position ``p * (n - 1)``,
 linear between the values at its floor and ceiling ranks. Null and NaN are
@@ -27,19 +22,12 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-# a block is window-sorted by one task: aim for about this many distinct values
-TARGET_BLOCK_ROWS = 1_000_000
-MAX_BLOCKS = 65_536
-
-
-def _values(df: DataFrame, col: str) -> DataFrame:
-    v = F.col(col).cast("double")
-    return df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+#: Blocks of equal rank that the sketch tells apart: its rank error is a block.
+BLOCKS = 10_000
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], rel_error: float = 0.01) -> DataFrame:
@@ -60,124 +48,95 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float], rel_err
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _splits(counted: DataFrame, blocks: int) -> list[float]:
-    """Block boundaries: ``blocks - 1`` approximate quantiles of the distinct
-    values (so blocks hold similar numbers of window rows); a bounded list."""
-    if blocks <= 1:
-        return [-math.inf, math.inf]
-    probs = [i / blocks for i in range(1, blocks)]
-    qs = counted.approxQuantile("v", probs, 1.0 / (4 * blocks))
-    inner = sorted({q for q in qs if q is not None and math.isfinite(q)})
-    return [-math.inf, *inner, math.inf]
-
-
-def _block_count(n_distinct: int, blocks: int | None) -> int:
-    if blocks is not None:
-        return max(1, int(blocks))
-    return int(min(MAX_BLOCKS, max(1, math.ceil(n_distinct / TARGET_BLOCK_ROWS))))
-
-
-def _value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(cid, v, c): count per distinct non-null, non-NaN value of each column,
-    all columns in one scan (partial aggregation before the shuffle)."""
-    tagged = [F.struct(F.lit(i).alias("cid"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]
-    vals = df.select(F.explode(F.array(*tagged)).alias("t")).select("t.*")
-    vals = vals.where(F.col("v").isNotNull() & ~F.isnan("v"))
-    return vals.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("c"))
-
-
-def _blocked(counted: DataFrame, stats: dict[int, tuple[int, int]], blocks: int | None) -> DataFrame:
-    """(cid, v, c, blk): the block id of each distinct value. A column with
-    more distinct values than one block holds is cut at its own approximate
-    quantiles (one sketch pass per such column); the rest are block 0."""
-    bucketed, blk = counted, F.lit(0.0)
-    for i, (n_distinct, _) in sorted(stats.items()):
-        splits = _splits(counted.where(F.col("cid") == i), _block_count(n_distinct, blocks))
-        if len(splits) > 2:
-            bucketed = Bucketizer(splits=splits, inputCol="v", outputCol=f"_b{i}").transform(bucketed)
-            blk = F.when(F.col("cid") == i, F.col(f"_b{i}")).otherwise(blk)
-    return bucketed.select("cid", "v", "c", blk.alias("blk"))
-
-
-def _rank_targets(totals: list[tuple], probs: list[float]) -> tuple[dict, dict]:
-    """From the (cid, blk, rows) block totals: each column's row count n, and
-    the block holding each needed global rank (floor and ceiling of
-    ``p * (n - 1)``), as {(cid, rank): (blk, rank inside the block)}."""
-    offsets: dict[int, list] = {}
-    for cid, blk, bc in sorted(totals):
-        acc = offsets[cid][-1][1] + offsets[cid][-1][2] if cid in offsets else 0
-        offsets.setdefault(cid, []).append((blk, acc, bc))
-    n = {cid: off[-1][1] + off[-1][2] for cid, off in offsets.items()}
-    wanted = {}
-    for cid, off in offsets.items():
-        for p in probs:
-            pos = p * (n[cid] - 1)
-            for k in {math.floor(pos), math.ceil(pos)}:
-                blk, start = next((b, a) for b, a, bc in off if a <= k < a + bc)
-                wanted[(cid, k)] = (blk, k - start)
-    return n, wanted
+def _brackets(df: DataFrame, cols: list[str], probs: list[float], blocks: int) -> dict[int, tuple[int, list[tuple[float, float]]]]:
+    """Column number -> (rows, disjoint ascending brackets of values that hold the
+    wanted ranks), for the columns that have values."""
+    edges = sorted({min(1.0, max(0.0, p + side * 2.0 / blocks)) for p in probs for side in (-1, 1)})
+    clean = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols]
+    row = df.agg(
+        *[F.count(x).alias(f"n{i}") for i, x in enumerate(clean)],
+        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(clean)],
+        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(clean)],
+        *[F.percentile_approx(x, edges, blocks).alias(f"q{i}") for i, x in enumerate(clean)],
+    ).first()
+    out = {}
+    for i in range(len(cols)):
+        if not row[f"n{i}"]:
+            continue
+        if row[f"n{i}"] < blocks:  # a block is less than a rank: the range is the bracket
+            out[i] = row[f"n{i}"], [(row[f"lo{i}"], row[f"hi{i}"])]
+            continue
+        value = dict(zip(edges, row[f"q{i}"]))
+        found: list[tuple[float, float]] = []
+        for p in sorted(probs):
+            low, high = p - 2.0 / blocks, p + 2.0 / blocks
+            low = row[f"lo{i}"] if low <= 0 else value[low]
+            high = row[f"hi{i}"] if high >= 1 else value[high]
+            if found and low <= found[-1][1]:
+                found[-1] = found[-1][0], max(high, found[-1][1])
+            else:
+                found.append((low, high))
+        out[i] = row[f"n{i}"], found
+    return out
 
 
-def spark_ranks(bucketed: DataFrame, target_blocks: DataFrame) -> DataFrame:
-    """Running count per (column, block), ordered by value, only for the
-    target blocks (a broadcast semi join with a bounded table)."""
-    upto = Window.partitionBy("cid", "blk").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    kept = bucketed.join(F.broadcast(target_blocks), ["cid", "blk"], "left_semi")
-    return kept.withColumn("run", F.sum("c").over(upto))
+def _place(x: Column, brackets: list[tuple[float, float]]) -> Column:
+    """(place, v): 2k + 1 and the value inside bracket k, 2k and null in the gap before it."""
+    below = sum((F.when(x > high, 1).otherwise(0) for _, high in brackets), F.lit(0))
+    inside = F.lit(False)
+    for low, high in brackets:
+        inside = inside | x.between(low, high)
+    return F.struct((below * 2 + inside.cast("int")).alias("place"), F.when(inside, x).alias("v"))
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], blocks: int | None = None) -> DataFrame:
     """(column, prob, value), exact, distributed (see module doc).
 
-    Eager, like ``DataFrame.approxQuantile``: the distinct-value counts are
-    computed and persisted once; every column is handled by the same three
-    jobs (per-column stats, block totals, ranks inside the target blocks),
-    plus one sketch pass per column that needs more than one block. The
+    Eager, like ``DataFrame.approxQuantile``: two passes over the input for all
+    columns together. What is kept between the last two jobs are the values inside
+    the brackets. ``blocks`` sets how fine the brackets are, never the result. The
     result (len(cols) * len(probs) rows) comes back as a small DataFrame."""
     probs = [float(p) for p in probs]
-    counted = _value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = {
-            r["cid"]: (r["nd"], r["n"])
-            for r in counted.groupBy("cid").agg(F.count(F.lit(1)).alias("nd"), F.sum("c").alias("n")).collect()
-        }
-        value_at: dict = {}
-        n: dict = {}
-        if stats:
-            bucketed = _blocked(counted, stats, blocks)
-            # block totals: at most (blocks per column) * len(cols) rows
-            totals = [
-                (r["cid"], r["blk"], r["bc"])
-                for r in bucketed.groupBy("cid", "blk").agg(F.sum("c").alias("bc")).collect()
-            ]
-            n, wanted = _rank_targets(totals, probs)
-            # (cid, blk, rank inside the block, global rank): <= 2 * len(probs) rows per column
-            targets = df.sparkSession.createDataFrame(
-                [(cid, float(blk), int(lk), int(k)) for (cid, k), (blk, lk) in wanted.items()],
-                "cid int, blk double, lk bigint, k bigint",
-            )
-            hits = (
-                spark_ranks(bucketed, targets.select("cid", "blk").distinct())
-                .join(F.broadcast(targets), ["cid", "blk"])
-                .where((F.col("run") - F.col("c") <= F.col("lk")) & (F.col("lk") < F.col("run")))
-                .select("cid", "k", "v")
-                .collect()
-            )
-            value_at = {(r["cid"], r["k"]): r["v"] for r in hits}
-    finally:
-        counted.unpersist()
+    spark = df.sparkSession
+    found = _brackets(df, cols, probs, max(1, int(blocks or BLOCKS)))
+    value_at: dict[tuple[int, int], float] = {}
+    if found:
+        tagged = []
+        for i, (_, brackets) in found.items():
+            x = F.col(cols[i]).cast("double")
+            tagged.append(F.when(x.isNotNull() & ~F.isnan(x), F.struct(F.lit(i).alias("cid"), _place(x, brackets).alias("p"))))
+        placed = df.select(F.explode(F.array(*tagged)).alias("t")).where("t is not null").select("t.cid", "t.p.place", "t.p.v")
+        counted = placed.groupBy("cid", "place", "v").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # at most two rows a wanted rank and one more
+            totals = {(r["cid"], r["place"]): r["n"] for r in counted.groupBy("cid", "place").agg(F.sum("c").alias("n")).collect()}
+            targets = []
+            for i, (n, brackets) in found.items():
+                for k in {k for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}:
+                    start = 0
+                    for place in range(2 * len(brackets) + 1):
+                        held = totals.get((i, place), 0)
+                        if start <= k < start + held:
+                            targets.append((i, place, k - start, k))
+                        start += held
+            wanted = F.broadcast(spark.createDataFrame(targets, "cid int, place int, inner bigint, k bigint"))
+            upto = Window.partitionBy("cid", "place").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            ranked = counted.where("v is not null").withColumn("run", F.sum("c").over(upto))
+            hit = ranked.join(wanted, ["cid", "place"]).where("run - c <= inner and inner < run").select("cid", "k", "v")
+            value_at = {(r["cid"], r["k"]): r["v"] for r in hit.collect()}
+        finally:
+            counted.unpersist()
     rows = []
     for i, c in enumerate(cols):
         for p in probs:
-            if i not in n:
-                rows.append((c, p, None))
-                continue
-            pos = p * (n[i] - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            if lo == hi:
-                rows.append((c, p, value_at[(i, lo)]))
-            else:
-                rows.append((c, p, (hi - pos) * value_at[(i, lo)] + (pos - lo) * value_at[(i, hi)]))
+            value = None
+            if i in found:
+                pos = p * (found[i][0] - 1)
+                low, high = math.floor(pos), math.ceil(pos)
+                value = value_at[(i, low)]
+                if low != high:
+                    value = (high - pos) * value + (pos - low) * value_at[(i, high)]
+            rows.append((c, p, value))
     schema = StructType(
         [
             StructField("column", StringType(), False),
@@ -185,7 +144,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], blocks:
             StructField("value", DoubleType(), True),
         ]
     )
-    return df.sparkSession.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, schema)
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "approx", rel_error: float = 0.01,

@@ -117,6 +117,8 @@ class Params:
     cv_folds: int = CV_FOLDS
     forest_grid: dict = field(default_factory=lambda: dict(FOREST_GRID))
     linear_grid: dict = field(default_factory=lambda: dict(LINEAR_GRID))
+    forest_parallelism: int = 1
+    linear_parallelism: int = 2
     # None: fit on every valid row; an int reproduces the original row cap
     # (a global limit, gathered through one partition); a fraction keeps a
     # deterministic hash sample instead (filtered in place, no exchange)

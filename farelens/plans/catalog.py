@@ -23,12 +23,16 @@ from ..operators import profile as pr
 from ..operators import quality as qu
 from ..operators import quantiles as qn
 from ..params import DEFAULT, FEATURE_COLS, ROW_CAP, SAMPLE_ROWS, SMALL_MODELS, TOP_K
+from ..sources import TRIP_COLUMNS, TRIP_SCHEMA, testdata
 from . import stages as st
 
-DEFAULT_ROW_CAP = ROW_CAP
+# binds at every tested size; the study's own cap is ROW_CAP
+QUERY_ROW_CAP = ROW_CAP // 50
 DEFAULT_TOP_K = TOP_K
 DEFAULT_SAMPLE_ROWS = SAMPLE_ROWS
 IQR_COLS = ("fare_amount", "distance_km")
+# a year is large against its spread
+CORR_CENTERS = {"pickup_year": 2000.0}
 CORR_COLS = ("fare_amount", *FEATURE_COLS)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +58,20 @@ def q_parse_time(spark, sf_dir):
     return st.trips_ts(spark, sf_dir).select("key", "pickup_datetime", "pickup_datetime_ts")
 
 
+@register("csv_scan")
+def q_csv_scan(spark, sf_dir):
+    """S1 without files: the trips as CSV lines, some with a bad, a missing or an
+    extra cell, parsed under the fixed schema."""
+    trips = testdata.trips(spark, sf_dir)
+    order = F.split("key", "-")[0].cast("bigint")
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TRIP_COLUMNS}
+    cells["fare_amount"] = F.when(order % 7 == 0, F.lit("oops")).otherwise(cells["fare_amount"])
+    cells["dropoff_latitude"] = F.when(order % 11 == 0, F.lit("")).otherwise(cells["dropoff_latitude"])
+    line = F.concat_ws(",", *cells.values(), F.when(order % 13 == 0, F.lit("extra")))
+    parsed = trips.select(F.from_csv(line, TRIP_SCHEMA.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE"}).alias("r"))
+    return st.round_doubles(parsed.select("r.*"))
+
+
 @register("calendar_features")
 def q_calendar_features(spark, sf_dir):
     return st.profile(spark, sf_dir).select("key", "pickup_hour", "pickup_dow", "pickup_month", "pickup_year")
@@ -87,21 +105,22 @@ def q_hourly_fare(spark, sf_dir):
 # --- K4, G3: caps, samples, split -------------------------------------------
 
 
-@register("row_cap", rows_only=True)
+@register("row_cap")
 def q_row_cap(spark, sf_dir):
-    return st.round_doubles(fe.row_cap(st.features(spark, sf_dir), DEFAULT_ROW_CAP))
+    # which rows a cap keeps is arbitrary; how many is not
+    capped = fe.row_cap(st.features(spark, sf_dir), QUERY_ROW_CAP)
+    return capped.agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("hash_sample", rows_only=True)
+@register("hash_sample")
 def q_hash_sample(spark, sf_dir):
-    return st.round_doubles(fe.hash_sample(st.features(spark, sf_dir), 0.5))
+    return st.round_doubles(fe.hash_sample(st.features(spark, sf_dir, carry=("key",)), 0.5, ["key"]))
 
 
-@register("train_test_split", rows_only=True)
+@register("train_test_split")
 def q_train_test_split(spark, sf_dir):
-    # sizes of the two halves of the default hash split, in one pass
-    feats = st.features(spark, sf_dir)
-    return feats.groupBy(fe.split_part(feats.columns).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    feats = st.features(spark, sf_dir, carry=("key",))
+    return st.round_doubles(feats.withColumn("part", fe.split_part(["key"])))
 
 
 # --- A1-A3, G1-G2, P8-P9, A20: quality --------------------------------------
@@ -181,20 +200,17 @@ def q_iqr_approx(spark, sf_dir):
 
 @register("correlation")
 def q_correlation(spark, sf_dir):
-    return st.round_doubles(pr.correlation(st.profile(spark, sf_dir), list(CORR_COLS), nulls="zero"))
+    return st.round_doubles(pr.correlation(st.profile(spark, sf_dir), list(CORR_COLS), nulls="zero", centers=CORR_CENTERS))
 
 
 @register("correlation_skip")
 def q_correlation_skip(spark, sf_dir):
-    return st.round_doubles(pr.correlation(st.profile(spark, sf_dir), list(CORR_COLS), nulls="skip"))
+    return st.round_doubles(pr.correlation(st.profile(spark, sf_dir), list(CORR_COLS), nulls="skip", centers=CORR_CENTERS))
 
 
 @register("profile_summary")
 def q_profile_summary(spark, sf_dir):
-    # box shares, exact IQR (grouping + counting passes) and missing cells all
-    # read the profile frame: derive it once; the result is 12 rows
-    with _persisted(st.profile(spark, sf_dir)) as prof:
-        return _small(st.round_doubles(pr.profile_summary(prof, method="exact")))
+    return st.round_doubles(pr.profile_summary(st.profile(spark, sf_dir), method="exact"))
 
 
 # --- A7-A13: distributions ---------------------------------------------------
@@ -263,6 +279,22 @@ def q_heatmap_pivot(spark, sf_dir):
     return st.round_doubles(ds.heatmap_pivot(heat, "lat_bin", "lat_center", "lon_bin", labels))
 
 
+@register("dropoff_heatmap_pivot")
+def q_dropoff_heatmap_pivot(spark, sf_dir):
+    p = DEFAULT
+    heat = ds.geo_heatmap(st.profile(spark, sf_dir), "dropoff_longitude", "dropoff_latitude", p.dropoff_box, p.geo_bin_size)
+    labels = ds.axis_labels(p.dropoff_box.lon[0], p.dropoff_box.lon[1], p.geo_bin_size)
+    return st.round_doubles(ds.heatmap_pivot(heat, "lat_bin", "lat_center", "lon_bin", labels))
+
+
+@register("fare_distance_pivot")
+def q_fare_distance_pivot(spark, sf_dir):
+    p = DEFAULT
+    heat = ds.fare_distance_heatmap(st.profile(spark, sf_dir))
+    labels = ds.axis_labels(0.0, p.heat_distance_max, p.heat_distance_bin)
+    return st.round_doubles(ds.heatmap_pivot(heat, "fare_bin", "fare_center", "dist_bin", labels))
+
+
 # --- M10, A17-A19, P12-P13, K2, K5, M7, M11: errors and metrics ---------------
 
 
@@ -305,9 +337,9 @@ def q_worst_predictions(spark, sf_dir):
     return st.round_doubles(er.worst_predictions(_result(spark, sf_dir), DEFAULT_TOP_K))
 
 
-@register("sample_rows", rows_only=True)
+@register("sample_rows")
 def q_sample_rows(spark, sf_dir):
-    return er.sample_rows(_result(spark, sf_dir), DEFAULT_SAMPLE_ROWS)
+    return st.round_doubles(er.sample_rows(_result(spark, sf_dir), DEFAULT_SAMPLE_ROWS))
 
 
 @register("regression_metrics")
@@ -336,10 +368,12 @@ def _persisted(df: DataFrame):
         df.unpersist()
 
 
+@contextmanager
 def _model_input(spark, sf_dir):
-    """Feature table persisted for the duration of a fit (scaler fit, split,
-    model passes and scoring all reuse it)."""
-    return _persisted(st.features(spark, sf_dir))
+    """(train, test) vectors, kept once while the fits and the scoring read them."""
+    _, frame = md.vectors(st.features(spark, sf_dir, ML, carry=("key",)), ML)
+    with _persisted(frame) as kept:
+        yield md.train_rows(kept), md.test_rows(kept)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -350,22 +384,22 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _fit_query(name: str, fit_fn):
     def q(spark, sf_dir):
-        with _model_input(spark, sf_dir) as fe_df:
-            _, train, test = md.vectorize(fe_df, ML)
-            model = fit_fn(train, ML)
-            return _small(md.metrics_long(md.regression_metrics(model.transform(test)), name))
+        with _model_input(spark, sf_dir) as (train, test):
+            return _small(md.model_comparison({name: fit_fn(train, ML)}, test))
 
     return q
 
 
-@register("assembled_features", rows_only=True)
+@register("assembled_features")
 def q_assembled_features(spark, sf_dir):
     out = md.assembler(ML.feature_cols).transform(st.features(spark, sf_dir))
-    return out.select("label", vector_to_array("features_raw").alias("features"))
+    slots = vector_to_array("features_raw")
+    return st.round_doubles(out.select("label", *[slots[i].alias(f"x_{c}") for i, c in enumerate(ML.feature_cols)]))
 
 
 @register("scaled_features")
 def q_scaled_features(spark, sf_dir):
+    # two passes; the rows are the caller's to read, so nothing can be kept for them
     fe_df = st.features(spark, sf_dir)
     prep = md.prep_pipeline(ML.feature_cols).fit(fe_df)
     return st.round_doubles(md.scaled_columns(prep, fe_df, ML.feature_cols))
@@ -378,30 +412,26 @@ register("fit_boosted", rows_only=True)(_fit_query("GBT", md.fit_boosted))
 
 @register("model_comparison", rows_only=True)
 def q_model_comparison(spark, sf_dir):
-    with _model_input(spark, sf_dir) as fe_df:
-        _, train, test = md.vectorize(fe_df, ML)
+    with _model_input(spark, sf_dir) as (train, test):
         models = {"Linear": md.fit_linear(train, ML), "RF": md.fit_forest(train, ML), "GBT": md.fit_boosted(train, ML)}
         return _small(md.model_comparison(models, test))
 
 
 @register("tune_forest", rows_only=True)
 def q_tune_forest(spark, sf_dir):
-    with _model_input(spark, sf_dir) as fe_df:
-        _, train, _ = md.vectorize(fe_df, ML)
-        _, report = md.tune_forest(train, ML)
-        return report
+    with _model_input(spark, sf_dir) as (train, test):
+        cv, report = md.tune_forest(train, ML)
+        return md.with_test_rmse(report, cv, test)
 
 
 @register("tune_linear", rows_only=True)
 def q_tune_linear(spark, sf_dir):
-    with _model_input(spark, sf_dir) as fe_df:
-        _, train, _ = md.vectorize(fe_df, ML)
-        _, report = md.tune_linear(train, ML)
-        return report
+    with _model_input(spark, sf_dir) as (train, test):
+        cv, report = md.tune_linear(train, ML)
+        return md.with_test_rmse(report, cv, test)
 
 
 @register("feature_importance", rows_only=True)
 def q_feature_importance(spark, sf_dir):
-    with _model_input(spark, sf_dir) as fe_df:
-        _, train, _ = md.vectorize(fe_df, ML)
+    with _model_input(spark, sf_dir) as (train, _):
         return md.feature_importance(md.fit_forest(train, ML), ML.feature_cols)

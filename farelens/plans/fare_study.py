@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import time
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import distributions as ds
@@ -22,7 +21,7 @@ from ..operators import models as md
 from ..operators import profile as pr
 from ..operators import quality as qu
 from ..params import DEFAULT, Params
-from ..session import pin_time_zone
+from ..session import ensure_checkpoint_dir, pin_time_zone
 from ..sources import read_parquet, require_rows, with_parsed_time, write_metrics_json, write_parquet, write_report_csv
 
 IQR_COLS = ("fare_amount", "distance_km")
@@ -39,24 +38,17 @@ def clean(spark: SparkSession, trips: DataFrame, out_dir: str, params: Params =
 
 
 def profile(raw: DataFrame, out_dir: str, params: Params = DEFAULT) -> None:
-    """All profile reports; the profile frame (raw + distance + calendar) is
-    persisted once for the ~15 report jobs and released afterwards."""
-    prof = fe.profile_frame(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _profile_reports(prof, out_dir, params)
-    finally:
-        prof.unpersist()
-
-
-def _profile_reports(prof: DataFrame, out_dir: str, params: Params) -> None:
-    eda = f"{out_dir}/eda"
-    p = params
+    """All profile reports, straight from the cleaned table: the one-row reports
+    and the summary are cut from one pass, the IQR report is computed once."""
+    prof, p, eda = fe.profile_frame(raw), params, f"{out_dir}/eda"
+    row, iqr = small(pr.overview(prof, p)), small(pr.iqr_report(prof, list(IQR_COLS), p, method="approx"))
     reports = {
-        "missing_values": pr.missing_values(prof),
-        "numeric_min_max": pr.numeric_min_max(prof),
-        "numeric_avg_std": pr.numeric_avg_std(prof),
-        "outside_box": qu.outside_box(prof, p),
-        "iqr": pr.iqr_report(prof, list(IQR_COLS), p, method="approx"),
+        "missing_values": pr.missing_values(prof, row),
+        "numeric_min_max": pr.numeric_min_max(prof, row=row),
+        "numeric_avg_std": pr.numeric_avg_std(prof, row=row),
+        "outside_box": row.select("total_rows", *[f"{e}_outside{x}" for x in ("", "_share") for e in ("pickup", "dropoff")]),
+        "iqr": iqr,
+        "summary": pr.profile_summary(prof, p, row=row, iqr=iqr),
         "hist_fare_amount": ds.histogram(prof, "fare_amount", p.fare_bin_width, 0.0, p.heat_fare_max),
         "hist_distance_km": ds.histogram(prof, "distance_km", p.distance_bin_width, 0.0, p.heat_distance_max),
         "passenger_distribution": ds.passenger_distribution(prof, p),
@@ -66,15 +58,19 @@ def _profile_reports(prof: DataFrame, out_dir: str, params: Params) -> None:
         "dropoff_heatmap": ds.geo_heatmap(prof, "dropoff_longitude", "dropoff_latitude", p.dropoff_box, p.geo_bin_size),
         "fare_distance_heatmap": ds.fare_distance_heatmap(prof, p),
         "correlation_matrix": pr.correlation(prof, ["fare_amount", *p.feature_cols]),
-        "summary": pr.profile_summary(prof, p, method="approx"),
     }
     for name, df in reports.items():
         write_report_csv(df, f"{eda}/{name}")
 
 
+def small(report: DataFrame) -> DataFrame:
+    """A report of a few rows as a local frame, so that it is computed once."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 def features(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params = DEFAULT) -> DataFrame:
     write_report_csv(fe.filter_accounting(raw, params), f"{out_dir}/filter_accounting")
-    write_parquet(fe.feature_table(raw, params), f"{out_dir}/fe.parquet")
+    write_parquet(fe.feature_table(raw, params, carry=("key",)), f"{out_dir}/fe.parquet")
     return require_rows(read_parquet(spark, f"{out_dir}/fe.parquet"), "feature table")
 
 
@@ -86,7 +82,9 @@ def vectors(spark: SparkSession, feats: DataFrame, out_dir: str, params: Params
     return read_parquet(spark, f"{out_dir}/train.parquet"), read_parquet(spark, f"{out_dir}/test.parquet")
 
 
-def models(train: DataFrame, test: DataFrame, out_dir: str, params: Params = DEFAULT) -> dict:
+def models(train: DataFrame, test: DataFrame, out_dir: str, params: Params = DEFAULT) -> dict[str, float]:
+    """Fit and save the three baselines, score the saved models; returns the
+    measured metrics of the linear one."""
     fitted = {
         "Linear": md.fit_linear(train, params),
         "RF": md.fit_forest(train, params),
@@ -94,19 +92,24 @@ def models(train: DataFrame, test: DataFrame, out_dir: str, params: Params = DEF
     }
     for name, key in (("Linear", "lr"), ("RF", "rf"), ("GBT", "gbt")):
         md.save_model(fitted[name], f"{out_dir}/baseline_models/{key}")
-    write_metrics_json(md.model_comparison(fitted, test), f"{out_dir}/baseline_metrics")
-    return fitted
+    compared = small(md.model_comparison(md.load_baselines(f"{out_dir}/baseline_models"), test))
+    write_metrics_json(compared, f"{out_dir}/baseline_metrics")
+    return {r["metric"]: r["value"] for r in compared.where("model = 'Linear'").collect()}
 
 
-def tuning(spark: SparkSession, train: DataFrame, test: DataFrame, out_dir: str, params: Params = DEFAULT) -> None:
+def tuning(
+    train: DataFrame, test: DataFrame, out_dir: str, params: Params = DEFAULT, baseline: dict[str, float] | None = None
+) -> None:
+    """Both grids; ``baseline``: the linear metrics that the tuned linear model is
+    compared with (default: the fixed ones of the original data)."""
     rf_cv, rf_report = md.tune_forest(train, params)
     md.save_model(rf_cv.bestModel, f"{out_dir}/best_rf_model")
-    write_report_csv(rf_report, f"{out_dir}/tuning_rf")
+    write_report_csv(md.with_test_rmse(rf_report, rf_cv, test), f"{out_dir}/tuning_rf")
     lr_cv, lr_report = md.tune_linear(train, params)
     md.save_model(lr_cv.bestModel, f"{out_dir}/best_lr_model")
-    write_report_csv(lr_report, f"{out_dir}/tuning_linear")
+    write_report_csv(md.with_test_rmse(lr_report, lr_cv, test), f"{out_dir}/tuning_linear")
     tuned = md.regression_metrics(lr_cv.bestModel.transform(test))
-    write_report_csv(md.baseline_improvement(tuned, params.baseline_linear), f"{out_dir}/tuning_linear_vs_baseline")
+    write_report_csv(md.baseline_improvement(tuned, baseline or params.baseline_linear), f"{out_dir}/tuning_linear_vs_baseline")
     # importance needs the tuned forest, so it runs after tuning
     write_report_csv(md.feature_importance(rf_cv.bestModel, params.feature_cols), f"{out_dir}/feature_importance")
 
@@ -134,11 +137,14 @@ def run(spark: SparkSession, trips: DataFrame, out_dir: str, params: Params = DE
         times[name] = round(time.time() - t0, 3)
         return r
 
+    # boosting cuts its lineage here; out_dir is shared, as the stages' tables are
+    ensure_checkpoint_dir(spark, f"{out_dir}/checkpoints")
     raw = timed("clean", clean, spark, trips, out_dir, params)
     timed("profile", profile, raw, out_dir, params)
     feats = timed("features", features, spark, raw, out_dir, params)
     train, test = timed("vectors", vectors, spark, feats, out_dir, params)
-    timed("models", models, train, test, out_dir, params)
-    timed("tuning", tuning, spark, train, test, out_dir, params)
+    with md.cached(train) as kept:  # once for every fit
+        baseline = timed("models", models, kept, test, out_dir, params)
+        timed("tuning", tuning, kept, test, out_dir, params, baseline)
     timed("error_analysis", error_analysis, spark, test, out_dir, params)
     return times

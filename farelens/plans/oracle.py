@@ -9,7 +9,7 @@ integer sums are BIGINT/HUGEINT (cast); division by zero gives inf (use
 
 from __future__ import annotations
 
-from ..params import DEFAULT, FEATURE_COLS
+from ..params import DEFAULT, FEATURE_COLS, ROW_CAP, SAMPLE_ROWS
 
 P = DEFAULT
 
@@ -461,26 +461,31 @@ ORACLE["fare_distance_heatmap"] = with_(*PROF_BASE) + (
 )
 
 
-def _pivot_sql() -> str:
-    import math
-
-    box, s = P.pickup_box, P.geo_bin_size
-    n = int(math.floor((box.lon[1] - box.lon[0]) / s))
+def _pivot_sql(row: tuple[str, str, float, float, float], column: tuple[str, str, float, float, float]) -> str:
+    """(result name, source column, low, high, bin size) of each axis."""
+    (rn, rc, r0, r1, rs), (_, cc, c0, c1, cs) = row, column
+    n = int((c1 - c0) // cs)
     cols = ", ".join(
-        f"CAST(sum(CASE WHEN lon_bin = {b} THEN cnt ELSE 0 END) AS BIGINT) AS \"{round(box.lon[0] + (b + 0.5) * s, 4)!r}\""
-        for b in range(n + 1)
+        f"CAST(sum(CASE WHEN cb = {b} THEN cnt ELSE 0 END) AS BIGINT) AS \"{round(c0 + (b + 0.5) * cs, 4)!r}\"" for b in range(n + 1)
     )
-    lon, lat = "pickup_longitude", "pickup_latitude"
     return with_(*PROF_BASE) + (
-        f"SELECT round({d(box.lat[0])} + (lat_bin + {d(0.5)}) * {d(s)}, 4) AS lat_center, {cols} FROM ("
-        f"SELECT lat_bin, lon_bin, count(*) AS cnt FROM ("
-        f"SELECT CAST(floor(({lon} - {d(box.lon[0])}) / {d(s)}) AS INTEGER) AS lon_bin, "
-        f"CAST(floor(({lat} - {d(box.lat[0])}) / {d(s)}) AS INTEGER) AS lat_bin FROM prof "
-        f"WHERE {_box_ok(lon, lat, box)}) z GROUP BY lat_bin, lon_bin) h GROUP BY lat_bin ORDER BY lat_center DESC"
+        f"SELECT round({d(r0)} + (rb + {d(0.5)}) * {d(rs)}, 4) AS {rn}, {cols} FROM ("
+        f"SELECT rb, cb, count(*) AS cnt FROM (SELECT CAST(floor(({rc} - {d(r0)}) / {d(rs)}) AS INTEGER) AS rb, "
+        f"CAST(floor(({cc} - {d(c0)}) / {d(cs)}) AS INTEGER) AS cb FROM prof "
+        f"WHERE {rc} BETWEEN {d(r0)} AND {d(r1)} AND {cc} BETWEEN {d(c0)} AND {d(c1)}) b GROUP BY rb, cb) g GROUP BY rb"
     )
 
 
-ORACLE["heatmap_pivot"] = _pivot_sql()
+def _geo_axes(end: str, box) -> tuple:
+    return ("lat_center", f"{end}_latitude", *box.lat, P.geo_bin_size), ("lon_center", f"{end}_longitude", *box.lon, P.geo_bin_size)
+
+
+ORACLE["heatmap_pivot"] = _pivot_sql(*_geo_axes("pickup", P.pickup_box))
+ORACLE["dropoff_heatmap_pivot"] = _pivot_sql(*_geo_axes("dropoff", P.dropoff_box))
+ORACLE["fare_distance_pivot"] = _pivot_sql(
+    ("fare_center", "fare_amount", 0.0, P.heat_fare_max, P.heat_fare_bin),
+    ("dist_center", "distance_km", 0.0, P.heat_distance_max, P.heat_distance_bin),
+)
 
 # --- errors and metrics -------------------------------------------------------
 
@@ -549,6 +554,10 @@ ORACLE["best_predictions"] = with_(SCORED) + (
     f"prediction ASC NULLS FIRST, error ASC NULLS FIRST, percentage_error ASC NULLS FIRST LIMIT 100"
 )
 
+ORACLE["sample_rows"] = with_(SCORED) + (
+    f"SELECT {_RES_COLS} FROM res ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in _RES_COLS.split(', '))} LIMIT {SAMPLE_ROWS}"
+)
+
 ORACLE["worst_predictions"] = with_(SCORED) + (
     f"SELECT {_RES_COLS} FROM res ORDER BY absolute_error DESC NULLS LAST, label ASC NULLS FIRST, "
     f"prediction ASC NULLS FIRST, error ASC NULLS FIRST, percentage_error ASC NULLS FIRST LIMIT 100"
@@ -556,7 +565,7 @@ ORACLE["worst_predictions"] = with_(SCORED) + (
 
 _METRICS_CTE = (
     "\nm AS (SELECT sqrt(avg(power(prediction - label, 2))) AS rmse, avg(abs(prediction - label)) AS mae, "
-    "1 - sum(power(prediction - label, 2)) / nullif(var_pop(label) * count(*), 0) AS r2 FROM scored)"
+    "1 - sum(power(prediction - label, 2)) / nullif(var_pop(label) * count(label), 0) AS r2 FROM scored)"
 )
 
 ORACLE["regression_metrics"] = with_(SCORED, _METRICS_CTE) + (
@@ -581,3 +590,32 @@ ORACLE["scaled_features"] = with_(*FEAT_BASE) + (
     )
     + " FROM feat"
 )
+
+
+# --- S1, K4, K5, G3, M1: scan, samples, split, assembly ----------------------
+
+ORACLE["csv_scan"] = with_(TRIPS) + (
+    "SELECT key, CASE WHEN o % 7 = 0 THEN NULL ELSE round(fare_amount, 6) END AS fare_amount, pickup_datetime, "
+    "round(pickup_longitude, 6) AS pickup_longitude, round(pickup_latitude, 6) AS pickup_latitude, "
+    "round(dropoff_longitude, 6) AS dropoff_longitude, "
+    "CASE WHEN o % 11 = 0 THEN NULL ELSE round(dropoff_latitude, 6) END AS dropoff_latitude, passenger_count "
+    "FROM (SELECT *, CAST(split_part(key, '-', 1) AS BIGINT) AS o FROM trips) z"
+)
+
+
+def _below(fraction: float, seed: int) -> str:
+    """The key's place by the first 60 bits of an MD5."""
+    return f"CAST(('0x' || substr(md5('{seed}' || chr(31) || key), 1, 15)) AS BIGINT) < {int(fraction * (1 << 60))}"
+
+
+KEYED = PROF_BASE + (f"\nkeyed AS (SELECT key, fare_amount AS label, {', '.join(FEATURE_COLS)} FROM prof WHERE {VALID})",)
+_KEYED_COLS = f"key, {r6('label', 'label')}, {', '.join(FEATURE_COLS[:-1])}, {r6('distance_km', 'distance_km')}"
+
+ORACLE["hash_sample"] = with_(*KEYED) + f"SELECT {_KEYED_COLS} FROM keyed WHERE {_below(0.5, P.seed)}"
+ORACLE["train_test_split"] = with_(*KEYED) + (
+    f"SELECT {_KEYED_COLS}, CASE WHEN {_below(P.train_fraction, P.seed)} THEN 'train' ELSE 'test' END AS part FROM keyed"
+)
+ORACLE["row_cap"] = with_(*FEAT_BASE) + f"SELECT least(count(*), {ROW_CAP // 50}) AS rows FROM feat"
+ORACLE["assembled_features"] = with_(*FEAT_BASE) + (
+    "SELECT round(label, 6) AS label, " + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS x_{c}" for c in FEATURE_COLS) + " FROM feat"
+)

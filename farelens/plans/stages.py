@@ -10,14 +10,13 @@ from pyspark.sql.types import DoubleType, FloatType
 from ..operators.features import feature_table, profile_frame
 from ..operators.quality import dedup_keys
 from ..params import DEFAULT, Params
-from ..session import pin_time_zone
 from ..sources import testdata
 from ..sources.trips import with_parsed_time
 
 
 def trips_ts(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> DataFrame:
-    """Raw trips + parsed time, before deduplication."""
-    pin_time_zone(spark, params)
+    """Raw trips + parsed time, before deduplication. Calendar fields follow the
+    session's time zone, which the entry point pins (``session.pin_time_zone``)."""
     return with_parsed_time(testdata.trips(spark, sf_dir))
 
 
@@ -30,8 +29,8 @@ def profile(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> DataF
     return profile_frame(raw(spark, sf_dir, params))
 
 
-def features(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> DataFrame:
-    return feature_table(raw(spark, sf_dir, params), params)
+def features(spark: SparkSession, sf_dir: str, params: Params = DEFAULT, carry: tuple[str, ...] = ()) -> DataFrame:
+    return feature_table(raw(spark, sf_dir, params), params, carry)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

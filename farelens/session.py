@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 from .params import DEFAULT, Params
@@ -22,12 +20,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-def ensure_checkpoint_dir(spark: SparkSession, local_fallback: str | None = None) -> str:
-    """Use the configured ``spark.checkpoint.dir``; set a local one only when unset
-    (single-machine tests). On a cluster the setting must name a shared folder."""
-    d = checkpoint_dir(spark)
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """Make sure checkpoints have a folder: the one the session names, else
+    ``folder``, which the caller chooses. On a cluster it must be shared by all
+    executors, so none is made up here."""
+    d = checkpoint_dir(spark) or folder
     if d is None:
-        d = local_fallback or tempfile.mkdtemp(prefix="farelens-ckpt-")
+        raise ValueError("name a shared folder in spark.checkpoint.dir, or pass one")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d

@@ -10,7 +10,7 @@ from .sinks import (
     write_report_csv,
 )
 from .testdata import scored, scored_from_lineitem, table, trips, trips_from_lineitem
-from .trips import TRIP_COLUMNS, TRIP_SCHEMA, conform, read_parquet, read_trips_csv, with_parsed_time
+from .trips import TRIP_COLUMNS, TRIP_SCHEMA, read_parquet, read_trips_csv, with_parsed_time
 
 __all__ = [
     "EmptyInputError",
@@ -27,7 +27,6 @@ __all__ = [
     "trips_from_lineitem",
     "TRIP_COLUMNS",
     "TRIP_SCHEMA",
-    "conform",
     "read_parquet",
     "read_trips_csv",
     "with_parsed_time",

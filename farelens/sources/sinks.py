@@ -4,6 +4,7 @@ driver); only aggregated, bounded results are coalesced to one file."""
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,11 +28,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def write_report_csv(report: DataFrame, path: str, single_file: bool = True) -> None:
     """Report tables are aggregates (bounded rows): one CSV file with a header.
-    An empty report writes nothing, as the study skipped empty frames."""
-    if report.isEmpty():
-        return
-    out = report.coalesce(1) if single_file else report
-    out.write.mode("overwrite").option("header", True).csv(path)
+    An empty report writes nothing, as the study skipped empty frames.
+
+    The report is kept while it is tested and written, so its input is read once."""
+    kept = persist_for_passes(report)
+    try:
+        if not kept.isEmpty():
+            out = kept.coalesce(1) if single_file else kept
+            out.write.mode("overwrite").option("header", True).csv(path)
+    finally:
+        kept.unpersist()
 
 
 def write_metrics_json(metrics: DataFrame, path: str) -> None:
@@ -45,9 +51,12 @@ def persist_for_passes(df: DataFrame) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of ``path`` (works for
-    cluster paths, unlike ``os.path``)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    """Existence of a saved model or table, through Spark's own reader (so any
+    store that Spark reads)."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True

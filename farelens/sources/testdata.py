@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .trips import TRIP_COLUMNS, spread_small_scan
+from .trips import TRIP_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five columns the derivations use (pruned before any exchange),
-    spread over the cores when the file is a single unsplittable row group."""
+    """The columns the derivations use."""
     cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
-    return spread_small_scan(table(spark, sf_dir, "lineitem").select(*cols))
+    return table(spark, sf_dir, "lineitem").select(*cols)
 
 
 def _d(x: float):

@@ -37,24 +37,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the default parallelism ONLY when it yields
-    fewer partitions than that (a few unsplittable files, e.g. one parquet
-    row group). A large input already has far more splits than cores, so
-    this adds no shuffle at scale."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Connect session): leave the plan alone
-        return df
-    return df.repartition(target) if parts < target else df
-
-
 def with_parsed_time(trips: DataFrame, out: str = "pickup_datetime_ts") -> DataFrame:
     """Raw trips plus the parsed pickup time (null when unparsable)."""
     return trips.withColumn(out, parse_time("pickup_datetime"))
-
-
-def conform(df: DataFrame) -> DataFrame:
-    """Cast an arbitrary frame with the trip columns to the fixed schema."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in TRIP_SCHEMA.fields])

@@ -8,6 +8,7 @@ from farelens.operators import features as fe
 from farelens.operators import profile as pr
 from farelens.operators import quality as qu
 from farelens.plans import stages
+from farelens.plans.catalog import QUERIES
 from farelens.sources import read_parquet, write_parquet
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
@@ -152,11 +153,12 @@ def _bounded(node, fixed_groups: bool) -> bool:
     return bool(kids) and all(_bounded(k, fixed_groups) for k in kids)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - MODEL_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL_QUERIES))
 def test_plan_is_jvm_only_with_bounded_broadcasts(spark, name):
     root = _physical(E.queries()[name](spark, SF_SMALL))
     names = [n.nodeName() for n in _nodes(root)]
     assert not [n for n in names if "Python" in n or "Pandas" in n], names
+    assert "RoundRobinPartitioning" not in root.toString()
     assert not {"CartesianProduct", "SortMergeJoin", "ShuffledHashJoin"} & set(names), names
     for n in _nodes(root):
         if n.nodeName() == "BroadcastExchange":

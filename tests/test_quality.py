@@ -76,12 +76,6 @@ def test_outside_box_three_valued(spark):
     assert r["pickup_outside_share"] == 0.25
 
 
-def test_row_counts(spark):
-    df = spark.createDataFrame([_row("a"), _row("b")], SCHEMA)
-    got = {r["stage"]: r["rows"] for r in qu.row_counts({"x": df, "y": df.limit(1)}).collect()}
-    assert got == {"x": 2, "y": 1}
-
-
 def test_stage_counts_one_pass(spark):
     from pyspark.sql import functions as F
 
