@@ -6,7 +6,7 @@ ranges, found by doubling the directory until no bucket holds more than
 ``bucket_keys`` keys. Texts are compared byte by byte: the grouping key of a
 chain is the normalised text itself, combined on the map side, so a group of
 copies that holds a third of all rows sends one row per task. Texts that collide
-in the key form a chain of several entries, resolved by the text."""
+in the key form a chain of several entries, told apart by the whole digest."""
 
 from __future__ import annotations
 
