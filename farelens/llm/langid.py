@@ -21,6 +21,8 @@ PROFILE = 300
 UNDETERMINED = "und"
 #: Training documents a language at most, the ones with the smallest hash of the id: a bound on the fit.
 TRAIN_DOCS = 2000
+#: Labels at most; their counts are broadcast.
+MAX_LANGUAGES = 10_000
 #: Characters read at a time; bounds the memory beside the text itself.
 BLOCK = 1 << 20
 
@@ -82,7 +84,10 @@ def _training_rows(docs: DataFrame, text: str, lang: str, id_col: str, usable: C
     """(lang, text) of about ``most`` documents a language: those whose id hash is
     below the share that ``most`` is of the language's documents."""
     own = docs.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    have = own.groupBy(F.col(lang).cast("string").alias("__lang")).agg(F.count(F.lit(1)).alias("__n"))
+    have = own.groupBy(F.col(lang).cast("string").alias("__lang")).agg(F.count(F.lit(1)).alias("__n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(have) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    have = docs.sparkSession.createDataFrame(have, "__lang string, __n bigint")
     place = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.lit("profile")), 1).cast("double") / F.lit(float(1 << 63))
     rows = own.select(F.col(lang).cast("string").alias("__lang"), F.col(text).cast("string").alias("__text"), place.alias("__place"))
     return rows.join(F.broadcast(have), "__lang").where(F.col("__place") * F.col("__n") < most).select("__lang", "__text")
