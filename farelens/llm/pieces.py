@@ -320,10 +320,13 @@ class Codec:
         self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         # a text that normalises to itself but for the space symbol needs no walk over its bytes
         self.plain = not (model.charmap.units or model.remove_extra_whitespaces) and model.escape_whitespaces
-        self.bytes_of = []
+        decoded = []
         for piece, kind in zip(model.pieces, model.kinds):
             text = "" if kind == CONTROL else UNKNOWN_TEXT if kind == UNKNOWN else piece.replace(SPACE, " ")
-            self.bytes_of.append(bytes((int(piece[1:-1], 16),)) if kind == BYTE else text.encode())
+            decoded.append(bytes((int(piece[1:-1], 16),)) if kind == BYTE else text.encode())
+        self.blob = np.frombuffer(b"".join(decoded), np.uint8)
+        self.size_of = np.array([len(d) for d in decoded], np.int64)
+        self.start_of = np.cumsum(self.size_of) - self.size_of
 
     def piece_ids(self, piece: str) -> list[int]:
         m = self.model
@@ -387,11 +390,26 @@ class Codec:
         """The text of ids: byte pieces join into UTF-8, each byte of a broken
         sequence becomes a replacement character, and the space that the encoder
         put in front is dropped."""
-        data = b"".join(map(self.bytes_of.__getitem__, ids))
-        m = self.model
-        first = next((m.pieces[i] for i in ids if m.kinds[i] != CONTROL), "")
-        if first.startswith(SPACE) and (m.add_dummy_prefix or m.remove_extra_whitespaces):
-            data = data.lstrip(b" ") if m.remove_extra_whitespaces else data[1:]
+        return next(self.decode_all(np.array(ids, np.int64), [len(ids)]))
+
+    def decode_all(self, flat: np.ndarray, counts: list[int]) -> Iterator[str]:
+        """The texts of ids that stand one after the other, ``counts`` of each."""
+        size = self.size_of[flat]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        # byte i of a piece comes from its place in the blob
+        blob = self.blob[np.repeat(self.start_of[flat] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+        m, at = self.model, 0
+        trim = m.add_dummy_prefix or m.remove_extra_whitespaces
+        for n in counts:
+            data = blob[ends[at] : ends[at + n]]
+            first = next((i for i in flat[at : at + n] if m.kinds[i] != CONTROL), None)
+            if trim and first is not None and m.pieces[first].startswith(SPACE):
+                data = data.lstrip(b" ") if m.remove_extra_whitespaces else data[1:]
+            yield self._text(data)
+            at += n
+
+    @staticmethod
+    def _text(data: bytes) -> str:
         kept = []
         while True:
             try:
@@ -412,19 +430,17 @@ def read_model(path: str) -> bytes:
 ROWS = 128
 
 
-def _mapped(docs: DataFrame, columns: list[str], fn, schema: pa.Schema, spark_schema: str) -> DataFrame:
-    """One output row per input row: ``fn()`` makes a task's worker,
-    which turns a list of values into tuples of the columns after the id."""
+def _mapped(docs: DataFrame, columns: list, fn, schema: pa.Schema, spark_schema: str) -> DataFrame:
+    """One output row per input row: ``fn()`` makes a task's worker, which turns the
+    array of the second column into the arrays of the columns after the id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = fn()
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
-                cols = zip(*work(part.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(c, schema.field(k + 1).type) for k, c in enumerate(cols))], schema=schema
-                )
+                cols = [c if isinstance(c, pa.Array) else pa.array(c, schema.field(k + 1).type) for k, c in enumerate(work(part.column(1)))]
+                yield pa.RecordBatch.from_arrays([part.column(0), *cols], schema=schema)
 
     return docs.select(*columns).mapInArrow(run, spark_schema)
 
@@ -438,7 +454,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", id_col: str = "doc
     def worker():
         codec = Codec(Model.parse(model))
         tail = [codec.model.end] if end else []
-        return lambda texts: [(ids + tail,) for ids in codec.encode_all([t or "" for t in texts])]
+        return lambda texts: [[ids + tail for ids in codec.encode_all([t or "" for t in texts.to_pylist()])]]
 
     own = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")]
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -451,7 +467,7 @@ def encode_spans(docs: DataFrame, model: bytes, text: str = "text", id_col: str
 
     def worker():
         codec = Codec(Model.parse(model))
-        return lambda texts: [tuple(map(list, zip(*codec.spans(t or "")))) or ([], [], [], []) for t in texts]
+        return lambda texts: list(zip(*(tuple(map(list, zip(*codec.spans(t or "")))) or ([], [], [], []) for t in texts.to_pylist())))
 
     own = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")]
     ints = pa.list_(pa.int32())
@@ -464,7 +480,8 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
 
     def worker():
         codec = Codec(Model.parse(model))
-        return lambda rows: [(ids, codec.decode(ids or [])) for ids in rows]
+        counts = lambda ids: ids.value_lengths().fill_null(0).to_pylist()
+        return lambda ids: [ids, list(codec.decode_all(ids.flatten().to_numpy(), counts(ids)))]
 
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
     return _mapped(encoded, ["doc_id", "ids"], worker, schema, "doc_id bigint, ids array<int>, decoded string")
