@@ -32,12 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and reread: the
     lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}.parquet"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

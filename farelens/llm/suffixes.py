@@ -5,8 +5,8 @@ neighbouring k-word grams the smallest hash is an anchor, so any common passage
 ``MIN_WORDS`` words has an anchor at the same place in both texts. Anchors whose
 gram occurs in one document only are dropped. The suffixes of the others, cut to
 ``MIN_WORDS`` words and followed by the words before the anchor read backwards, are
-sorted; each is compared with its neighbours from other documents and the match is
-extended to the right and to the left."""
+sorted; each is compared with its neighbours from other documents, word for word,
+and the match is extended to the right and to the left."""
 
 from __future__ import annotations
 
@@ -19,14 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_hot, shared_folder, stored
+from .common import join_hot, stored
 
 MIN_WORDS = 50
 GRAM = 8
 #: Grams in a window: a passage of MIN_WORDS words holds one whole window.
 WINDOW = MIN_WORDS - GRAM + 1
-#: Distinct suffixes that one sorted partition holds, about.
-PARTITION_ROWS = 50_000
+#: Suffixes that one sorted range holds, about.
+PARTITION_ROWS = 20_000
 #: Distinct words whose hash a task remembers.
 MEMORY = 500_000
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(GRAM)], np.uint64)
@@ -79,145 +79,180 @@ def _common(a: list[bytes], b: list[bytes]) -> int:
 
 
 class Suffix:
-    """A distinct context: its words to the right and, backwards, to the left, and
-    the smallest and largest document that has it."""
+    """One place's context: its words to the right and, backwards, to the left."""
 
-    __slots__ = ("right", "left", "lo", "hi")
+    __slots__ = ("gram", "doc", "context", "right", "left")
 
-    def __init__(self, context: bytes, lo: int, hi: int):
+    def __init__(self, gram: int, doc: int, context: bytes):
         right, _, left = context.partition(b"\n")
-        self.right, self.left, self.lo, self.hi = right.split(b" "), left.split(b" ") if left else [], lo, hi
-
-    def other(self, x: Suffix) -> bool:
-        """Whether some document of x is not this suffix's only one."""
-        return not (self.lo == self.hi == x.lo == x.hi)
+        self.gram, self.doc, self.context = gram, doc, context
+        self.right, self.left = right.split(b" "), left.split(b" ") if left else []
 
     def match(self, x: Suffix) -> tuple[int, int]:
+        if self.context == x.context:
+            return len(self.left), len(self.right)
         return _common(self.left, x.left), _common(self.right, x.right)
 
 
-def _carried(rows: list[tuple[int, Suffix]]) -> list[tuple[int, Suffix]]:
-    """Of rows in order, the last and the last with another document than it."""
+def _carried(rows: list[Suffix]) -> list[Suffix]:
+    """Of rows in order, the last one and before it the last of another document."""
     if not rows:
         return []
-    last = rows[-1]
-    return [r for r in (next((r for r in reversed(rows[:-1]) if r[1].other(last[1])), None), last) if r]
+    lone = next((r for r in reversed(rows) if r.doc != rows[-1].doc), None)
+    return [r for r in (lone, rows[-1]) if r]
 
 
-def _neighbours(rows: list[tuple[int, Suffix]], before: list[tuple[int, Suffix]]) -> list[list[Suffix]]:
-    """For each row the nearest earlier ones with another document and the same gram."""
-    out, last, lone = [], None, None
-    for g, s in [*before, *rows]:
-        near = [x for h, x in (p for p in (last, lone) if p) if h == g and s.other(x)]
-        out.append(near[:1])
-        if last and last[1].other(s):
+def _neighbours(rows: list[Suffix], before: list[Suffix]) -> list[Suffix | None]:
+    """For each row the nearest earlier one of another document with its gram."""
+    out: list[Suffix | None] = []
+    last = lone = None
+    for s in [*before, *rows]:
+        out.append(next((x for x in (last, lone) if x and x.doc != s.doc and x.gram == s.gram), None))
+        if last and last.doc != s.doc:
             lone = last
-        last = g, s
+        last = s
     return out[len(before) :]
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> tuple[list[tuple[int, Suffix]], list[int]]:
-    rows, ids = [], []
-    for b in batches:
-        gram, context, key, lo, hi = (b.column(i).to_pylist() for i in range(5))
-        rows += [(g, Suffix(c, x, y)) for g, c, x, y in zip(gram, context, lo, hi)]
-        ids += key
-    return rows, ids
+def _seen(s: Suffix, x: Suffix | None, min_words: int) -> tuple[int, int, int]:
+    """(back, ahead) of the match with a neighbour (0, 0 below ``min_words``), and
+    how far ahead it reaches in any case."""
+    if x is None:
+        return 0, 0, 0
+    back, ahead = s.match(x)
+    return (back, ahead, ahead) if back + ahead >= min_words else (0, 0, ahead)
+
 
+def _unknown(one: tuple[int, int, int], two: tuple[int, int, int], room: int, min_words: int) -> tuple[int | None, int | None]:
+    """The least and greatest start (words before the anchor) of a passage of
+    ``min_words`` that a farther suffix may share and neither match shows."""
+    least = max(0, min_words - max(one[2], two[2]))
+    if any(a and min_words - a <= least and b >= room for b, a, _ in (one, two)):
+        return None, None
+    left = [k for k in range(least, room + 1) if not any(min_words - a <= k <= b for b, a, _ in (one, two) if a)]
+    return (left[0], left[-1]) if left else (None, None)
 
-def _packed(rows: list[tuple[int, Suffix]]) -> list[tuple]:
-    return [(g, b" ".join(s.right) + b"\n" + b" ".join(s.left), s.lo, s.hi) for g, s in rows]
 
+_COMPARED = (
+    "doc_id bigint, pos int, gram bigint, back1 int, ahead1 int, reach1 int, back2 int, ahead2 int, reach2 int, room int, low int, high int, "
+    "lacks int, part int, first int, last int, context binary"
+)
+_TYPES = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 13, pa.binary()]
+_NAMES = [c.split()[0] for c in _COMPARED.split(", ")]
+BEFORE, AFTER = 1, 2
 
-_EDGES = "part int, side string, place int, gram bigint, context binary, lo bigint, hi bigint"
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [[]] * len(_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES)], names=_NAMES)
 
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows, _ = _read(batches)
-    part, ends = TaskContext.get().partitionId(), {"end": _carried(rows), "start": _carried(rows[::-1])}
-    table = [(part, side, i, *r) for side, kept in ends.items() for i, r in enumerate(_packed(kept))]
-    cols = list(zip(*table)) or [[]] * 7
-    types = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["part", "side", "place", "gram", "context", "lo", "hi"])
 
+def _rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    return zip(*(batch.column(n).to_pylist() for n in names))
 
-def compare_neighbours(suffixes: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, gram, back, ahead, open) of distinct suffixes (gram, context, key, lo,
-    hi): how far a match of ``min_words`` or more reaches before and after the
-    anchor (0, 0: none), and whether a farther suffix could still match longer.
 
-    The order is cut into ranges of distinct rows, so a gram that a third of all
-    suffixes share is cut as well; the checkpoint keeps the cut, and the two rows
-    at each side of it go to the next range through the driver."""
-    spark, n = suffixes.sparkSession, suffixes.count()
+def compare_neighbours(places: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, pos, gram, back, ahead, reach, low, high) of places (doc_id, pos,
+    gram, context): how far a match of ``min_words`` or more reaches before and after
+    the anchor (0, 0: none), how far after it any match reaches, and between which
+    starts a passage may be shared that these matches do not show (else null).
+
+    Suffixes, then documents, are range-sorted, so neither a gram nor a context that
+    a third of all places share stays in one task. A task compares inside its range
+    and hands on the two rows at each side; the rows that lack a neighbour there are
+    compared with those of the other ranges in a second, small step."""
+    spark, n = places.sparkSession, places.count()
     parts = max(1, -(-n // PARTITION_ROWS), min(n, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    order = suffixes.select("gram", "context", "key", "lo", "hi").repartitionByRange(parts, "gram", "context")
-    order = order.sortWithinPartitions("gram", "context").checkpoint()
-    # at most four rows a partition
-    edges: dict[tuple[int, str], list] = {}
-    for r in sorted(order.mapInArrow(_edges, _EDGES).collect(), key=lambda r: (r.part, r.side, r.place)):
-        edges.setdefault((r.part, r.side), []).append((r.gram, bytes(r.context), r.lo, r.hi))
+    by = ["gram", "context", "doc_id", "pos"]
+    order = places.select(*by).repartitionByRange(parts, *by).sortWithinPartitions(*by)
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, rows, at = TaskContext.get().partitionId(), [], []
+        for b in batches:
+            for g, c, d, p in _rows(b, *by):
+                rows.append(Suffix(g, d, c))
+                at.append(p)
+        before, after = _neighbours(rows, []), _neighbours(rows[::-1], [])[::-1]
+        # what other ranges may need: the last row and the last of another document, and the same at the start
+        last = {id(s): i for i, s in enumerate(_carried(rows)[::-1])}
+        first = {id(s): i for i, s in enumerate(_carried(rows[::-1])[::-1])}
+        out = []
+        for s, p, x, y in zip(rows, at, before, after):
+            one, two = _seen(s, x, min_words), _seen(s, y, min_words)
+            lacks = (BEFORE if not x and s.gram == rows[0].gram else 0) | (AFTER if not y and s.gram == rows[-1].gram else 0)
+            span = (None, None) if lacks else _unknown(one, two, len(s.left), min_words)
+            shown = lacks or id(s) in last or id(s) in first
+            out.append((s.doc, p, s.gram, *one, *two, len(s.left), *span, lacks, part, first.get(id(s)), last.get(id(s)), s.context if shown else None))
+        yield _batch(out)
+
+    compared = stored(order.mapInArrow(inside, _COMPARED), "compared", "zstd")
+    # at most four rows a range
+    edges: dict[tuple[int, int], list[tuple]] = {}
+    ends = compared.where("first is not null or last is not null").select("part", "first", "last", "gram", "doc_id", "context")
+    for r in ends.collect():
+        for side, place in ((AFTER, r["first"]), (BEFORE, r["last"])):
+            if place is not None:
+                edges.setdefault((r["part"], side), []).append((place, r["gram"], r["doc_id"], bytes(r["context"])))
     count = 1 + max((p for p, _ in edges), default=0)
 
-    def around(part: int, side: str) -> list[tuple[int, Suffix]]:
-        """The rows carried into a part from the parts before (after) it."""
-        rows: list[tuple[int, Suffix]] = []
-        others = range(part - 1, -1, -1) if side == "end" else range(part + 1, count)
-        for p in others:
-            rows = [(g, Suffix(c, x, y)) for g, c, x, y in edges.get((p, side), [])] + rows
-            if len(kept := _carried(rows)) == 2 or (rows and rows[0][0] != rows[-1][0]):
+    def around(part: int, side: int) -> list[Suffix]:
+        """The nearest rows before (after) a range, the nearest last."""
+        rows: list[Suffix] = []
+        for p in range(part - 1, -1, -1) if side == BEFORE else range(part + 1, count):
+            rows = [Suffix(*e) for _, *e in sorted(edges.get((p, side), []), reverse=True)] + rows
+            if len(kept := _carried(rows)) == 2:
                 return kept
         return _carried(rows)
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, keys = _read(batches)
-        part = TaskContext.get().partitionId()
-        before = _neighbours(rows, around(part, "end"))
-        after = _neighbours(rows[::-1], around(part, "start"))[::-1]
-        back, ahead, unsure = [], [], []
-        for (_, s), near in zip(rows, map(list.__add__, before, after)):
-            found = [(len(s.left), len(s.right))] if s.lo != s.hi else []
-            found += [s.match(x) for x in near]
-            long = [m for m in found if sum(m) >= min_words]
-            back.append(max((m[0] for m in long), default=0))
-            ahead.append(max((m[1] for m in long), default=0))
-            reach = max((m[1] for m in found), default=0)
-            unsure.append(not long and reach + len(s.left) >= min_words)
-        cols = [pa.array(keys, pa.int64()), pa.array([g for g, _ in rows], pa.int64()), pa.array(back, pa.int32()), pa.array(ahead, pa.int32()), pa.array(unsure, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(cols, names=["key", "gram", "back", "ahead", "open"])
-
-    return order.mapInArrow(compared, "key bigint, gram bigint, back int, ahead int, open boolean")
-
-
-def settle(suffixes: DataFrame, unsure: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, back, ahead) of the matches that the order hides: a suffix's partner
-    to the left may be no neighbour when another one reaches farther to the right.
-    Every passage of ``min_words`` words around the anchor is compared by hash, for
-    the grams that have such a suffix."""
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list[Suffix]] = {}
+        for b in batches:
+            out = []
+            for row in _rows(b, *_NAMES):
+                doc, pos, gram, *known, room, _, _, lacks, part, first, last, context = row
+                s, sides = Suffix(gram, doc, context), [tuple(known[:3]), tuple(known[3:])]
+                for k, side in enumerate((BEFORE, AFTER)):
+                    if lacks & side:
+                        if (part, side) not in held:
+                            held[part, side] = around(part, side)
+                        sides[k] = _seen(s, _neighbours([s], held[part, side])[0], min_words)
+                out.append((doc, pos, gram, *sides[0], *sides[1], room, *_unknown(*sides, room, min_words), 0, part, first, last, None))
+            yield _batch(out)
+
+    settled = compared.where("lacks = 0").unionByName(compared.where("lacks > 0").mapInArrow(across, _COMPARED))
+    best = [F.greatest(f"{c}1", f"{c}2").alias(c) for c in ("back", "ahead", "reach")]
+    return settled.select("doc_id", "pos", "gram", *best, "low", "high")
+
+
+def settle(places: DataFrame, found: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, pos, back, ahead) of the matches that the order hides: a suffix's
+    partner to the left may be no neighbour when another one reaches farther right.
+
+    The passages of ``min_words`` words around the anchors of a gram, between the
+    least and the greatest start that is open for one of its places, are compared by
+    hash."""
+    grams = found.groupBy("gram").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.count(F.lit(1)).alias("n"))
+    grams = grams.where("least is not null")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for context, key, lo, hi in zip(*(b.column(i).to_pylist() for i in range(4))):
-                s = Suffix(context, lo, hi)
+            for doc, pos, context, least, most in _rows(b, "doc_id", "pos", "context", "least", "most"):
+                s = Suffix(0, doc, context)
                 line = s.left[::-1] + s.right
-                for i in range(len(line) - min_words + 1):
-                    back = len(s.left) - i
-                    if 0 <= back <= min_words - GRAM:
-                        h = xxhash.xxh64_intdigest(b" ".join(line[i : i + min_words]), back) - (1 << 63)
-                        out.append((h, key, back, lo, hi))
-            cols = list(zip(*out)) or [[]] * 5
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["passage", "key", "back", "lo", "hi"])
-
-    some = suffixes.join(unsure.select("gram").distinct(), "gram", "left_semi").select("context", "key", "lo", "hi")
-    seen = stored(some.mapInArrow(windows, "passage bigint, key bigint, back int, lo bigint, hi bigint"), "windows")
-    twice = seen.groupBy("passage").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("n"))
-    twice = twice.where("lo <> hi").select("passage", "n")
-    found = join_hot(seen.select("passage", "key", "back"), twice, "passage", "n", seen.count())
-    return found.groupBy("key").agg(F.max("back").alias("back"), F.max(F.lit(min_words) - F.col("back")).alias("ahead"))
+                for back in range(least, min(most, len(s.left)) + 1):
+                    i = len(s.left) - back
+                    if i + min_words <= len(line):
+                        out.append((xxhash.xxh3_128_digest(b" ".join(line[i : i + min_words]), back), doc, pos, back))
+            cols = list(zip(*out)) or [[]] * 4
+            types = [pa.binary(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["passage", "doc_id", "pos", "back"])
+
+    some = join_hot(places, grams, "gram", "n", places.count()).select("doc_id", "pos", "context", "least", "most")
+    seen = stored(some.mapInArrow(windows, "passage binary, doc_id bigint, pos int, back int"), "windows")
+    twice = seen.groupBy("passage").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    hidden = join_hot(seen, twice.where("lo <> hi").select("passage", "n"), "passage", "n", seen.count())
+    return hidden.select("doc_id", "pos", "back", (F.lit(min_words) - F.col("back")).alias("ahead"))
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -262,20 +297,13 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id
                 made = [
                     b" ".join(words[p : p + MIN_WORDS]) + b"\n" + b" ".join(words[max(0, p - MIN_WORDS + GRAM) : p][::-1]) for p in want
                 ]
-                keys = [xxhash.xxh64_intdigest(c) - (1 << 63) for c in made]
-                cols = [pa.array([doc] * len(want), pa.int64()), pa.array(want, pa.int32()), pa.array([grams[p] for p in want], pa.int64()), pa.array(keys, pa.int64()), pa.array(made, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "pos", "gram", "key", "context"])
-
-    seen = stored(chosen.mapInArrow(contexts, "doc_id bigint, pos int, gram bigint, key bigint, context binary"), "contexts")
-    suffixes = seen.groupBy("gram", "context", "key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
-    suffixes = stored(suffixes, "suffixes")
-    found = stored(compare_neighbours(suffixes), "matches")
-    reach = found.select("key", "back", "ahead").unionByName(settle(suffixes, found.where("open")))
-    reach = reach.groupBy("key").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead")).where("ahead > 0")
-    weighed = reach.join(suffixes.select("key", "n"), "key")
-    runs = join_hot(seen.select("doc_id", "pos", "key"), weighed, "key", "n", seen.count()).select(
-        "doc_id", (F.col("pos") - F.col("back")).alias("begin"), (F.col("pos") + F.col("ahead")).alias("end")
-    )
+                cols = [pa.array([doc] * len(want), pa.int64()), pa.array(want, pa.int32()), pa.array([grams[p] for p in want], pa.int64()), pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "pos", "gram", "context"])
+
+    seen = stored(chosen.mapInArrow(contexts, "doc_id bigint, pos int, gram bigint, context binary"), "contexts", "zstd")
+    found = stored(compare_neighbours(seen), "matches")
+    reach = found.where("ahead > 0").select("doc_id", "pos", "back", "ahead").unionByName(settle(seen, found))
+    runs = reach.select("doc_id", (F.col("pos") - F.col("back")).alias("begin"), (F.col("pos") + F.col("ahead")).alias("end"))
     return merged(runs.distinct())
 
 
