@@ -133,11 +133,24 @@ def _unknown(one: tuple[int, int, int], two: tuple[int, int, int], room: int, mi
     return (left[0], left[-1]) if left else (None, None)
 
 
+def _passages(s: Suffix, least: int, most: int, min_words: int) -> tuple[int, list[int]]:
+    """(least, hashes) of the passages of ``min_words`` words that begin ``least`` to
+    ``most`` words before the anchor."""
+    line, out = s.left[::-1] + s.right, []
+    for back in range(least, min(most, len(s.left)) + 1):
+        i = len(s.left) - back
+        if i + min_words <= len(line):
+            out.append(xxhash.xxh3_64_intdigest(b" ".join(line[i : i + min_words]), back) - (1 << 63))
+        elif not out:
+            least += 1  # too few words are left after the anchor
+    return least, out
+
+
 _COMPARED = (
-    "doc_id bigint, pos int, gram bigint, back1 int, ahead1 int, reach1 int, back2 int, ahead2 int, reach2 int, room int, low int, high int, "
-    "lacks int, part int, first int, last int, context binary"
+    "doc_id bigint, pos int, gram bigint, back1 int, ahead1 int, reach1 int, back2 int, ahead2 int, reach2 int, room int, "
+    "lacks int, part int, first int, last int, start int, passages array<bigint>, context binary"
 )
-_TYPES = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 13, pa.binary()]
+_TYPES = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 12, pa.list_(pa.int64()), pa.binary()]
 _NAMES = [c.split()[0] for c in _COMPARED.split(", ")]
 BEFORE, AFTER = 1, 2
 
@@ -152,10 +165,10 @@ def _rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 
 
 def compare_neighbours(places: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, pos, gram, back, ahead, reach, low, high) of places (doc_id, pos,
+    """(doc_id, pos, gram, back, ahead, start, passages) of places (doc_id, pos,
     gram, context): how far a match of ``min_words`` or more reaches before and after
-    the anchor (0, 0: none), how far after it any match reaches, and between which
-    starts a passage may be shared that these matches do not show (else null).
+    the anchor (0, 0: none), and for ``settle`` the hashes of the passages that begin
+    ``start`` and more words before the anchor.
 
     Suffixes, then documents, are range-sorted, so neither a gram nor a context that
     a third of all places share stays in one task. A task compares inside its range
@@ -176,13 +189,25 @@ def compare_neighbours(places: DataFrame, min_words: int = MIN_WORDS) -> DataFra
         # what other ranges may need: the last row and the last of another document, and the same at the start
         last = {id(s): i for i, s in enumerate(_carried(rows)[::-1])}
         first = {id(s): i for i, s in enumerate(_carried(rows[::-1])[::-1])}
-        out = []
-        for s, p, x, y in zip(rows, at, before, after):
-            one, two = _seen(s, x, min_words), _seen(s, y, min_words)
-            lacks = (BEFORE if not x and s.gram == rows[0].gram else 0) | (AFTER if not y and s.gram == rows[-1].gram else 0)
-            span = (None, None) if lacks else _unknown(one, two, len(s.left), min_words)
-            shown = lacks or id(s) in last or id(s) in first
-            out.append((s.doc, p, s.gram, *one, *two, len(s.left), *span, lacks, part, first.get(id(s)), last.get(id(s)), s.context if shown else None))
+        sides = [(_seen(s, x, min_words), _seen(s, y, min_words)) for s, x, y in zip(rows, before, after)]
+        lacks = [
+            (BEFORE if not x and s.gram == rows[0].gram else 0) | (AFTER if not y and s.gram == rows[-1].gram else 0)
+            for s, x, y in zip(rows, before, after)
+        ]
+        out, begin = [], 0
+        for end in [i for i in range(1, len(rows) + 1) if i == len(rows) or rows[i].gram != rows[i - 1].gram]:
+            run = range(begin, end)
+            starts = [k for i in run for k in _unknown(*sides[i], len(rows[i].left), min_words) if k is not None]
+            # of a gram at the border other rows may ask for any passage
+            whole = rows[begin].gram in (rows[0].gram, rows[-1].gram)
+            least, most = (0, min_words) if whole else (min(starts, default=1), max(starts, default=0))
+            for i in run:
+                s, (one, two) = rows[i], sides[i]
+                reach = min_words if lacks[i] else max(one[2], two[2])
+                start, passages = _passages(s, max(least, min_words - reach), most, min_words)
+                shown = lacks[i] or id(s) in last or id(s) in first
+                out.append((s.doc, at[i], s.gram, *one, *two, len(s.left), lacks[i], part, first.get(id(s)), last.get(id(s)), start, passages, s.context if shown else None))
+            begin = end
         yield _batch(out)
 
     compared = stored(order.mapInArrow(inside, _COMPARED), "compared", "zstd")
@@ -209,49 +234,33 @@ def compare_neighbours(places: DataFrame, min_words: int = MIN_WORDS) -> DataFra
         for b in batches:
             out = []
             for row in _rows(b, *_NAMES):
-                doc, pos, gram, *known, room, _, _, lacks, part, first, last, context = row
+                doc, pos, gram, *known, room, lacks, part, first, last, start, passages, context = row
                 s, sides = Suffix(gram, doc, context), [tuple(known[:3]), tuple(known[3:])]
                 for k, side in enumerate((BEFORE, AFTER)):
                     if lacks & side:
                         if (part, side) not in held:
                             held[part, side] = around(part, side)
                         sides[k] = _seen(s, _neighbours([s], held[part, side])[0], min_words)
-                out.append((doc, pos, gram, *sides[0], *sides[1], room, *_unknown(*sides, room, min_words), 0, part, first, last, None))
+                out.append((doc, pos, gram, *sides[0], *sides[1], room, 0, part, first, last, start, passages, None))
             yield _batch(out)
 
     settled = compared.where("lacks = 0").unionByName(compared.where("lacks > 0").mapInArrow(across, _COMPARED))
-    best = [F.greatest(f"{c}1", f"{c}2").alias(c) for c in ("back", "ahead", "reach")]
-    return settled.select("doc_id", "pos", "gram", *best, "low", "high")
+    best = [F.greatest(f"{c}1", f"{c}2").alias(c) for c in ("back", "ahead")]
+    return settled.select("doc_id", "pos", "gram", *best, "start", "passages")
 
 
-def settle(places: DataFrame, found: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def settle(found: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, pos, back, ahead) of the matches that the order hides: a suffix's
     partner to the left may be no neighbour when another one reaches farther right.
 
-    The passages of ``min_words`` words around the anchors of a gram, between the
-    least and the greatest start that is open for one of its places, are compared by
-    hash."""
-    grams = found.groupBy("gram").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.count(F.lit(1)).alias("n"))
-    grams = grams.where("least is not null")
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple] = []
-            for doc, pos, context, least, most in _rows(b, "doc_id", "pos", "context", "least", "most"):
-                s = Suffix(0, doc, context)
-                line = s.left[::-1] + s.right
-                for back in range(least, min(most, len(s.left)) + 1):
-                    i = len(s.left) - back
-                    if i + min_words <= len(line):
-                        out.append((xxhash.xxh3_128_digest(b" ".join(line[i : i + min_words]), back), doc, pos, back))
-            cols = list(zip(*out)) or [[]] * 4
-            types = [pa.binary(), pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["passage", "doc_id", "pos", "back"])
-
-    some = join_hot(places, grams, "gram", "n", places.count()).select("doc_id", "pos", "context", "least", "most")
-    seen = stored(some.mapInArrow(windows, "passage binary, doc_id bigint, pos int, back int"), "windows")
-    twice = seen.groupBy("passage").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
-    hidden = join_hot(seen, twice.where("lo <> hi").select("passage", "n"), "passage", "n", seen.count())
+    Two places share a passage only if both reach to its end, and it is open only
+    between the least and the greatest start that some place of the gram leaves open;
+    those passages are compared by gram and hash."""
+    seen = found.select("doc_id", "pos", "gram", "start", F.posexplode("passages").alias("i", "passage"))
+    seen = seen.select("doc_id", "pos", (F.col("start") + F.col("i")).alias("back"), F.struct("gram", "passage").alias("key"))
+    twice = seen.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    twice = stored(twice.where("lo <> hi").select("key", "n"), "twice")
+    hidden = join_hot(seen, twice, "key", "n", found.agg(F.sum(F.size("passages"))).first()[0] or 0)
     return hidden.select("doc_id", "pos", "back", (F.lit(min_words) - F.col("back")).alias("ahead"))
 
 
@@ -301,8 +310,8 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "pos", "gram", "context"])
 
     seen = stored(chosen.mapInArrow(contexts, "doc_id bigint, pos int, gram bigint, context binary"), "contexts", "zstd")
-    found = stored(compare_neighbours(seen), "matches")
-    reach = found.where("ahead > 0").select("doc_id", "pos", "back", "ahead").unionByName(settle(seen, found))
+    found = compare_neighbours(seen)
+    reach = found.where("ahead > 0").select("doc_id", "pos", "back", "ahead").unionByName(settle(found))
     runs = reach.select("doc_id", (F.col("pos") - F.col("back")).alias("begin"), (F.col("pos") + F.col("ahead")).alias("end"))
     return merged(runs.distinct())
 
