@@ -33,7 +33,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode(docs, piece_model())
+    return pieces.encode_spans(docs, piece_model(), end=True)
 
 
 STAGES = [
@@ -48,10 +48,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order, each written as Parquet in the shared folder and reread."""
+    """The stages in order, each written as Parquet in the shared folder and reread.
+    Returned are the ids; the last stage's table also holds pieces and byte ranges."""
     docs = documents(spark, sf_dir)
     folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return docs
+    return docs.select("doc_id", "ids")

@@ -3,8 +3,10 @@
 The model file is read here (normaliser rules, pieces, scores). Normalisation walks
 the compiled character map: at each byte the longest key of the map's double-array
 trie is replaced, else one character is copied; every output byte remembers the
-source byte it came from. Merges run on stretches between word boundaries that no
-piece spans, so a stretch is encoded once per task and reused."""
+source byte it came from. A text in which no byte begins a key (every text, for an
+empty map) is copied at once, and its sources are running counts. Merges run on
+stretches between word boundaries that no piece spans, so a stretch is encoded once
+per task and reused; the pieces' byte ranges follow from their added lengths."""
 
 from __future__ import annotations
 
@@ -20,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # fixed values: piece types of the model file, the space symbol, unknown and replacement text
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -90,6 +93,17 @@ class CharacterMap:
             return None
         return found[0], self.text[found[1] : self.text.index(b"\0", found[1])]
 
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """Byte -> whether a key begins with it."""
+        begins = np.zeros(256, bool)
+        if self.units:
+            root = self.units[0]
+            base = (root >> 10) << ((root & (1 << 9)) >> 6)
+            for byte in range(1, 256):
+                begins[byte] = base ^ byte < len(self.units) and self.units[base ^ byte] & 0x800000FF == byte
+        return begins
+
 
 @dataclass
 class Model:
@@ -187,6 +201,22 @@ def normalise(model: Model, text: str) -> tuple[bytes, list[int]]:
     return bytes(out), [*source, last]
 
 
+def aligned(model: Model, text: str) -> tuple[str, np.ndarray]:
+    """``normalise``, at once where the map has no key for the text and blanks stay:
+    then every byte is its own source and a blank is that of a whole space symbol."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    if model.remove_extra_whitespaces or model.charmap.starts[data].any():
+        norm, source = normalise(model, text)
+        return norm.decode(), np.array(source, np.int64)
+    space = SPACE if model.escape_whitespaces else " "
+    width = len(space.encode())
+    made = np.where(data == 0x20, width, 1)
+    if len(data) and model.add_dummy_prefix:
+        made[0] += width
+        text = " " + text
+    return text.replace(" ", space), np.append(np.repeat(np.arange(len(data)), made), len(data))
+
+
 def merge(model: Model, text: str) -> list[str]:
     """BPE of one stretch: the best-scored adjacent pair first, the leftmost of
     equals. The pairs stay in a heap, so the time is n log n."""
@@ -318,8 +348,11 @@ class Codec:
         self.known: dict[str, list[int]] = {}
         self.whole = not (model.splits and model.escape_whitespaces)
         self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        # a text that normalises to itself but for the space symbol needs no walk over its bytes
-        self.plain = not (model.charmap.units or model.remove_extra_whitespaces) and model.escape_whitespaces
+        # normalised bytes of a piece; a byte piece's byte, -1 for others; bytes of the character a byte leads
+        self.wide = np.array([1 if k == BYTE else len(p.encode()) for p, k in zip(model.pieces, model.kinds)], np.int64)
+        self.byte_of = np.full(len(model.pieces), -1, np.int64)
+        self.byte_of[list(model.byte_ids.values())] = list(model.byte_ids)
+        self.lead = np.repeat([1, 2, 3, 4], [0x80, 0x60, 0x10, 0x10])
         decoded = []
         for piece, kind in zip(model.pieces, model.kinds):
             text = "" if kind == CONTROL else UNKNOWN_TEXT if kind == UNKNOWN else piece.replace(SPACE, " ")
@@ -356,35 +389,50 @@ class Codec:
     def stretches(self, norm: str) -> list[str]:
         return [norm] if self.whole else self.cut.findall(norm)
 
-    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
-        """Piece ids of each text, without an end id."""
-        m = self.model
-        if self.plain:
-            norms = [(SPACE if t and m.add_dummy_prefix else "") + t.replace(" ", SPACE) for t in texts]
-        else:
-            norms = [normalise(m, t)[0].decode() for t in texts]
+    def code_all(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """(ids, begins, ends) of each text, without an end id: every piece's byte range
+        in the original text. The byte pieces of one character share its range."""
+        norms, sources = zip(*(aligned(self.model, t) for t in texts)) if texts else ((), ())
         cut = [self.stretches(n) for n in norms]
         # a lacking stretch may push out the memory, so all of a batch are asked for
         needed = set(chain.from_iterable(cut))
         lacking = needed.difference(self.known)
         self.learn(needed if len(self.known) + len(lacking) > MEMORY else lacking)
-        for stretches in cut:
-            yield list(chain.from_iterable(map(self.known.__getitem__, stretches)))
+        for stretches, source in zip(cut, sources):
+            ids = list(chain.from_iterable(map(self.known.__getitem__, stretches)))
+            begins, ends = self._ranges(np.array(ids, np.int64), stretches)
+            yield ids, source[begins], source[ends]
+
+    def _ranges(self, ids: np.ndarray, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of each piece in the normalised bytes."""
+        m = self.model
+        if not m.byte_ids and (ids == m.unknown).any():
+            # an unknown piece is as long as its character
+            wide = np.array([len(p.encode()) for s in stretches for p in merge(m, s)], np.int64)
+        else:
+            wide = self.wide[ids]
+        ends = np.cumsum(wide)
+        begins = ends - wide
+        byte = self.byte_of[ids]
+        at = np.flatnonzero(byte >= 0)
+        if len(at):
+            byte = byte[at]
+            first = np.maximum.accumulate(np.where(byte & 0xC0 != 0x80, np.arange(len(at)), 0))
+            begins[at] = begins[at[first]]
+            ends[at] = begins[at] + self.lead[byte[first]]
+        return begins, ends
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """Piece ids of each text, without an end id."""
+        return (ids for ids, _, _ in self.code_all(texts))
 
     def encode(self, text: str) -> list[int]:
         return next(self.encode_all([text]))
 
     def spans(self, text: str) -> list[tuple[int, str, int, int]]:
-        """(id, piece, begin, end) with byte offsets in the original text; the byte
-        pieces of one character share that character's span."""
-        norm, source = normalise(self.model, text)
-        out, at = [], 0
-        for s in self.stretches(norm.decode()):
-            for piece in merge(self.model, s):
-                end = at + len(piece.encode())
-                out += [(i, self.model.pieces[i], source[at], source[end]) for i in self.piece_ids(piece)]
-                at = end
-        return out
+        """(id, piece, begin, end) with byte offsets in the original text."""
+        ids, begins, ends = next(self.code_all([text]))
+        return [(i, self.model.pieces[i], b, e) for i, b, e in zip(ids, begins.tolist(), ends.tolist())]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: byte pieces join into UTF-8, each byte of a broken
@@ -445,29 +493,32 @@ def _mapped(docs: DataFrame, columns: list, fn, schema: pa.Schema, spark_schema:
     return docs.select(*columns).mapInArrow(run, spark_schema)
 
 
-def encode(docs: DataFrame, model: bytes, text: str = "text", id_col: str = "doc_id", end: bool = True) -> DataFrame:
-    """(doc_id, ids): the whole text of every row, null as empty, with the end id
-    unless ``end`` is false. Empty text: the end id alone. Repeated rows and null
-    ids are encoded like any other, extra columns are ignored, an empty table gives
-    no rows."""
+def encode_spans(docs: DataFrame, model: bytes, text: str = "text", id_col: str = "doc_id", end: bool = False) -> DataFrame:
+    """(doc_id, ids, pieces, begins, ends): the whole text of every row, null as empty,
+    each piece with the byte range of the original text that it stands for. With
+    ``end`` the end id follows, an empty range after the text; empty text: the end id
+    alone, or nothing. Repeated rows and null ids are encoded like any other, extra
+    columns are ignored, an empty table gives no rows."""
 
     def worker():
         codec = Codec(Model.parse(model))
-        tail = [codec.model.end] if end else []
-        return lambda texts: [[ids + tail for ids in codec.encode_all([t or "" for t in texts.to_pylist()])]]
-
-    own = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")]
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    return _mapped(docs, own, worker, schema, "doc_id bigint, ids array<int>")
-
-
-def encode_spans(docs: DataFrame, model: bytes, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, ids, pieces, begins, ends): as ``encode`` without an end id, each
-    piece with the byte range of the original text that it stands for."""
-
-    def worker():
-        codec = Codec(Model.parse(model))
-        return lambda texts: list(zip(*(tuple(map(list, zip(*codec.spans(t or "")))) or ([], [], [], []) for t in texts.to_pylist())))
+        names = pa.array(codec.model.pieces, pa.string())
+
+        def coded(texts: pa.Array) -> list[pa.Array]:
+            own = [t or "" for t in texts.to_pylist()]
+            ids, begins, ends, counts = [], [], [], [0]
+            for t, (i, b, e) in zip(own, codec.code_all(own)):
+                last = [len(t.encode())] * end
+                ids += [np.array(i + [codec.model.end] * end, np.int32)]
+                begins += [b, last]
+                ends += [e, last]
+                counts.append(len(ids[-1]))
+            places = pa.array(np.cumsum(counts), pa.int32())
+            flat = [pa.array(np.concatenate(x).astype(np.int32)) for x in (ids, begins, ends)]
+            flat.insert(1, names.take(flat[0]))
+            return [pa.ListArray.from_arrays(places, values) for values in flat]
+
+        return coded
 
     own = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")]
     ints = pa.list_(pa.int32())
@@ -475,13 +526,23 @@ def encode_spans(docs: DataFrame, model: bytes, text: str = "text", id_col: str
     return _mapped(docs, own, worker, schema, "doc_id bigint, ids array<int>, pieces array<string>, begins array<int>, ends array<int>")
 
 
+def encode(docs: DataFrame, model: bytes, text: str = "text", id_col: str = "doc_id", end: bool = True) -> DataFrame:
+    """(doc_id, ids) of ``encode_spans``, with the end id unless ``end`` is false."""
+    return encode_spans(docs, model, text, id_col, end).select("doc_id", "ids")
+
+
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
-    """(doc_id, ids, decoded) of (doc_id, ids); null ids decode to the empty text."""
+    """``encoded`` (all columns, of which ``ids`` is read) with the text of the ids as
+    ``decoded``; null ids decode to the empty text."""
+    at = encoded.columns.index("ids")
 
-    def worker():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(Model.parse(model))
-        counts = lambda ids: ids.value_lengths().fill_null(0).to_pylist()
-        return lambda ids: [ids, list(codec.decode_all(ids.flatten().to_numpy(), counts(ids)))]
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                ids = part.column(at)
+                texts = codec.decode_all(ids.flatten().to_numpy(), ids.value_lengths().fill_null(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
-    return _mapped(encoded, ["doc_id", "ids"], worker, schema, "doc_id bigint, ids array<int>, decoded string")
+    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))

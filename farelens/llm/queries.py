@@ -46,12 +46,18 @@ def piece_model(path: str | None = None) -> bytes:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_model()
-    coded = pieces.decode(pieces.encode(documents(spark, sf_dir), model), model)
-    return coded.select(
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
+    # digests first, so that only the ids go to the decoder
+    coded = pieces.encode_spans(documents(spark, sf_dir), model, end=True).select(
         "doc_id",
+        "ids",
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(joined("ids"), 256).alias("ids_sha256"),
+        F.sha2(joined("pieces"), 256).alias("pieces_sha256"),
+        F.sha2(F.concat_ws("|", joined("begins"), joined("ends")), 256).alias("spans_sha256"),
+    )
+    return pieces.decode(coded, model).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "pieces_sha256", "spans_sha256"
     )
 
 

@@ -1,5 +1,7 @@
 """The codec against the sentencepiece library and its own round trips."""
 
+import dataclasses
+import hashlib
 import random
 import struct
 
@@ -7,7 +9,10 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from farelens.llm import pieces
+import corpus_pipeline
+from farelens.llm import pieces, queries
+from farelens.llm.common import documents
+from tests.conftest import SF_SMALL
 from tests.llm.fixtures import no_docs, odd_docs
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -103,3 +108,52 @@ def test_query_tables(spark, both):
     for r in pieces.encode_spans(docs, model).collect():
         assert len(r.ids) == len(r.pieces) == len(r.begins) == len(r.ends)
     assert pieces.encode(no_docs(spark), model).count() == 0 == pieces.encode_spans(no_docs(spark), model).count()
+
+
+def test_ranges_equal_the_walk(both):
+    """Ranges by added lengths against the walk over each byte and each merge, for the
+    model as it is, with a map, without extra blanks and without byte pieces."""
+    charmap = pieces.CharacterMap(struct.pack("<I", 4 * 4096) + _array({"漢".encode(): 0, b"ab": 3}) + b"fi\0X\0")
+    assert charmap.starts[[ord("a"), "漢".encode()[0]]].all() and not charmap.starts[ord("c")]
+    plain = both[0].model
+    for change in ({}, {"charmap": charmap}, {"remove_extra_whitespaces": True}, {"add_dummy_prefix": False}, {"kinds": [k if k != pieces.BYTE else pieces.CONTROL for k in plain.kinds]}):
+        model = dataclasses.replace(plain, **change)
+        codec = pieces.Codec(model)
+        texts = _texts()[:300]
+        for t, (ids, begins, ends) in zip(texts, codec.code_all(texts)):
+            norm, source = pieces.normalise(model, t)
+            found, at = [], 0
+            for s in codec.stretches(norm.decode()):
+                for piece in pieces.merge(model, s):
+                    end = at + len(piece.encode())
+                    found += [(i, source[at], source[end]) for i in codec.piece_ids(piece)]
+                    at = end
+            assert list(zip(ids, begins.tolist(), ends.tolist())) == found, (change, t)
+
+
+def test_registered_query_and_stage_give_pieces_and_byte_ranges(spark, both):
+    _, library = both
+    rows = {r.doc_id: r.text for r in documents(spark, SF_SMALL).collect()}
+    stage = dict(corpus_pipeline.STAGES)["sentencepiece_encoding"](spark, documents(spark, SF_SMALL), SF_SMALL)
+    coded = {r.doc_id: r for r in stage.collect()}
+    digests = {r.doc_id: r for r in queries.op7_sentencepiece(spark, SF_SMALL).collect()}
+    assert coded.keys() == rows.keys() == digests.keys()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for i, t in rows.items():
+        proto, r, size = library.encode(t or "", return_type="proto").pieces, coded[i], len((t or "").encode())
+        assert r.ids == [p.id for p in proto] + [2] and r.pieces == [p.piece for p in proto] + ["</s>"]
+        for p, b, e in zip(proto, r.begins, r.ends):
+            assert p.piece.startswith("<0x") or (b, e) == (p.begin, p.end)
+        assert (r.begins[-1], r.ends[-1]) == (size, size)
+        # nothing of the text is without a piece
+        assert [0, *r.ends][: len(r.begins)] == r.begins or any(p.piece.startswith("<0x") for p in proto)
+        assert digests[i].pieces_sha256 == sha(" ".join(r.pieces))
+        assert digests[i].spans_sha256 == sha(" ".join(map(str, r.begins)) + "|" + " ".join(map(str, r.ends)))
+
+
+def test_end_id_is_an_empty_range_after_the_text(spark, both):
+    model = pieces.read_model(PATH)
+    for r in pieces.encode_spans(odd_docs(spark), model, end=True).join(odd_docs(spark).select("doc_id", "text"), "doc_id").collect():
+        size = len((r.text or "").encode())
+        assert (r.ids[-1], r.pieces[-1], r.begins[-1], r.ends[-1]) == (2, "</s>", size, size)
+        assert size == 0 or (r.begins[0], max(r.ends)) == (0, size)
