@@ -7,7 +7,7 @@ for one that the language's profile lacks. The nearest language wins."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -121,6 +121,27 @@ def fit(
     return out
 
 
+def _judge(profiles: dict[str, list[int]]) -> Callable[[str | None], tuple[str, float, int | None]]:
+    """Text -> (nearest language, score, distance)."""
+    names = sorted(profiles)
+    pairs = [np.array(sorted((g, i) for i, g in enumerate(profiles[n])), np.int64).reshape(-1, 2) for n in names]
+
+    def one(t: str | None) -> tuple[str, float, int | None]:
+        own = most_frequent(t or "")
+        if not len(own) or not names:
+            return UNDETERMINED, 0.0, None
+        place = np.arange(len(own))
+        best = None
+        for name, known in zip(names, pairs):
+            at = np.minimum(np.searchsorted(known[:, 0], own), len(known) - 1)
+            out = np.where(known[at, 0] == own, np.minimum(np.abs(known[at, 1] - place), PROFILE), PROFILE)
+            if best is None or out.sum() < best[0]:
+                best = int(out.sum()), name
+        return best[1], 1 - best[0] / (PROFILE * len(own)), best[0]
+
+    return one
+
+
 def predict(
     docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
@@ -131,24 +152,9 @@ def predict(
     without a letter, and all texts if there is no profile, are ``und`` with score 0.
     Equal distances go to the language that sorts first. Extra columns are ignored,
     repeated rows and null ids are scored like any other."""
-    names = sorted(profiles)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = [np.array(sorted((g, i) for i, g in enumerate(profiles[n])), np.int64).reshape(-1, 2) for n in names]
-
-        def one(t: str | None) -> tuple[str, float, int | None]:
-            own = most_frequent(t or "")
-            if not len(own) or not names:
-                return UNDETERMINED, 0.0, None
-            place = np.arange(len(own))
-            best = None
-            for name, known in zip(names, pairs):
-                at = np.minimum(np.searchsorted(known[:, 0], own), len(known) - 1)
-                out = np.where(known[at, 0] == own, np.minimum(np.abs(known[at, 1] - place), PROFILE), PROFILE)
-                if best is None or out.sum() < best[0]:
-                    best = int(out.sum()), name
-            return best[1], 1 - best[0] / (PROFILE * len(own)), best[0]
-
+        one = _judge(profiles)
         for b in batches:
             cols = list(zip(*map(one, b.column(1).to_pylist()))) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
@@ -164,10 +170,17 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(doc_crc(id_col) % 4 == 2, F.lit(False))
 
 
-def drop_undetermined(docs: DataFrame, profiles: dict[str, list[int]], min_score: float, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` (all columns) without the documents whose language is undetermined
-    or whose score is below ``min_score``; rows with a null id are judged by their text alone."""
-    found = predict(docs, profiles, text, id_col)
-    gone = found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_score))
-    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("__gone")), "left_anti")
+def drop_undetermined(docs: DataFrame, profiles: dict[str, list[int]], min_score: float, text: str = "text") -> DataFrame:
+    """``docs`` (all columns) without the documents whose language is undetermined or
+    whose score is below ``min_score``. Each row is judged by its own text, in the pass
+    that hands it on, so null and repeated ids have no part in it."""
+    read = docs.select(F.col(text).cast("string").alias("__text"), "*")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = _judge(profiles)
+        for b in batches:
+            found = map(one, b.column(0).to_pylist())
+            stays = [name != UNDETERMINED and score >= min_score for name, score, _ in found]
+            yield b.select(list(range(1, b.num_columns))).filter(pa.array(stays, pa.bool_()))
+
+    return read.mapInArrow(kept, docs.schema)

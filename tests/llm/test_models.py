@@ -165,3 +165,15 @@ def test_vectors_match_brute_force(spark):
                 seen.update(new)
             assert got[i].component_id == min(seen)
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+def test_rows_are_rejected_by_their_own_text(spark):
+    """A rejected and a clean row share a null id, two others share an id."""
+    clean = "the cat sat on the mat and the dog lay by the door"
+    rows = [(None, "12345 !!!", "en", "a", 1), (None, clean, "en", "a", 2), (7, None, "en", "b", 3), (7, clean, None, "b", 4), (8, clean, "en", "b", 5)]
+    docs = odd_docs(spark, rows)
+    profiles = langid.fit(odd_docs(spark, [(1, clean, "en", "a", 1)]))
+    left = langid.drop_undetermined(docs, profiles, 0.25)
+    assert left.columns == docs.columns
+    kept = {r.n_chars: r for r in left.collect()}
+    assert kept == {r.n_chars: r for r in docs.collect() if r.n_chars in (2, 4, 5)}
