@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_hot, stored
+from .common import clean_text, join_hot, stored
 from .graph import components
 
 SHINGLE_WORDS = 3
@@ -44,16 +44,25 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): one row per document, fp as a signed 64-bit integer."""
+def _digest(text: str) -> Column:
+    return F.sha2(clean_text(text), 256)
+
+
+def fingerprints(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle_words: int = SHINGLE_WORDS, digest: bool = False
+) -> DataFrame:
+    """(doc_id, fp): one row per document, fp as a signed 64-bit integer; with
+    ``digest`` also the text's SHA-256 (null as empty) as ``sha``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], names=["doc_id", "fp", *b.schema.names[2:]])
 
-    own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return own.mapInArrow(hashed, "doc_id bigint, fp bigint")
+    own = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")]
+    if digest:
+        return docs.select(*own, _digest(text).alias("sha")).mapInArrow(hashed, "doc_id bigint, fp bigint, sha string")
+    return docs.select(*own).mapInArrow(hashed, "doc_id bigint, fp bigint")
 
 
 def _bits(a: str, b: str) -> Column:
@@ -109,16 +118,18 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_groups(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+    digest: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id
-    (smallest id reachable over links of at most ``max_bits`` bits).
+    (smallest id reachable over links of at most ``max_bits`` bits), and with
+    ``digest`` the text's SHA-256 as ``sha``.
 
     Null, empty and blank texts have fingerprint zero, linked like any other.
     Texts of fewer words than a shingle are one shingle. Rows that repeat an id
     are each returned; a null id is ignored when the smallest is taken. Extra
     columns are ignored; an empty table gives no rows."""
-    rows = stored(fingerprints(docs, text, id_col, shingle_words), "fingerprints")
+    rows = stored(fingerprints(docs, text, id_col, shingle_words, digest), "fingerprints")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
     label = components(near_links(nodes.select("fp"), max_bits))
     named = nodes.join(label, F.col("fp") == F.col("node"), "left")
@@ -126,11 +137,19 @@ def near_groups(
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("held"))
     table = join_hot(named.select("fp", "n", "label"), smallest, "label", "held", named.count()).select("fp", "n", "component_id")
     out = join_hot(rows, table, "fp", "n", rows.count())
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    extra = ["sha"] if digest else []
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *extra)
 
 
 def drop_near(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` (all columns) with one document of each near-duplicate group, the
-    smallest id; rows with a null id stay."""
-    gone = near_groups(docs, text, id_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")
+    smallest id; rows with a null id stay.
+
+    Rows that repeat an id are each decided by the group of their own text: one goes
+    if its group holds a smaller id, whatever becomes of the others. All rows of a
+    group that have its smallest id stay."""
+    gone = near_groups(docs, text, id_col, digest=True).where("doc_id <> component_id")
+    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("sha").alias("__gone_sha")).distinct()
+    # the fingerprint is a function of the text, so the text's digest stands for it
+    same = (F.col(id_col).cast("bigint") == F.col("__gone_id")) & (_digest(text) == F.col("__gone_sha"))
+    return docs.join(gone, same, "left_anti")

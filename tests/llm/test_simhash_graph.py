@@ -83,6 +83,16 @@ def test_groups_on_texts(spark):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == sorted(set(want.values()))
 
 
+def test_rows_that_share_an_id_are_decided_by_their_own_text(spark):
+    base = [f"w{i}" for i in range(300)]
+    near = " ".join([*base[:9], "changed", *base[10:]])
+    own = " ".join(f"other{i}" for i in range(300))
+    rows = [(1, " ".join(base), "en", "a", 1), (5, near, "en", "a", 2), (5, own, "en", "a", 3), (6, own, "en", "a", 4), (None, near, "en", "a", 5)]
+    fp = [_fingerprint(r[1]) for r in rows]
+    assert (fp[0] ^ fp[1]).bit_count() <= 3 < (fp[0] ^ fp[2]).bit_count()
+    assert sorted(r.n_chars for r in simhash.drop_near(odd_docs(spark, rows)).collect()) == [1, 3, 5]
+
+
 def test_components(spark):
     rnd = random.Random(2)
     pairs = [(i, i + 1) for i in range(0, 60)] + [(1000, x) for x in range(1001, 1100)]
