@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, exact, langid, lines, mixing, pieces, quality, simhash, suffixes, urls
+from . import dialogue, embeddings, exact, langid, lines, mixing, pieces, quality, simhash, suffixes, urls
 from .common import documents
 
 
@@ -74,6 +74,28 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.curriculum(documents(spark, sf_dir))
 
 
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text after the damage that the hash of ``conv_id:turn``
+    deals to a row (nulls are one space): dropped, emptied, without sentence ends,
+    repeated, or given to the user."""
+    filled = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat(filled["conv_id"], F.lit(":"), filled["turn"]).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(filled["text"], "[.!?]", "")).otherwise(filled["text"])
+    role = F.when(kind == 4, "user").otherwise(filled["role"])
+    times = F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.where(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("copy")).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "conversations")
+    found = dialogue.digests(dialogue.edits(damaged_conversations(rows))).withColumnRenamed("conv_id", "__id")
+    every = rows.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    every = every.join(found, F.col("conv_id").eqNullSafe(F.col("__id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    sha = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), sha)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -87,6 +109,7 @@ QUERIES = {
         op8_url_filters,
         op9_exact_dedup,
         op10_source_mixing,
+        op13_conversation_repair,
     )
 }
 
@@ -156,5 +179,51 @@ SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
     WHEN 1 THEN 2 * f / (1 + sqrt(CAST(1 AS DOUBLE)))
     ELSE 2 * f / (CAST(0.5 AS DOUBLE) + sqrt(CAST(0.25 AS DOUBLE) + CAST(2 AS DOUBLE) * f)) END, 0), 1) AS DOUBLE), 9) END AS position
 FROM m
+""",
+    "op13_conversation_repair": r"""
+WITH RECURSIVE
+tab AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+  lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS t),
+crc AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ord(c) AS BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind FROM conversations, tab),
+dam AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM crc WHERE kind <> 0),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM dam),
+flt AS (SELECT conv_id, turn, role, text, i, left(role, 1) AS w,
+    CASE WHEN bare = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS v FROM num),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (v IS NOT NULL AND v || w NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM flt GROUP BY conv_id),
+opt AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS more,
+    CASE w WHEN 'u' THEN 'K' ELSE 'R' END AS lu, chr(10) || CASE w WHEN 'u' THEN role ELSE 'user' END || ':' || text AS ru,
+    CASE w WHEN 'a' THEN 'K' ELSE 'R' END AS la, chr(10) || CASE w WHEN 'a' THEN role ELSE 'assistant' END || ':' || text AS ra FROM flt),
+cst AS (SELECT *, CASE WHEN gone THEN 1000000000000 ELSE more + CASE w WHEN 'u' THEN 0 ELSE 3 END END AS cu,
+    CASE WHEN gone THEN 1000000000000 ELSE more + CASE w WHEN 'a' THEN 0 ELSE 3 END END AS ca,
+    CASE WHEN gone OR w <> 's' THEN 1000000000000 ELSE more END AS cs FROM opt),
+vit AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {'c': CAST(0 AS BIGINT), 'e': '', 'r': ''} AS o, {'c': CAST(1000000000000 AS BIGINT), 'e': '', 'r': ''} AS s,
+    {'c': CAST(1000000000000 AS BIGINT), 'e': '', 'r': ''} AS u, {'c': CAST(1000000000000 AS BIGINT), 'e': '', 'r': ''} AS a FROM sums
+  UNION ALL
+  SELECT x.conv_id, y.i, {'c': o.c + 4, 'e': o.e || 'D', 'r': o.r},
+    list_min([{'c': s.c + 4, 'e': s.e || 'D', 'r': s.r}, {'c': o.c + cs, 'e': o.e || 'K', 'r': o.r || chr(10) || role || ':' || text}]),
+    list_min([{'c': u.c + 4, 'e': u.e || 'D', 'r': u.r}, {'c': o.c + cu, 'e': o.e || lu, 'r': o.r || ru}, {'c': s.c + cu, 'e': s.e || lu, 'r': s.r || ru},
+      {'c': a.c + cu, 'e': a.e || lu, 'r': a.r || ru}, {'c': u.c + cu + 3, 'e': u.e || 'I' || lu, 'r': u.r || chr(10) || 'assistant:' || ru}]),
+    list_min([{'c': a.c + 4, 'e': a.e || 'D', 'r': a.r}, {'c': u.c + ca, 'e': u.e || la, 'r': u.r || ra},
+      {'c': o.c + ca + 3, 'e': o.e || 'I' || la, 'r': o.r || chr(10) || 'user:' || ra}, {'c': s.c + ca + 3, 'e': s.e || 'I' || la, 'r': s.r || chr(10) || 'user:' || ra},
+      {'c': a.c + ca + 3, 'e': a.e || 'I' || la, 'r': a.r || chr(10) || 'user:' || ra}])
+  FROM vit x JOIN cst y ON x.conv_id IS NOT DISTINCT FROM y.conv_id AND y.i = x.i + 1),
+fin AS (SELECT v.conv_id, list_min([o, a, {'c': u.c + 3, 'e': u.e || 'I', 'r': u.r || chr(10) || 'assistant:'},
+    {'c': s.c + 6, 'e': s.e || 'II', 'r': s.r || chr(10) || 'user:' || chr(10) || 'assistant:'}]) AS b
+  FROM vit v JOIN sums z ON v.conv_id IS NOT DISTINCT FROM z.conv_id AND v.i = z.n)
+SELECT d.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.e, '') AS audit,
+  sha256(coalesce(substr(b.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d
+LEFT JOIN sums z ON d.conv_id IS NOT DISTINCT FROM z.conv_id LEFT JOIN fin f ON d.conv_id IS NOT DISTINCT FROM f.conv_id
 """,
 }
