@@ -4,11 +4,11 @@ whole tables, and its DuckDB SQL where SQL can express it."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dialogue, embeddings, exact, langid, lines, mixing, pieces, quality, simhash, suffixes, urls
-from .common import documents
+from . import dialogue, embeddings, exact, langid, lines, mixing, pieces, quality, runs, simhash, sketches, suffixes, urls
+from .common import BLANK, doc_crc, documents
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,58 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.curriculum(documents(spark, sf_dir))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketches.beside_next(documents(spark, sf_dir))
+    own, edited, after = F.col("hashes"), F.col("edited_hashes"), F.col("next_hashes")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.fingerprint(own).alias("fingerprint"),
+        sketches.fingerprint(edited).alias("edited_fingerprint"),
+        sketches.containment(own, edited).alias("near_edited"),
+        sketches.containment(own, after).alias("near_next"),
+        sketches.resemblance(own, edited).alias("resemblance_edited"),
+        sketches.resemblance(own, after).alias("resemblance_next"),
+    )
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` in which the hash of the id picks one document in ten, whose words from
+    some word on repeat with some period; its text is then the words joined by a space."""
+    h = doc_crc()
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        source = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, source(i))), " ")
+
+    words = F.filter(F.split("text", f"{BLANK}+"), lambda w: w != "")
+    planted = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.lit("")))
+    return docs.withColumn("text", F.when(h % 10 == 0, F.get(planted, F.lit(0))).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_periods(documents(spark, sf_dir).select("doc_id", "text")))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("early"), (-r["period"]).alias("small")))
+    best = F.array_max(ranked)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.early")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.small")).alias("period"),
+        F.expr("(1000 * best.length) div -best.small").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def damaged_conversations(rows: DataFrame) -> DataFrame:
     """conv_id, turn, role, text after the damage that the hash of ``conv_id:turn``
     deals to a row (nulls are one space): dropped, emptied, without sentence ends,
@@ -109,6 +161,8 @@ QUERIES = {
         op8_url_filters,
         op9_exact_dedup,
         op10_source_mixing,
+        op11_fingerprints,
+        op12_periodic_runs,
         op13_conversation_repair,
     )
 }
@@ -179,6 +233,25 @@ SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
     WHEN 1 THEN 2 * f / (1 + sqrt(CAST(1 AS DOUBLE)))
     ELSE 2 * f / (CAST(0.5 AS DOUBLE) + sqrt(CAST(0.25 AS DOUBLE) + CAST(2 AS DOUBLE) * f)) END, 0), 1) AS DOUBLE), 9) END AS position
 FROM m
+""",
+    "op11_fingerprints": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+x AS (SELECT doc_id, n, t, coalesce(lead(t) OVER o, first_value(t) OVER o) AS nt FROM d WINDOW o AS (ORDER BY doc_id DESC NULLS LAST)),
+e AS (SELECT doc_id, n, t, nt, left(t, n - n // 2) || left(nt, n // 2) AS et FROM x),
+v AS (SELECT doc_id, 0 AS k, t AS s FROM e UNION ALL SELECT doc_id, 1, et FROM e UNION ALL SELECT doc_id, 2, nt FROM e),
+w AS (SELECT doc_id, k, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS w FROM v),
+h AS (SELECT doc_id, k, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) ELSE
+  list_transform(range(greatest(len(w) - 4, 1)), lambda i: left(md5(array_to_string(w[i + 1:i + 5], ' ')), 16)) END AS h FROM w),
+f AS (SELECT doc_id, k, list_sort(list_distinct(list_filter(h, lambda y: y < '2000000000000000'))) AS f, h FROM h),
+g AS (SELECT doc_id, k, CASE WHEN len(f) > 0 OR len(h) = 0 THEN f ELSE [list_min(h)] END AS f FROM f),
+p AS (SELECT e.doc_id, n, et, a.f AS a, b.f AS b, c.f AS c, len(list_intersect(a.f, b.f)) AS ab, len(list_intersect(a.f, c.f)) AS ac
+  FROM e JOIN g a ON a.doc_id = e.doc_id AND a.k = 0 JOIN g b ON b.doc_id = e.doc_id AND b.k = 1 JOIN g c ON c.doc_id = e.doc_id AND c.k = 2)
+SELECT doc_id, n AS n_chars, sha256(et) AS edited_sha256, array_to_string(a, '') AS fingerprint, array_to_string(b, '') AS edited_fingerprint,
+  CASE WHEN len(a) + len(b) = 0 THEN 1.0 WHEN len(a) = 0 THEN 0.0 ELSE ab / len(a) END AS near_edited,
+  CASE WHEN len(a) + len(c) = 0 THEN 1.0 WHEN len(a) = 0 THEN 0.0 ELSE ac / len(a) END AS near_next,
+  CASE WHEN len(a) + len(b) = 0 THEN 1.0 ELSE ab / (len(a) + len(b) - ab) END AS resemblance_edited,
+  CASE WHEN len(a) + len(c) = 0 THEN 1.0 ELSE ac / (len(a) + len(c) - ac) END AS resemblance_next
+FROM p
 """,
     "op13_conversation_repair": r"""
 WITH RECURSIVE
