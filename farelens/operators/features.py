@@ -1,8 +1,8 @@
 """Feature derivation, the valid-trip filter, row caps and the train/test split.
 
-Everything here is a narrow transformation (no shuffle) except ``row_cap``,
-which is the original study's arbitrary ``limit`` and funnels rows through a
-single partition; ``hash_sample`` is the scalable alternative.
+Everything here is a narrow transformation (no shuffle). ``row_cap`` finds its cut
+with a few aggregates first; only its ``first`` method, the original study's arbitrary
+``limit``, funnels rows through a single partition.
 """
 
 from __future__ import annotations
@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar_columns, haversine_km, trip_in_box
 from ..params import DEFAULT, Params
+from .quantiles import order_statistics
 
 # bits of the hash that samples and splits compare with a fraction
 HASH_BITS = 60
+# hex digits of the hash that a cap ranks: a double holds such a number exactly
+PLACE_DIGITS = 13
 
 
 def add_distance(df: DataFrame, out: str = "distance_km") -> DataFrame:
@@ -81,18 +84,42 @@ def hourly_fares(features: DataFrame) -> DataFrame:
     )
 
 
-def row_cap(df: DataFrame, n: int) -> DataFrame:
-    """The original capped subset: the first ``n`` rows, arbitrary, not random.
-    Note: a global ``limit`` gathers its rows through one partition."""
-    return df.limit(n)
+def row_cap(df: DataFrame, n: int, cols: list[str] | None = None, method: str = "hash") -> DataFrame:
+    """A subset of exactly ``n`` rows (all, if there are fewer).
+
+    ``hash`` (default): the rows with the smallest hashes of ``cols`` (default: all).
+    The n-th smallest hash is found by narrowing and the rows are filtered where they
+    lie, so nothing passes through one partition and the subset does not depend on
+    partitioning. Of rows with equal columns at the cut any are taken, as many as are
+    due. ``first``: the original, the first n rows in any order, through one partition."""
+    if method == "first":
+        return df.limit(n)
+    if n <= 0:
+        return df.limit(0)
+    place = _place(cols or df.columns, PLACE_DIGITS).alias("place")
+    places = df.select(place.cast("double").alias("place"))
+    rows = places.count()
+    if rows <= n:
+        return df
+    found = order_statistics(places, ["place"], [(n - 1) / (rows - 1)], lambda _: {n - 1, n})[0][1]
+    cut, after = int(found[n - 1]), int(found[n])
+    if cut < after:
+        return df.where(_place(cols or df.columns, PLACE_DIGITS) <= cut)
+    below = df.where(_place(cols or df.columns, PLACE_DIGITS) < cut)
+    equal = df.where(_place(cols or df.columns, PLACE_DIGITS) == cut)
+    return below.unionByName(equal.limit(n - below.count()))
+
+
+def _place(cols: list[str], digits: int, seed: int | str = "cap") -> Column:
+    """The first hex digits of an MD5 over the seed and the columns, as a number."""
+    text = F.concat_ws("\x1f", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("bigint")
 
 
 def below_fraction(cols: list[str], fraction: float, seed: int) -> Column:
     """True for about ``fraction`` of all values of ``cols``: the first 60 bits of
     an MD5 over the seed and the columns, compared with ``fraction * 2^60``."""
-    text = F.concat_ws("\x1f", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols])
-    place = F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
-    return place < F.lit(int(fraction * (1 << HASH_BITS)))
+    return _place(cols, HASH_BITS // 4, seed) < F.lit(int(fraction * (1 << HASH_BITS)))
 
 
 def hash_sample(df: DataFrame, fraction: float, cols: list[str] | None = None, seed: int = DEFAULT.seed) -> DataFrame:

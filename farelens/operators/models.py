@@ -2,7 +2,8 @@
 
 Fits are the one place that leaves the SQL plan: MLlib runs its own loops of
 distributed aggregation jobs (one normal-equation pass for L2 linear models,
-one histogram aggregation per tree level for forests and boosting). The caller
+one histogram aggregation per tree level for forests and boosting). The linear grid
+needs no fit per setting: ``moments`` solves it from one aggregate. The caller
 keeps the vectors once around its fits (``cached``); the fits add no copy. A lost
 executor's cached blocks are recomputed from lineage; boosting also checkpoints
 to the session's checkpoint folder.
@@ -10,7 +11,10 @@ to the session's checkpoint folder.
 
 from __future__ import annotations
 
+import time
+import uuid
 from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -30,14 +34,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..params import DEFAULT, Params
-from ..sources.sinks import path_exists, persist_for_passes
+from ..sources.sinks import persist_for_passes, publish, published
+from . import moments as mo
 from .features import below_fraction, hash_sample, row_cap
 
 METRICS = ("rmse", "mae", "r2")
-# fixed labels of the regularisation type (elastic-net mixing 0 / 1 / other)
-REG_TYPE_L2 = "Ridge (L2)"
-REG_TYPE_L1 = "Lasso (L1)"
-REG_TYPE_MIXED = "ElasticNet (L1+L2)"
+
+
+class Tuned(NamedTuple):
+    """The outcome of a grid: its best setting, fitted on all of train."""
+
+    bestModel: LinearRegressionModel  # the name that MLlib's cross-validation uses
 
 
 @contextmanager
@@ -76,7 +83,7 @@ def vectors(fe: DataFrame, params: Params = DEFAULT):
     if params.fit_fraction is not None:
         fe = hash_sample(fe, params.fit_fraction, by, params.seed + 1)
     if params.fit_row_cap is not None:
-        fe = row_cap(fe, params.fit_row_cap)
+        fe = row_cap(fe, params.fit_row_cap, by)
     fold = F.lit(params.cv_folds - 1)
     for k in range(params.cv_folds - 2, -1, -1):  # nested shares give equal folds
         fold = F.when(below_fraction(by, (k + 1) / params.cv_folds, params.seed + 2), F.lit(k)).otherwise(fold)
@@ -255,21 +262,25 @@ def with_test_rmse(report: DataFrame, cv_model, test: DataFrame) -> DataFrame:
 
 
 def tune_linear(train: DataFrame, params: Params = DEFAULT):
-    """Grid over regParam x elasticNetParam, k folds. Returns
-    (cv_model, report)."""
-    lr = LinearRegression()
-    grid = (
-        ParamGridBuilder()
-        .addGrid(lr.regParam, list(params.linear_grid["regParam"]))
-        .addGrid(lr.elasticNetParam, list(params.linear_grid["elasticNetParam"]))
-        .build()
-    )
-    cvm = _cv(lr, grid, params, params.linear_parallelism).fit(train)
-    report = _cv_report(train.sparkSession, cvm, grid, ["regParam", "elasticNetParam"])
-    types = F.when(F.col("elasticNetParam") == 0.0, F.lit(REG_TYPE_L2)).when(
-        F.col("elasticNetParam") == 1.0, F.lit(REG_TYPE_L1)
-    ).otherwise(F.lit(REG_TYPE_MIXED))
-    return cvm, report.withColumn("regularization", types)
+    """Grid over regParam x elasticNetParam, k folds, from the folds' moments (see
+    ``moments``): one aggregate, no fit per setting and fold. Returns (tuned, report);
+    ``tuned.bestModel`` is the best setting fitted by MLlib on all of train."""
+    grid = [(r, a) for r in params.linear_grid["regParam"] for a in params.linear_grid["elasticNetParam"]]
+    folds = mo.collect(mo.linear_moments(train, len(params.feature_cols)))
+    whole = sum(folds.values())
+    rmse = []
+    for reg, mix in grid:
+        parts = []
+        for held in folds.values():
+            rest = whole - held
+            if held[0, 0] and rest[0, 0]:
+                parts.append(mo.rmse(held, mo.solve(rest, reg, mix)))
+        rmse.append(sum(parts) / len(parts))
+    best = min(range(len(grid)), key=lambda i: rmse[i])
+    fitted = LinearRegression(regParam=grid[best][0], elasticNetParam=grid[best][1]).fit(train)
+    rows = [(float(r), float(a), e, str(i == best).lower(), mo.regularisation(a)) for i, ((r, a), e) in enumerate(zip(grid, rmse))]
+    schema = "regParam double not null, elasticNetParam double not null, avg_rmse double not null, is_best string not null, regularization string not null"
+    return Tuned(fitted), train.sparkSession.createDataFrame(rows, schema)
 
 
 # --- M12, S7-S9: importance and artifacts ------------------------------------
@@ -284,33 +295,48 @@ def feature_importance(model, cols) -> DataFrame:
 
 
 def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Save the model in a folder of its own below ``path`` and, as the last step, name
+    that folder as the one to load. A save that breaks off changes nothing: what was
+    saved before, if anything, is loaded."""
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    model.write().save(f"{path}/{version}")
+    publish(SparkSession.getActiveSession(), path, version)
+
+
+def saved(path: str) -> str | None:
+    """The folder of the model last saved whole at ``path``; None if there is none."""
+    version = published(SparkSession.getActiveSession(), path)
+    return version and f"{path}/{version}"
+
+
+def _load(kind, path: str):
+    if (folder := saved(path)) is None:
+        raise FileNotFoundError(f"no model was saved at {path}")
+    return kind.load(folder)
 
 
 def load_forest(spark: SparkSession, tuned_path: str, baseline_path: str) -> RandomForestRegressionModel:
-    """The tuned forest if its directory exists, else the baseline forest
-    (existence checked through the Hadoop file system of the path)."""
-    path = tuned_path if path_exists(spark, tuned_path) else baseline_path
-    return RandomForestRegressionModel.load(path)
+    """The tuned forest if one was saved whole, else the baseline forest."""
+    return _load(RandomForestRegressionModel, tuned_path if saved(tuned_path) else baseline_path)
 
 
 def load_linear(path: str) -> LinearRegressionModel:
-    return LinearRegressionModel.load(path)
+    return _load(LinearRegressionModel, path)
 
 
 def load_boosted(path: str) -> GBTRegressionModel:
-    return GBTRegressionModel.load(path)
+    return _load(GBTRegressionModel, path)
 
 
 def load_prep(path: str) -> PipelineModel:
     """The fitted assembler and scaler."""
-    return PipelineModel.load(path)
+    return _load(PipelineModel, path)
 
 
 def load_baselines(folder: str) -> dict:
     """The three saved baseline models, by the names of ``model_comparison``."""
     return {
         "Linear": load_linear(f"{folder}/lr"),
-        "RF": RandomForestRegressionModel.load(f"{folder}/rf"),
+        "RF": _load(RandomForestRegressionModel, f"{folder}/rf"),
         "GBT": load_boosted(f"{folder}/gbt"),
     }

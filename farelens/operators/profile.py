@@ -14,7 +14,7 @@ from pyspark.sql.types import NumericType, StringType
 from ..functions import count_if, is_missing
 from ..params import DEFAULT, Params
 from .quality import outside_box
-from .quantiles import quantiles
+from .quantiles import quantiles, within
 
 
 def column_kinds(df: DataFrame) -> dict[str, str]:
@@ -126,8 +126,30 @@ def iqr_report(df: DataFrame, cols: list[str], params: Params = DEFAULT, method:
     return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-#: Sums an aggregate may hold and still compile as one function.
-MAX_SUMS = 90
+def iqr_proof(df: DataFrame, cols: list[str], params: Params = DEFAULT) -> DataFrame:
+    """Per column of the approximate ``iqr_report``: rows, whether each of its quartiles
+    is within the relative rank error, and whether the rows inside and outside its
+    fences add up to the rows that have a value (NaN is outside, null neither)."""
+    report = {r["column"]: r for r in iqr_report(df, cols, params, "approx").collect()}  # one row a column
+    probs = list(params.quantile_probs)
+    wide = []
+    for i, c in enumerate(cols):
+        x, r = F.col(c).cast("double"), report[c]
+        clean = F.when(~F.isnan(x), x)
+        wide += [F.count(x).alias(f"rows_{i}"), F.count(clean).alias(f"n_{i}")]
+        wide.append(count_if(x.between(F.lit(r["lower"]).cast("double"), F.lit(r["upper"]).cast("double"))).alias(f"inside_{i}"))
+        for j, name in enumerate(("q1", "median", "q3")):
+            v = F.lit(r[name]).cast("double")
+            wide += [count_if(clean < v).alias(f"b{i}_{j}"), count_if(clean <= v).alias(f"u{i}_{j}")]
+    out = []
+    for i, c in enumerate(cols):
+        n = F.col(f"n_{i}")
+        near = [within(n, F.col(f"b{i}_{j}"), F.col(f"u{i}_{j}"), p, params.quantile_rel_error) for j, p in enumerate(probs)]
+        adds_up = F.col(f"inside_{i}") + F.lit(report[c]["outliers"]) == F.col(f"rows_{i}")
+        cells = [F.lit(c).alias("column"), F.col(f"rows_{i}").alias("rows")]
+        cells += [x.alias(f"{name}_within") for name, x in zip(("q1", "median", "q3"), near)]
+        out.append(F.struct(*cells, adds_up.alias("outliers_add_up")))
+    return df.agg(*wide).select(F.explode(F.array(*out)).alias("r")).select("r.*")
 
 
 def correlation(df: DataFrame, cols: list[str], nulls: str = "zero", centers: dict[str, float] | None = None) -> DataFrame:
@@ -137,10 +159,12 @@ def correlation(df: DataFrame, cols: list[str], nulls: str = "zero", centers: di
     ``"skip"`` uses pairwise-complete rows. A constant column, NaN and null
     results give 0.0; an empty input gives 0.0 everywhere.
 
-    One aggregate of plain sums and sums of products (for ``skip`` a few, each
-    below the size that compiles): no row is multiplied. ``centers`` are subtracted
-    first; a value near a column's mean keeps the digits of a column whose mean is
-    large against its spread."""
+    One scan and one aggregate of plain sums and sums of products; no row is
+    multiplied. For ``skip`` the rows are grouped by which columns are present, a bit
+    each: every group has the same sums, and a pair adds up the groups that hold both,
+    of which there are at most 2^columns. ``centers`` are subtracted first; a value
+    near a column's mean keeps the digits of a column whose mean is large against its
+    spread."""
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
@@ -151,38 +175,40 @@ def correlation(df: DataFrame, cols: list[str], nulls: str = "zero", centers: di
     xs = [x - F.lit(float((centers or {}).get(c, 0.0))) for c, x in zip(cols, raw)]
     base = df.select(*[x.alias(f"x{i}") for i, x in enumerate(xs)])
     x = [F.col(f"x{i}") for i in range(len(cols))]
+    z = x if nulls == "zero" else [F.coalesce(c, F.lit(0.0)) for c in x]
+    sums = [F.count(F.lit(1)).alias("n")] + [F.sum(c).alias(f"s{i}") for i, c in enumerate(z)]
+    sums += [F.sum(z[i] * z[j]).alias(f"p{i}_{j}") for i, j in pairs]
     limits = [f(c).alias(f"{n}{i}") for i, c in enumerate(x) for n, f in (("min", F.min), ("max", F.max))]
     if nulls == "zero":
-        sums = [F.count(F.lit(1)).alias("n")] + [F.sum(c).alias(f"s{i}") for i, c in enumerate(x)]
-        sums += [F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i, j in pairs]
         wide = base.agg(*sums, *limits)
 
         def part(i, j):
             return [F.col("n"), *[F.col(c) for c in (f"s{i}", f"s{j}", f"p{i}_{i}", f"p{j}_{j}", f"p{i}_{j}")]]
     else:
-        sums = []
+        present = sum((F.when(c.isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(x)), F.lit(0))
+        masks = base.withColumn("mask", present).groupBy("mask").agg(*sums, *limits)
+        added = [f(f"{n}{i}").alias(f"{n}{i}") for i in range(len(x)) for n, f in (("min", F.min), ("max", F.max))]
         for i, j in pairs:
-            a, b = F.when(x[j].isNotNull(), x[i]), F.when(x[i].isNotNull(), x[j])
-            own = (F.count(a), F.sum(a), F.sum(b), F.sum(a * a), F.sum(b * b), F.sum(a * b))
-            sums += [e.alias(f"t{i}_{j}_{k}") for k, e in enumerate(own)]
-        every = limits + sums
-        wide = None
-        for k in range(0, len(every), MAX_SUMS):
-            some = base.agg(*every[k : k + MAX_SUMS])
-            wide = some if wide is None else wide.crossJoin(some)  # one row each
+            both = F.col("mask").bitwiseAND(F.lit(1 << i | 1 << j)) == F.lit(1 << i | 1 << j)
+            own = ("n", f"s{i}", f"s{j}", f"p{i}_{i}", f"p{j}_{j}", f"p{i}_{j}")
+            added += [F.sum(F.when(both, F.col(c))).alias(f"t{i}_{j}_{k}") for k, c in enumerate(own)]
+        wide = masks.agg(*added)
 
         def part(i, j):
             return [F.col(f"t{i}_{j}_{k}") for k in range(6)]
 
-    cells = []
+    found = []
     for i, j in pairs:
         n, sa, sb, aa, bb, ab = part(i, j)
         spread = F.sqrt(F.greatest(n * aa - sa * sa, F.lit(0.0))) * F.sqrt(F.greatest(n * bb - sb * sb, F.lit(0.0)))
         fixed = (F.col(f"min{i}") == F.col(f"max{i}")) | (F.col(f"min{j}") == F.col(f"max{j}"))
-        r = F.when(~fixed, F.try_divide(n * ab - sa * sb, spread))
-        r = F.when(r.isNull() | F.isnan(r), F.lit(0.0)).otherwise(r)
-        for a, b in {(i, j), (j, i)}:
-            cells.append(F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), r.alias("corr")))
+        found.append(F.when(~fixed, F.try_divide(n * ab - sa * sb, spread)).alias(f"r{i}_{j}"))
+    # a projection of its own, so that the rows below are made of plain columns
+    wide = wide.select(*found)
+    cells = []
+    for i, j in pairs:
+        r = F.coalesce(F.nanvl(F.col(f"r{i}_{j}"), F.lit(None).cast("double")), F.lit(0.0)).alias("corr")
+        cells += [F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), r) for a, b in {(i, j), (j, i)}]
     return wide.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 

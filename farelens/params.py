@@ -119,9 +119,8 @@ class Params:
     linear_grid: dict = field(default_factory=lambda: dict(LINEAR_GRID))
     forest_parallelism: int = 1
     linear_parallelism: int = 2
-    # None: fit on every valid row; an int reproduces the original row cap
-    # (a global limit, gathered through one partition); a fraction keeps a
-    # deterministic hash sample instead (filtered in place, no exchange)
+    # None: fit on every valid row; an int caps the rows as the original did, by
+    # their hash; a fraction keeps a deterministic hash sample instead
     fit_row_cap: int | None = None
     fit_fraction: float | None = None
     # "all" (original: scaler sees test rows too) or "train"

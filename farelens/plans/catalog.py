@@ -12,18 +12,20 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import distributions as ds
 from ..operators import errors as er
 from ..operators import features as fe
 from ..operators import models as md
+from ..operators import moments as mo
 from ..operators import profile as pr
 from ..operators import quality as qu
 from ..operators import quantiles as qn
 from ..params import DEFAULT, FEATURE_COLS, ROW_CAP, SAMPLE_ROWS, SMALL_MODELS, TOP_K
-from ..sources import TRIP_COLUMNS, TRIP_SCHEMA, testdata
+from ..session import shared_folder
+from ..sources import TRIP_COLUMNS, TRIP_SCHEMA, count_table, read_counts, read_parquet, testdata, write_counted
 from . import stages as st
 
 # binds at every tested size; the study's own cap is ROW_CAP
@@ -107,9 +109,17 @@ def q_hourly_fare(spark, sf_dir):
 
 @register("row_cap")
 def q_row_cap(spark, sf_dir):
-    # which rows a cap keeps is arbitrary; how many is not
-    capped = fe.row_cap(st.features(spark, sf_dir), QUERY_ROW_CAP)
-    return capped.agg(F.count(F.lit(1)).alias("rows"))
+    return st.round_doubles(fe.row_cap(st.features(spark, sf_dir, carry=("key",)), QUERY_ROW_CAP, ["key"]))
+
+
+@register("written_counts")
+def q_written_counts(spark, sf_dir):
+    """S3: the feature table written, reread and compared with what was counted on the way."""
+    feats, path = st.features(spark, sf_dir, carry=("key",)), f"{shared_folder(spark)}/features.parquet"
+    written = write_counted(feats, path)
+    reread = read_parquet(spark, path)
+    same = written == read_counts(spark, path) == count_table(reread)
+    return reread.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(feats.columns)).cast("bigint").alias("columns"), F.lit(same).alias("same"))
 
 
 @register("hash_sample")
@@ -174,11 +184,13 @@ def q_numeric_avg_std(spark, sf_dir):
     return st.round_doubles(pr.numeric_avg_std(st.profile(spark, sf_dir)))
 
 
-@register("quantiles_approx", rows_only=True)
+@register("quantiles_approx")
 def q_quantiles_approx(spark, sf_dir):
-    return qn.approx_quantiles(
+    """A sketch's values may be any within its error, so what is compared is the proof."""
+    found = qn.proved_quantiles(
         st.profile(spark, sf_dir), list(IQR_COLS), list(DEFAULT.quantile_probs), DEFAULT.quantile_rel_error
     )
+    return found.select("column", "prob", "rows", "within")
 
 
 @register("quantiles_exact")
@@ -193,9 +205,11 @@ def q_iqr_exact(spark, sf_dir):
     return st.round_doubles(pr.iqr_report(st.profile(spark, sf_dir), list(IQR_COLS), method="exact"))
 
 
-@register("iqr_approx", rows_only=True)
+@register("iqr_approx")
 def q_iqr_approx(spark, sf_dir):
-    return pr.iqr_report(st.profile(spark, sf_dir), list(IQR_COLS), method="approx")
+    """As ``quantiles_approx``: the proof of the quartiles, and that the outliers are
+    those of the fences that the report names."""
+    return pr.iqr_proof(st.profile(spark, sf_dir), list(IQR_COLS))
 
 
 @register("correlation")
@@ -221,6 +235,11 @@ def q_hour_distribution(spark, sf_dir):
     return ds.value_distribution(st.profile(spark, sf_dir), "pickup_hour")
 
 
+@register("profile_counts")
+def q_profile_counts(spark, sf_dir):
+    return ds.profile_counts(st.profile(spark, sf_dir))
+
+
 @register("passenger_distribution")
 def q_passenger_distribution(spark, sf_dir):
     return ds.passenger_distribution(st.profile(spark, sf_dir))
@@ -405,6 +424,16 @@ def q_scaled_features(spark, sf_dir):
     return st.round_doubles(md.scaled_columns(prep, fe_df, ML.feature_cols))
 
 
+@register("linear_moments")
+def q_linear_moments(spark, sf_dir):
+    """What the linear grid is solved from: sums of products by fold, over train."""
+    _, frame = md.vectors(st.features(spark, sf_dir, carry=("key",)), ML)
+    # the sums run to the number of rows: compared as means
+    found = mo.linear_moments(md.train_rows(frame), len(ML.feature_cols))
+    n = F.max(F.when((F.col("a") == 0) & (F.col("b") == 0), F.col("value"))).over(Window.partitionBy("fold"))
+    return st.round_doubles(found.select("fold", "a", "b", (F.col("value") / n).alias("mean"), n.cast("bigint").alias("rows")))
+
+
 register("fit_linear", rows_only=True)(_fit_query("Linear", md.fit_linear))
 register("fit_forest", rows_only=True)(_fit_query("RF", md.fit_forest))
 register("fit_boosted", rows_only=True)(_fit_query("GBT", md.fit_boosted))

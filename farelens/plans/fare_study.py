@@ -10,6 +10,7 @@ bounded metadata (model parameters, grid metrics, feature importances).
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,9 @@ from ..operators import profile as pr
 from ..operators import quality as qu
 from ..params import DEFAULT, Params
 from ..session import ensure_checkpoint_dir, pin_time_zone
-from ..sources import read_parquet, require_rows, with_parsed_time, write_metrics_json, write_parquet, write_report_csv
+from ..sources import (
+    EmptyInputError, read_counts, read_parquet, with_parsed_time, write_counted, write_metrics_json, write_parquet, write_report_csv,
+)
 
 IQR_COLS = ("fare_amount", "distance_km")
 
@@ -30,18 +33,23 @@ IQR_COLS = ("fare_amount", "distance_km")
 def clean(spark: SparkSession, trips: DataFrame, out_dir: str, params: Params = DEFAULT) -> DataFrame:
     """Parse time, drop repeated keys, report quality, write ``raw.parquet``."""
     pin_time_zone(spark, params)
-    raw = qu.dedup_keys(with_parsed_time(require_rows(trips, "trip input")))
-    write_parquet(raw, f"{out_dir}/raw.parquet")
+    raw = qu.dedup_keys(with_parsed_time(trips))
+    if not write_counted(raw, f"{out_dir}/raw.parquet")["__rows"]:
+        raise EmptyInputError("trip input has no rows")
     raw = read_parquet(spark, f"{out_dir}/raw.parquet")
     write_report_csv(qu.quality_report(raw, params), f"{out_dir}/quality")
-    return require_rows(raw, "deduplicated trips")
+    return raw
 
 
 def profile(raw: DataFrame, out_dir: str, params: Params = DEFAULT) -> None:
-    """All profile reports, straight from the cleaned table: the one-row reports
-    and the summary are cut from one pass, the IQR report is computed once."""
+    """All profile reports, straight from the cleaned table: the one-row reports and the
+    summary are cut from one pass, the distributions, histograms and heatmaps from
+    another, and the IQR report is computed once."""
     prof, p, eda = fe.profile_frame(raw), params, f"{out_dir}/eda"
     row, iqr = small(pr.overview(prof, p)), small(pr.iqr_report(prof, list(IQR_COLS), p, method="approx"))
+    corr_cols = ["fare_amount", *p.feature_cols]
+    first = row.first()
+    means = {c: first[f"{c}_avg"] for c in corr_cols if first[f"{c}_avg"] is not None and math.isfinite(first[f"{c}_avg"])}
     reports = {
         "missing_values": pr.missing_values(prof, row),
         "numeric_min_max": pr.numeric_min_max(prof, row=row),
@@ -49,18 +57,12 @@ def profile(raw: DataFrame, out_dir: str, params: Params = DEFAULT) -> None:
         "outside_box": row.select("total_rows", *[f"{e}_outside{x}" for x in ("", "_share") for e in ("pickup", "dropoff")]),
         "iqr": iqr,
         "summary": pr.profile_summary(prof, p, row=row, iqr=iqr),
-        "hist_fare_amount": ds.histogram(prof, "fare_amount", p.fare_bin_width, 0.0, p.heat_fare_max),
-        "hist_distance_km": ds.histogram(prof, "distance_km", p.distance_bin_width, 0.0, p.heat_distance_max),
-        "passenger_distribution": ds.passenger_distribution(prof, p),
-        "pickup_hour_distribution": ds.value_distribution(prof, "pickup_hour"),
-        "trips_per_month": ds.monthly_trips(prof),
-        "pickup_heatmap": ds.geo_heatmap(prof, "pickup_longitude", "pickup_latitude", p.pickup_box, p.geo_bin_size),
-        "dropoff_heatmap": ds.geo_heatmap(prof, "dropoff_longitude", "dropoff_latitude", p.dropoff_box, p.geo_bin_size),
-        "fare_distance_heatmap": ds.fare_distance_heatmap(prof, p),
-        "correlation_matrix": pr.correlation(prof, ["fare_amount", *p.feature_cols]),
+        "correlation_matrix": pr.correlation(prof, corr_cols, centers=means),
     }
-    for name, df in reports.items():
-        write_report_csv(df, f"{eda}/{name}")
+    with md.cached(ds.profile_counts(prof, p)) as counts:  # a row a bin, from one scan
+        reports |= {name: ds.cut_report(counts, name, p) for name in ds.REPORTS}
+        for name, df in reports.items():
+            write_report_csv(df, f"{eda}/{name}")
 
 
 def small(report: DataFrame) -> DataFrame:
@@ -69,9 +71,18 @@ def small(report: DataFrame) -> DataFrame:
 
 
 def features(spark: SparkSession, raw: DataFrame, out_dir: str, params: Params = DEFAULT) -> DataFrame:
-    write_report_csv(fe.filter_accounting(raw, params), f"{out_dir}/filter_accounting")
-    write_parquet(fe.feature_table(raw, params, carry=("key",)), f"{out_dir}/fe.parquet")
-    return require_rows(read_parquet(spark, f"{out_dir}/fe.parquet"), "feature table")
+    """Write the feature table, capped if the study caps it; the accounting of the
+    filter comes from the counts taken while both tables were written."""
+    before = read_counts(spark, f"{out_dir}/raw.parquet")["__rows"]
+    after = write_counted(fe.feature_table(raw, params, carry=("key",)), f"{out_dir}/fe.parquet")["__rows"]
+    if not after:
+        raise EmptyInputError("feature table has no rows")
+    accounts = spark.createDataFrame([(before, after, before - after)], "rows_before bigint, rows_after bigint, rows_dropped bigint")
+    write_report_csv(accounts, f"{out_dir}/filter_accounting")
+    feats = read_parquet(spark, f"{out_dir}/fe.parquet")
+    if params.fit_row_cap is not None:  # the capped subset beside the whole table
+        write_counted(fe.row_cap(feats, params.fit_row_cap, ["key"]), f"{out_dir}/fe_small.parquet")
+    return feats
 
 
 def vectors(spark: SparkSession, feats: DataFrame, out_dir: str, params: Params = DEFAULT):

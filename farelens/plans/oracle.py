@@ -303,6 +303,18 @@ ORACLE["quantiles_exact"] = with_(*PROF_BASE) + " UNION ALL ".join(
 )
 
 
+ORACLE["quantiles_approx"] = with_(*PROF_BASE) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {d(p)} AS prob, count(*) AS rows, true AS within FROM prof WHERE {c} IS NOT NULL AND NOT isnan({c})"
+    for c in _IQR_COLS
+    for p in P.quantile_probs
+)
+ORACLE["iqr_approx"] = with_(*PROF_BASE) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS rows, true AS q1_within, true AS median_within, true AS q3_within, "
+    "true AS outliers_add_up FROM prof"
+    for c in _IQR_COLS
+)
+
+
 def _iqr_cte() -> str:
     parts = []
     for c in _IQR_COLS:
@@ -487,6 +499,38 @@ ORACLE["fare_distance_pivot"] = _pivot_sql(
     ("dist_center", "distance_km", 0.0, P.heat_distance_max, P.heat_distance_bin),
 )
 
+
+
+def _counts_sql() -> str:
+    """The eight distributions, each counted on its own."""
+    parts = [
+        "SELECT 'pickup_hour_distribution' AS report, pickup_hour AS a, CAST(NULL AS BIGINT) AS b, count(*) AS count FROM prof GROUP BY pickup_hour",
+        "SELECT 'trips_per_month', pickup_year, pickup_month, count(*) FROM prof GROUP BY pickup_year, pickup_month",
+        f"SELECT 'passenger_distribution', passenger_count, NULL, count(*) FROM prof "
+        f"WHERE passenger_count BETWEEN {P.passenger_min} AND {P.passenger_max} GROUP BY passenger_count",
+    ]
+    for name, c, w, hi in (("hist_fare_amount", "fare_amount", P.fare_bin_width, P.heat_fare_max), ("hist_distance_km", "distance_km", P.distance_bin_width, P.heat_distance_max)):
+        parts.append(
+            f"SELECT '{name}', CAST(bin AS BIGINT), NULL, count(*) FROM (SELECT floor({c} / {d(w)}) AS bin FROM prof WHERE {c} IS NOT NULL) z "
+            f"WHERE bin >= 0 AND bin <= {max(1, -int(-hi // w))} GROUP BY bin"
+        )
+    heat = {
+        "pickup_heatmap": _geo_axes("pickup", P.pickup_box),
+        "dropoff_heatmap": _geo_axes("dropoff", P.dropoff_box),
+        "fare_distance_heatmap": (
+            ("fare", "fare_amount", 0.0, P.heat_fare_max, P.heat_fare_bin), ("dist", "distance_km", 0.0, P.heat_distance_max, P.heat_distance_bin)
+        ),
+    }
+    for name, ((_, rc, r0, r1, rs), (_, cc, c0, c1, cs)) in heat.items():
+        parts.append(
+            f"SELECT '{name}', CAST(floor(({rc} - {d(r0)}) / {d(rs)}) AS BIGINT) AS x, CAST(floor(({cc} - {d(c0)}) / {d(cs)}) AS BIGINT) AS y, count(*) "
+            f"FROM prof WHERE {rc} BETWEEN {d(r0)} AND {d(r1)} AND {cc} BETWEEN {d(c0)} AND {d(c1)} GROUP BY x, y"
+        )
+    return with_(*PROF_BASE) + "SELECT report, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, count FROM (" + " UNION ALL ".join(parts) + ") u"
+
+
+ORACLE["profile_counts"] = _counts_sql()
+
 # --- errors and metrics -------------------------------------------------------
 
 SCORED = """
@@ -615,7 +659,32 @@ ORACLE["hash_sample"] = with_(*KEYED) + f"SELECT {_KEYED_COLS} FROM keyed WHERE
 ORACLE["train_test_split"] = with_(*KEYED) + (
     f"SELECT {_KEYED_COLS}, CASE WHEN {_below(P.train_fraction, P.seed)} THEN 'train' ELSE 'test' END AS part FROM keyed"
 )
-ORACLE["row_cap"] = with_(*FEAT_BASE) + f"SELECT least(count(*), {ROW_CAP // 50}) AS rows FROM feat"
+ORACLE["row_cap"] = with_(*KEYED) + (
+    f"SELECT {_KEYED_COLS} FROM keyed ORDER BY substr(md5('cap' || chr(31) || key), 1, 13), key LIMIT {ROW_CAP // 50}"
+)
 ORACLE["assembled_features"] = with_(*FEAT_BASE) + (
     "SELECT round(label, 6) AS label, " + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS x_{c}" for c in FEATURE_COLS) + " FROM feat"
 )
+
+
+def _moments_sql() -> str:
+    """Standardised features of all rows, folds and split by the key's MD5."""
+    z = [
+        f"CASE WHEN stddev_samp({c}) OVER () = 0 OR stddev_samp({c}) OVER () IS NULL THEN 0 "
+        f"ELSE ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () END AS x{i}"
+        for i, c in enumerate(FEATURE_COLS, 1)
+    ]
+    k = P.cv_folds
+    fold = "CASE " + "".join(f"WHEN {_below((i + 1) / k, P.seed + 2)} THEN {i} " for i in range(k - 1)) + f"ELSE {k - 1} END"
+    last = len(FEATURE_COLS) + 1
+    cells = [(a, b) for a in range(last + 1) for b in range(a, last + 1)]
+    return with_(
+        *KEYED,
+        f"\nvec AS (SELECT key, CAST(1 AS DOUBLE) AS x0, {', '.join(z)}, label AS x{last} FROM keyed)",
+        f"\ntrn AS (SELECT *, {fold} AS fold FROM vec WHERE {_below(P.train_fraction, P.seed)})",
+        "\nsums AS (SELECT fold, count(*) AS rows, " + ", ".join(f"avg(x{a} * x{b}) AS m{a}_{b}" for a, b in cells) + " FROM trn GROUP BY fold)",
+    ) + " UNION ALL ".join(f"SELECT fold, {a} AS a, {b} AS b, round(m{a}_{b}, 6) AS mean, rows FROM sums" for a, b in cells)
+
+
+ORACLE["linear_moments"] = _moments_sql()
+ORACLE["written_counts"] = with_(*KEYED) + f"SELECT count(*) AS rows, CAST({len(FEATURE_COLS) + 2} AS BIGINT) AS columns, true AS same FROM keyed"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 from .params import DEFAULT, Params
@@ -20,6 +23,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder name below the checkpoint folder that all executors share. Only a
+    local session that names none (tests, one machine) gets a temporary one."""
+    named = checkpoint_dir(spark)
+    if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="farelens-"))
+    return f"{named.rstrip('/')}/farelens-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
     """Make sure checkpoints have a folder: the one the session names, else
     ``folder``, which the caller chooses. On a cluster it must be shared by all

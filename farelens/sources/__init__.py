@@ -2,9 +2,14 @@
 
 from .sinks import (
     EmptyInputError,
+    count_table,
     path_exists,
     persist_for_passes,
+    publish,
+    published,
+    read_counts,
     require_rows,
+    write_counted,
     write_metrics_json,
     write_parquet,
     write_report_csv,
@@ -14,9 +19,14 @@ from .trips import TRIP_COLUMNS, TRIP_SCHEMA, read_parquet, read_trips_csv, with
 
 __all__ = [
     "EmptyInputError",
+    "count_table",
     "path_exists",
     "persist_for_passes",
+    "publish",
+    "published",
+    "read_counts",
     "require_rows",
+    "write_counted",
     "write_metrics_json",
     "write_parquet",
     "write_report_csv",

@@ -2,6 +2,7 @@ import random
 from decimal import Decimal
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from farelens.operators import profile as pr
 from farelens.operators import quantiles as qn
@@ -115,3 +116,75 @@ def test_exact_quantiles_several_columns_one_all_null(spark):
             assert abs(got[("x", p)] - _np_percentile(xs, p)) < 1e-9, (blocks, p)
             assert abs(got[("y", p)] - _np_percentile(ys, p)) < 1e-9, (blocks, p)
             assert got[("z", p)] is None
+
+
+def test_narrowing_ends_in_few_values(spark, monkeypatch):
+    """Brackets and places far wider than FEW: many rounds, the same ranks."""
+    monkeypatch.setattr(qn, "FEW", 7)
+    monkeypatch.setattr(qn, "PARTS", 4)
+    rnd = random.Random(13)
+    xs = [rnd.gauss(0, 1e6) for _ in range(6000)] + [0.5] * 3000 + [float("-inf"), float("inf"), -0.0, 1e300]
+    ys = [float(i // 3) for i in range(len(xs))]
+    df = spark.createDataFrame(list(zip(xs, ys)), "x double, y double")
+    wanted = {0, 1, 2999, 4500, 7000, len(xs) - 2, len(xs) - 1}
+    probs = [r / (len(xs) - 1) for r in wanted]
+    for blocks in (4, 64):
+        found = qn.order_statistics(df, ["x", "y"], probs, lambda n: wanted, blocks)
+        for i, values in enumerate((xs, ys)):
+            n, at = found[i]
+            assert n == len(values) and at == {r: sorted(values)[r] for r in wanted}
+
+
+def test_what_comes_to_the_driver_is_bounded(spark, monkeypatch):
+    """Ten thousand blocks over a nearly unique column: no place that is read holds more than FEW values."""
+    monkeypatch.setattr(qn, "FEW", 40)
+    seen = []
+    narrowed = qn._narrowed
+
+    def watched(rows, places):
+        seen.append((rows.count(), max(p[4] for p in places)))
+        return narrowed(rows, places)
+
+    monkeypatch.setattr(qn, "_narrowed", watched)
+    df = spark.range(0, 400_000, 1, 8).selectExpr("(id * 7919 % 400009) + 0.25 AS x")
+    got = {r["prob"]: r["value"] for r in qn.exact_quantiles(df, ["x"], [0.1, 0.5, 0.9]).collect()}
+    values = sorted(i * 7919 % 400009 + 0.25 for i in range(400_000))
+    assert got == {p: _np_percentile(values, p) for p in (0.1, 0.5, 0.9)}
+    kept, widest = seen[0]
+    assert kept < 4000 and widest > qn.FEW  # of 400,000 rows; the places were narrowed further
+
+
+def test_quantile_values_are_proved(spark):
+    xs = [float(i) for i in range(2000)] + [7.0] * 1000 + [None, float("nan")]
+    df = spark.createDataFrame([(x, None) for x in xs], "x double, z double")
+    got = {(r["column"], r["prob"]): r for r in qn.proved_quantiles(df, ["x", "z"], [0.25, 0.5], 0.01).collect()}
+    for p in (0.25, 0.5):
+        r = got["x", p]
+        assert r["rows"] == 3000 and r["within"]
+        assert r["rows_below"] == sum(x < r["value"] for x in xs if x is not None and x == x)
+        assert r["rows_upto"] == sum(x <= r["value"] for x in xs if x is not None and x == x)
+        assert got["z", p]["rows"] == 0 and got["z", p]["within"] is None
+    n, below, upto = F.lit(1000), F.lit(300), F.lit(301)
+    flags = spark.range(1).select(*[qn.within(n, below, upto, p, 0.01).alias(f"p{k}") for k, p in enumerate((0.25, 0.3, 0.309, 0.35))]).first()
+    assert tuple(flags) == (False, True, True, False)
+
+
+def test_iqr_proof_counts_outliers(spark):
+    xs = [float(i) for i in range(1, 1001)] + [1e6, -1e6, float("nan"), None]
+    df = spark.createDataFrame([(x, None) for x in xs], "x double, z double")
+    got = {r["column"]: r for r in pr.iqr_proof(df, ["x", "z"]).collect()}
+    assert tuple(got["x"])[1:] == (1003, True, True, True, True)
+    assert got["z"]["rows"] == 0 and got["z"]["q1_within"] is None
+
+
+def test_pairwise_correlation_reads_once_and_matches_pairs(spark):
+    rnd = random.Random(17)
+    cols = ["a", "b", "c", "d"]
+    rows = [tuple(None if rnd.random() < 0.3 else rnd.gauss(5, 2) + k * i / 100 for k in range(4)) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    out = pr.correlation(df, cols, nulls="skip", centers={"a": 5.0})
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    for r in out.collect():
+        i, j = cols.index(r["col_a"]), cols.index(r["col_b"])
+        x, y = np.array([(t[i], t[j]) for t in rows if t[i] is not None and t[j] is not None]).T
+        assert abs(r["corr"] - np.corrcoef(x, y)[0, 1]) < 1e-9

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from farelens import session
 from farelens.operators import features as fe
 from farelens.operators import models as md
+from farelens.operators import moments as mo
 from farelens.operators import profile as pr
 from farelens.params import SMALL_MODELS
 from farelens.plans import stages
-from farelens.sources import write_report_csv
+from farelens.sources import count_table, read_counts, write_counted, write_report_csv
 from farelens.sources.sinks import path_exists
 from tests.conftest import SF_SMALL
 
@@ -102,3 +103,101 @@ def test_correlation_drops_missing_columns_and_multiplies_no_rows(spark):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert plan.index("Generate") < plan.index("Aggregate")
     assert pr.correlation(df, ["none"]).count() == 0
+
+
+def test_row_cap_is_exact_and_stays_in_place(spark):
+    rows = spark.range(0, 30_000, 1, 6).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 10).alias("v"))
+    for n in (1, 17, 12_345, 29_999, 30_000, 50_000):
+        capped = fe.row_cap(rows, n, ["key"])
+        keys = {r.key for r in capped.collect()}
+        assert len(keys) == min(n, 30_000)
+        if n < 30_000:
+            assert "SinglePartition" not in capped._jdf.queryExecution().executedPlan().toString()
+            assert {r.key for r in fe.row_cap(rows.repartition(3), n, ["key"]).collect()} == keys
+    assert fe.row_cap(rows, 0).count() == 0 and fe.row_cap(rows, 5, method="first").count() == 5
+    # equal rows at the cut: as many as are due
+    assert fe.row_cap(rows.select("v"), 12_345).count() == 12_345
+
+
+def test_counts_are_taken_while_a_table_is_written(spark, tmp_out):
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("s"), F.lit(1.5).alias("x"))
+    spark.sparkContext.setJobGroup("counted", "")
+    found = write_counted(rows, f"{tmp_out}/t")
+    spark.sparkContext.setJobGroup("other", "")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) <= 2  # the table and its counts
+    assert found["__rows"] == 5000 and read_counts(spark, f"{tmp_out}/t") == found
+    reread = spark.read.parquet(f"{tmp_out}/t")
+    assert count_table(reread) == found == count_table(rows.repartition(7))
+    assert count_table(reread.where("id <> 3")) != found
+    assert count_table(reread.withColumn("s", F.lit("other")))["s"] != found["s"]
+    empty = write_counted(rows.where("id < 0"), f"{tmp_out}/e")
+    assert set(empty.values()) == {0} and read_counts(spark, f"{tmp_out}/e") == empty
+
+
+def test_a_save_that_breaks_off_changes_nothing(spark, tmp_out):
+    _, train, _ = md.vectorize(stages.features(spark, SF_SMALL, carry=("key",)), SMALL_MODELS)
+    first, second = (md.fit_forest(train, SMALL_MODELS.with_(forest_trees=n)) for n in (2, 3))
+    md.save_model(first, f"{tmp_out}/base")
+    tuned = f"{tmp_out}/tuned"
+    first.write().save(f"{tuned}/00000000000000000001-broken")  # saved, but never published
+    assert path_exists(spark, tuned) and md.saved(tuned) is None
+    assert md.load_forest(spark, tuned, f"{tmp_out}/base").getNumTrees == 2
+    md.save_model(second, tuned)
+    assert md.load_forest(spark, tuned, f"{tmp_out}/base").getNumTrees == 3
+    first.write().save(f"{tuned}/99999999999999999999-broken")
+    assert md.load_forest(spark, tuned, f"{tmp_out}/base").getNumTrees == 3
+    with pytest.raises(FileNotFoundError):
+        md.load_linear(f"{tmp_out}/none")
+
+
+def test_linear_grid_from_moments_equals_mllib(spark):
+    from pyspark.ml.regression import LinearRegression
+
+    _, frame = md.vectors(stages.features(spark, SF_SMALL, carry=("key",)), SMALL_MODELS)
+    train = md.train_rows(frame).persist()
+    folds = mo.collect(mo.linear_moments(train, 6))
+    whole, worst = sum(folds.values()), 0.0
+    for reg in SMALL_MODELS.linear_grid["regParam"]:
+        for mix in SMALL_MODELS.linear_grid["elasticNetParam"]:
+            m = LinearRegression(regParam=reg, elasticNetParam=mix, tol=1e-12, maxIter=1000).fit(train)
+            own = mo.solve(whole, reg, mix)
+            worst = max(worst, abs(m.intercept - own[0]), *map(abs, m.coefficients.toArray() - own[1:]))
+    assert worst < 1e-6
+    m = LinearRegression(regParam=0.1, elasticNetParam=0.5, tol=1e-12, maxIter=1000).fit(train.where("fold <> 1"))
+    measured = md.regression_metrics(m.transform(train.where("fold = 1"))).first().rmse
+    assert abs(measured - mo.rmse(folds[1], mo.solve(whole - folds[1], 0.1, 0.5))) < 1e-6
+    tuned, report = md.tune_linear(train, SMALL_MODELS)
+    best = [r for r in report.collect() if r.is_best == "true"]
+    assert len(best) == 1 and tuned.bestModel.getRegParam() == best[0].regParam
+
+
+def test_moments_of_odd_columns():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = np.column_stack([np.ones(50), rng.normal(size=(50, 2)), np.full(50, 3.0)])
+    y = 2 + x[:, 1] - 4 * x[:, 2]
+    rows = np.column_stack([x, y])
+    assert np.allclose(mo.solve(rows.T @ rows), [2, 1, -4, 0], atol=1e-9)  # a constant column gets no weight
+    flat = np.column_stack([x, np.full(50, 7.0)])
+    assert np.allclose(mo.solve(flat.T @ flat, 0.1, 1.0), [7, 0, 0, 0])
+    twin = np.column_stack([x[:, :2], x[:, 1], y])
+    assert np.allclose(twin[:, :3] @ mo.solve(twin.T @ twin), np.linalg.lstsq(twin[:, :3], y, rcond=None)[0] @ twin[:, :3].T)
+
+
+def test_the_entry_does_without_the_corpus_packages(monkeypatch):
+    import importlib
+    import sys
+
+    import __spark_entry__ as entry
+
+    for name in [n for n in sys.modules if n.startswith("farelens.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    try:
+        again = importlib.reload(entry)
+        assert "hourly_fare" in again.queries() and not any(n.startswith("op1") for n in again.queries())
+        assert set(again.oracle_sql()) <= set(again.queries())
+    finally:
+        monkeypatch.undo()
+        importlib.reload(entry)
