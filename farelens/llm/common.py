@@ -45,6 +45,11 @@ def clean_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """The caller's columns as one struct ``row``, whose names so meet none of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def doc_crc(id_col: str = "doc_id") -> Column:
     """crc32 of the decimal id, the hash that the hold-out rules use."""
     return F.crc32(F.col(id_col).cast("string").cast("binary"))
@@ -53,9 +58,10 @@ def doc_crc(id_col: str = "doc_id") -> Column:
 def join_hot(rows: DataFrame, table: DataFrame, key: str, weight: str, n_rows: int) -> DataFrame:
     """Inner join of ``rows`` to ``table`` (one row per ``key``; ``weight`` = how
     many rows hold that key). Keys with more than ``n_rows / HOT_SHARE`` rows are
-    fewer than HOT_SHARE by counting, so that part is broadcast and the hot rows
-    never meet in one task; the others shuffle on the key."""
+    fewer than HOT_SHARE by counting, so that part is broadcast: their rows are joined
+    where they lie, and taken out before the others shuffle on the key."""
     least = n_rows // HOT_SHARE
     hot = F.broadcast(table.where(F.col(weight) > least))
     cold = table.where(F.col(weight) <= least)
-    return rows.join(hot, key).unionByName(rows.join(cold, key))
+    others = rows.join(F.broadcast(table.where(F.col(weight) > least).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(others.join(cold, key))
