@@ -1,21 +1,21 @@
 """Exact dedup over an extendible-hash index kept on shared files.
 
-The key of a text is the leading bits of the SHA-256 of its normalised form.
-The index has one chain entry per distinct normalised text; its buckets are key
-ranges, found by doubling the directory until no bucket holds more than
-``bucket_keys`` keys. Texts are compared byte by byte: the grouping key of a
-chain is the normalised text itself, combined on the map side, so a group of
-copies that holds a third of all rows sends one row per task. Texts that collide
-in the key form a chain of several entries, told apart by the whole digest."""
+The key of a text is the leading bits of the SHA-256 of its normalised form. A first
+pass writes every row's digest; from the keys the directory is doubled until no bucket
+holds more than ``bucket_keys`` of them. Then the texts are sent to the owner of their
+bucket, a key range: there the texts of a key are chained and compared byte by byte, and
+an entry takes the count and the best row of its copies. Copies of a hot key are combined
+on the map side before they are sent. The entries are the index, on shared files in the
+order of the buckets; documents are answered from it alone."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANK, clean_text, join_hot, stored
+from .common import BLANK, HOT_SHARE, clean_text, join_hot, stored, whole_row
 
 KEY_BITS = 60
 BUCKET_KEYS = 1024
@@ -70,27 +70,50 @@ def directory(keys: DataFrame, bits: int = KEY_BITS, bucket_keys: int = BUCKET_K
         depth += 1
 
 
+def digests(docs: DataFrame, text: str = "text", id_col: str = "doc_id", bits: int = KEY_BITS) -> DataFrame:
+    """(doc_id, sha, key) of every row, written once."""
+    sha = F.sha2(normalised(text), 256)
+    rows = stored(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), sha.alias("sha")), "rows")
+    return rows.withColumn("key", _key(F.col("sha"), bits))
+
+
+def owned_entries(docs: DataFrame, chains: DataFrame, n_rows: int, depth: int, text: str, id_col: str, bits: int) -> DataFrame:
+    """(key, chain_length, text_sha256, keep_id, group_size): one entry per distinct
+    normalised text, made by the owner task of its key range (slots of ``depth`` bits).
+
+    Rows of a hot key are combined by (key, text) before they leave their task; there
+    are fewer than HOT_SHARE such keys. The others, few rows a key, are sent as they
+    are, once."""
+    texts = docs.select(normalised(text).alias("norm"), _best(text, id_col).alias("best"))
+    texts = texts.withColumn("key", _key(F.sha2("norm", 256), bits))
+    hot = chains.where(F.col("key_rows") > n_rows // HOT_SHARE).select("key")
+    sent = texts.withColumn("n", F.lit(1).cast("bigint"))
+    if not hot.isEmpty():
+        many = texts.join(F.broadcast(hot), "key", "left_semi").groupBy("key", "norm")
+        many = many.agg(F.max("best").alias("best"), F.count(F.lit(1)).alias("n"))
+        sent = sent.join(F.broadcast(hot), "key", "left_anti").unionByName(many)
+    owned = sent.withColumn("owner", _slot("key", depth, bits)).repartition("owner")
+    # inside the owner: texts of a key are told apart by their bytes
+    chained = owned.groupBy("owner", "key", "norm").agg(F.sum("n").alias("group_size"), F.max("best").alias("best"))
+    entry = chained.select("owner", "key", F.sha2("norm", 256).alias("text_sha256"), _best_id("best").alias("keep_id"), "group_size")
+    length = F.count(F.lit(1)).over(Window.partitionBy("owner", "key"))
+    return entry.withColumn("chain_length", length).drop("owner")
+
+
 def build_index(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", bits: int = KEY_BITS, bucket_keys: int = BUCKET_KEYS
+    docs: DataFrame, rows: DataFrame, n_rows: int, text: str = "text", id_col: str = "doc_id", bits: int = KEY_BITS, bucket_keys: int = BUCKET_KEYS
 ) -> DataFrame:
-    """The index on shared files, range-ordered by key: key, bucket, local_depth,
-    chain_length (distinct texts under the key), text_sha256, keep_id, group_size.
+    """The index on shared files, range-ordered by bucket and key: key, bucket,
+    local_depth, key_rows, chain_length (distinct texts under the key), text_sha256,
+    keep_id, group_size. ``rows``: the ``digests`` of docs.
 
     An empty table gives an empty index."""
-    norm = normalised(text)
-    rows = docs.select(norm.alias("norm"), _best(text, id_col).alias("best"))
-    held = rows.groupBy("norm").agg(F.count(F.lit(1)).alias("group_size"), F.max("best").alias("best"))
-    sha = held.withColumn("text_sha256", F.sha2(F.col("norm"), 256))
-    entries = stored(
-        sha.select(
-            _key(F.col("text_sha256"), bits).alias("key"), "text_sha256", _best_id("best").alias("keep_id"), "group_size"
-        ),
-        "entries",
-    )
-    chains = stored(
-        entries.groupBy("key").agg(F.count(F.lit(1)).alias("chain_length"), F.sum("group_size").alias("key_rows")), "chains"
-    )
+    chains = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("key_rows")), "chains")
     buckets, depth = directory(chains.select("key"), bits, bucket_keys)
+    buckets = stored(buckets, "buckets")
+    # the shallowest buckets' depth: a slot of it is one bucket, or a range of split ones
+    shallow = buckets.agg(F.min("local_depth")).first()[0] or 0
+    entries = stored(owned_entries(docs, chains, n_rows, shallow, text, id_col, bits), "entries")
     # a bucket of local depth d owns 2^(depth - d) neighbouring slots of the doubled directory
     owned = buckets.select(
         F.explode(
@@ -101,6 +124,17 @@ def build_index(
     return stored(entries.join(placed, "key").repartitionByRange("bucket", "key").sortWithinPartitions("key"), "index")
 
 
+def _answers(rows: DataFrame, index: DataFrame, n_rows: int) -> DataFrame:
+    """``rows`` (sha, key) with the entry of their text."""
+    # key_rows counts every row of the key, so the hot ones are known before the join
+    found = join_hot(rows, index, "key", "key_rows", n_rows)
+    return found.where((F.col("chain_length") == 1) | (F.col("sha") == F.col("text_sha256")))
+
+
+def _kept() -> Column:
+    return F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("doc_id").isNull() & F.col("keep_id").isNull())
+
+
 def exact_groups(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", bits: int = KEY_BITS, bucket_keys: int = BUCKET_KEYS
 ) -> DataFrame:
@@ -110,26 +144,31 @@ def exact_groups(
     empty texts are one group. The longest original stays, then the smallest id
     (a null id comes last). Rows that repeat an id and a text share one decision.
     Extra columns are ignored; an empty table gives no rows."""
-    index = build_index(docs, text, id_col, bits, bucket_keys)
-    sha = F.sha2(normalised(text), 256)
-    rows = stored(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), sha.alias("sha")), "rows")
-    rows = rows.withColumn("key", _key(F.col("sha"), bits))
-    # key_rows counts every row of the key, so the hot ones are known before the join
-    found = join_hot(rows, index, "key", "key_rows", rows.count())
-    found = found.where((F.col("chain_length") == 1) | (F.col("sha") == F.col("text_sha256")))
-    kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("doc_id").isNull() & F.col("keep_id").isNull())
-    return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", "bucket")
+    rows = digests(docs, text, id_col, bits)
+    n_rows = rows.count()
+    found = _answers(rows, build_index(docs, rows, n_rows, text, id_col, bits, bucket_keys), n_rows)
+    return found.select("doc_id", "keep_id", "group_size", _kept().alias("kept"), "text_sha256", "bucket")
 
 
 def drop_exact(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` (all columns) without the rows that ``exact_groups`` drops; of
-    rows that repeat an id and a text one stays."""
-    groups = stored(exact_groups(docs, text, id_col).select("doc_id", "text_sha256", "kept"), "groups")
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_sha"))
-    twice = groups.where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    own = docs.withColumn("__sha", F.sha2(normalised(text), 256)).withColumn("__id", F.col(id_col).cast("bigint"))
-    same = F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__sha") == F.col("__gone_sha"))
-    left = own.join(gone.distinct(), same, "left_anti")
-    if not twice.isEmpty():
-        left = left.dropDuplicates(["__id", "__sha"])
-    return left.select(*docs.columns)
+    """``docs`` (all columns, whatever their names) with one row of each group of equal
+    texts: the one that ``exact_groups`` keeps. Where several rows of a group have the
+    kept id, the longest original stays, then the smallest text, then the smallest
+    row as JSON. An empty table gives no rows."""
+    rows = digests(docs, text, id_col)
+    n_rows = rows.count()
+    index = build_index(docs, rows, n_rows, text, id_col)
+    kept = _answers(rows, index, n_rows).where(_kept()).groupBy("text_sha256").agg(F.count(F.lit(1)).alias("kept_rows"))
+    index = stored(index.join(kept, "text_sha256"), "kept")
+    # the caller's columns travel in one struct, so that no name of theirs meets one of ours
+    own = docs.select(
+        whole_row(docs), F.col(id_col).cast("bigint").alias("doc_id"),
+        F.sha2(normalised(text), 256).alias("sha"),
+    )
+    left = _answers(own.withColumn("key", _key(F.col("sha"), KEY_BITS)), index, n_rows).where(_kept())
+    if index.where("kept_rows > 1").isEmpty():
+        return left.select("row.*")
+    original = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
+    order = F.struct(-F.length(original), original, F.to_json("row"))
+    one = left.where("kept_rows > 1").groupBy("sha").agg(F.min_by("row", order).alias("row"))
+    return left.where("kept_rows = 1").select("row").unionByName(one.select("row")).select("row.*")
