@@ -6,17 +6,18 @@ trie is replaced, else one character is copied; every output byte remembers the
 source byte it came from. A text in which no byte begins a key (every text, for an
 empty map) is copied at once, and its sources are running counts. Merges run on
 stretches between word boundaries that no piece spans, so a stretch is encoded once
-per task and reused; the pieces' byte ranges follow from their added lengths."""
+per worker and reused; the pieces' byte ranges follow from their added lengths."""
 
 from __future__ import annotations
 
 import heapq
 import re
 import struct
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
-from itertools import chain
+from functools import cached_property, lru_cache
+from itertools import chain, compress, groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 SPACE = "▁"
 UNKNOWN_TEXT = " ⁇ "
 REPLACEMENT = "�"
-#: Distinct stretches a task remembers; the memory starts anew when full.
-MEMORY = 400_000
+#: Distinct stretches a worker remembers (some 200 bytes each); the memory starts anew when full.
+MEMORY = 700_000
 #: Longest stretch that is merged together with others, and how many are.
 SHORT = 32
 TOGETHER = 8192
@@ -201,20 +202,29 @@ def normalise(model: Model, text: str) -> tuple[bytes, list[int]]:
     return bytes(out), [*source, last]
 
 
-def aligned(model: Model, text: str) -> tuple[str, np.ndarray]:
-    """``normalise``, at once where the map has no key for the text and blanks stay:
-    then every byte is its own source and a blank is that of a whole space symbol."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    if model.remove_extra_whitespaces or model.charmap.starts[data].any():
-        norm, source = normalise(model, text)
-        return norm.decode(), np.array(source, np.int64)
+def aligned(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """``normalise`` of each text: the normalised texts, and their source bytes one
+    text after the other. Where the map has no key for any text and blanks stay, that
+    is done at once: every byte is its own source and a blank that of a whole space
+    symbol."""
+    own = [t.encode() for t in texts]
+    # a byte after each text stands for its end
+    data = np.frombuffer(b"".join(chain.from_iterable((d, b"\0") for d in own)), np.uint8)
+    sizes = np.fromiter(map(len, own), np.int64, len(own))
+    ends = np.cumsum(sizes + 1) - 1
+    inner = np.ones(len(data), bool)
+    inner[ends] = False
+    if model.remove_extra_whitespaces or (model.charmap.starts[data] & inner).any():
+        made = [normalise(model, t) for t in texts]
+        return [n.decode() for n, _ in made], np.fromiter(chain.from_iterable(s for _, s in made), np.int64)
     space = SPACE if model.escape_whitespaces else " "
     width = len(space.encode())
-    made = np.where(data == 0x20, width, 1)
-    if len(data) and model.add_dummy_prefix:
-        made[0] += width
-        text = " " + text
-    return text.replace(" ", space), np.append(np.repeat(np.arange(len(data)), made), len(data))
+    times = np.where(data == 0x20, width, 1)
+    if model.add_dummy_prefix:
+        times[(ends - sizes)[sizes > 0]] += width
+        texts = [" " + t if t else t for t in texts]
+    local = np.arange(len(data)) - np.repeat(ends - sizes, sizes + 1)
+    return [t.replace(" ", space) for t in texts], np.repeat(local, times)
 
 
 def merge(model: Model, text: str) -> list[str]:
@@ -246,106 +256,163 @@ def merge(model: Model, text: str) -> list[str]:
 class Merger:
     """``merge`` for many short stretches at once. A row holds the symbols of one
     stretch and the ranks of its adjacent pairs; every step merges the best pair of
-    every row that has one. A symbol is a piece id, or past the vocabulary a
-    character outside it."""
+    every row that has one, so all rows lose a column. A symbol is a piece id, or past
+    the vocabulary a character outside it."""
 
     def __init__(self, model: Model):
         self.size, ids = len(model.pieces), model.ids
         # every character of a piece must be a piece for symbols to be ids
         self.usable = all(c in ids for p in ids for c in p)
-        # the merged symbol's rank; sorted, so a pair is found by bisection
-        pairs = [(ids[p[:k]] << 21 | ids[p[k:]], i) for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
+        # a rank stands for its piece: texts that hold merged pieces of one score (say, runs of spaces) are left out
+        long = [p for p in ids if len(p) > 1]
+        times = Counter(model.ranks[p] for p in long)
+        tied = [p for p in long if times[model.ranks[p]] > 1]
+        self.tied = re.compile("|".join(map(re.escape, tied)) or "(?!)")
+        long = [p for p in long if times[model.ranks[p]] == 1]
+        pairs = [(ids[p[:k]] << 21 | ids[p[k:]], model.ranks[p]) for p in long for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
         pairs.sort()
         self.none = np.int32(len(model.pieces))
         self.bits = max(16, len(pairs).bit_length() + 2)
         self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.made = np.zeros(1 << self.bits, np.int32)
+        self.ranks = np.full(1 << self.bits, self.none, np.int32)
         self.probes = 1
-        for key, i in pairs:
+        for key, rank in pairs:
             at, tries = self._place(key), 1
             while self.keys[at] >= 0:
                 at, tries = (at + 1) & ((1 << self.bits) - 1), tries + 1
-            self.keys[at], self.made[at] = key, i
+            self.keys[at], self.ranks[at] = key, rank
             self.probes = max(self.probes, tries)
-        self.rank = np.full(self.size + 1, self.none, np.int32)
-        for p, i in ids.items():
-            self.rank[i] = model.ranks[p]
+        self.piece = np.zeros(self.size + 1, np.int32)
+        for p in long:
+            self.piece[model.ranks[p]] = ids[p]
         self.symbol = np.arange(0x110000, dtype=np.int32) + self.size
         for p, i in ids.items():
             if len(p) == 1:
                 self.symbol[ord(p)] = i
 
+    def takes(self, text: str) -> bool:
+        return self.usable and len(text) <= SHORT and not self.tied.search(text)
+
     def _place(self, key):
         return (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
 
     def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The piece that a pair of symbols makes (the vocabulary's size: none)."""
+        """The rank of the piece that a pair of symbols makes (``none``: no piece)."""
         key = a.astype(np.int64) << 21 | b
         at = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-        out = np.full(len(key), self.none, np.int32)
-        for _ in range(self.probes):
-            held = self.keys[at]
-            hit = held == key
-            out[hit] = self.made[at[hit]]
-            if not (more := ~hit & (held >= 0)).any():
+        held = self.keys[at]
+        out = np.where(held == key, self.ranks[at], self.none)
+        open_ = np.flatnonzero((held != key) & (held >= 0))
+        for _ in range(self.probes - 1):
+            if not len(open_):
                 break
-            at = np.where(more, (at + 1) & ((1 << self.bits) - 1), at)
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[at[open_]]
+            hit = held == key[open_]
+            out[open_[hit]] = self.ranks[at[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
         return out
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        """Symbols of each text; all of at most SHORT characters."""
-        width = max(map(len, texts))
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        flat = self.symbol[np.frombuffer("".join(texts).encode("utf-32-le"), np.int32)]
-        symbols = np.full((len(texts), width + 1), -1, np.int32)
-        symbols[np.arange(width + 1) < lengths[:, None]] = flat
-        both = np.full((len(texts), width + 1), self.none, np.int32)
-        valid = symbols[:, 1:] >= 0
-        both[:, :-1][valid] = self.pair(symbols[:, :-1][valid], symbols[:, 1:][valid])
-        rank = self.rank[both]
-        done: list[list[int]] = [[]] * len(texts)
-        rows, columns = np.arange(len(texts)), np.arange(width + 1)
-
-        def finish(which: np.ndarray) -> None:
-            for r, s in zip(rows[which].tolist(), symbols[which].tolist()):
-                done[r] = s[: s.index(-1)]
-
+    def _same(self, texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols one row after the other, and how many, of texts of one length."""
+        symbols = self.symbol[np.frombuffer("".join(texts).encode("utf-32-le"), np.int32)].reshape(len(texts), width)
+        rank = self.pair(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()).reshape(len(texts), width - 1)
+        rows, done = np.arange(len(texts)), []
         while len(rows):
+            if not rank.shape[1]:
+                done.append((rows, symbols))
+                break
             best = rank.argmin(axis=1)
             here = np.arange(len(rows))
-            active = rank[here, best] < self.none
+            found = rank[here, best]
+            active = found < self.none
             if not active.all():
-                finish(~active)
-                rows, symbols, both, rank, best = rows[active], symbols[active], both[active], rank[active], best[active]
-                here = np.arange(len(rows))
+                done.append((rows[~active], symbols[~active]))
+                rows, symbols, rank, best, found = rows[active], symbols[active], rank[active], best[active], found[active]
+                here = here[: len(rows)]
                 if not len(rows):
                     break
-            symbols[here, best] = both[here, best]
-            # drop the column after the merged one
-            moved = np.minimum(columns + (columns > best[:, None]), width)
-            symbols = np.take_along_axis(symbols, moved, 1)
-            both, rank = np.take_along_axis(both, moved, 1), np.take_along_axis(rank, moved, 1)
-            symbols[:, -1], both[:, -1], rank[:, -1] = -1, self.none, self.none
-            for left in (best - 1, best):
-                r = here[left >= 0]
-                c = left[left >= 0]
-                after = symbols[r, c + 1]
-                new = np.full(len(r), self.none, np.int32)
-                ok = after >= 0
-                new[ok] = self.pair(symbols[r[ok], c[ok]], after[ok])
-                both[r, c], rank[r, c] = new, self.rank[new]
-        return done
+            symbols[here, best] = self.piece[found]
+            # the column after the merged one goes, and with it the pair's rank
+            n, w = symbols.shape
+            gone = np.ones((n, w), bool)
+            gone[here, best + 1] = False
+            symbols = symbols[gone].reshape(n, w - 1)
+            gone = np.ones((n, w - 1), bool)
+            gone[here, best] = False
+            rank = rank[gone].reshape(n, w - 2)
+            left, right = np.flatnonzero(best > 0), np.flatnonzero(best < w - 2)
+            r, c = np.concatenate((left, right)), np.concatenate((best[left] - 1, best[right]))
+            rank[r, c] = self.pair(symbols[r, c], symbols[r, c + 1])
+        counts = np.empty(len(texts), np.int64)
+        for which, held in done:
+            counts[which] = held.shape[1]
+        begins = np.cumsum(counts) - counts
+        flat = np.empty(counts.sum(), np.int32)
+        for which, held in done:
+            flat[begins[which][:, None] + np.arange(held.shape[1])] = held
+        return flat, counts
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols one text after the other, and how many; texts ordered by length."""
+        parts = [self._same(list(group), width) for width, group in groupby(texts, len)]
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, np.int32), np.empty(0, np.int64))
+
+
+class Decoder:
+    """The texts of ids, by one gather from the pieces' bytes."""
+
+    def __init__(self, model: Model):
+        self.model, decoded = model, []
+        for piece, kind in zip(model.pieces, model.kinds):
+            text = "" if kind == CONTROL else UNKNOWN_TEXT if kind == UNKNOWN else piece.replace(SPACE, " ")
+            decoded.append(bytes((int(piece[1:-1], 16),)) if kind == BYTE else text.encode())
+        self.blob = np.frombuffer(b"".join(decoded), np.uint8)
+        self.size_of = np.array([len(d) for d in decoded], np.int64)
+        self.start_of = np.cumsum(self.size_of) - self.size_of
+
+    def __call__(self, flat: np.ndarray, counts: list[int]) -> Iterator[str]:
+        """The texts of ids that stand one after the other, ``counts`` of each."""
+        size = self.size_of[flat]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        # byte i of a piece comes from its place in the blob
+        blob = self.blob[np.repeat(self.start_of[flat] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+        m, at = self.model, 0
+        trim = m.add_dummy_prefix or m.remove_extra_whitespaces
+        for n in counts:
+            data = blob[ends[at] : ends[at + n]]
+            first = next((i for i in flat[at : at + n] if m.kinds[i] != CONTROL), None)
+            if trim and first is not None and m.pieces[first].startswith(SPACE):
+                data = data.lstrip(b" ") if m.remove_extra_whitespaces else data[1:]
+            yield self._text(data)
+            at += n
+
+    @staticmethod
+    def _text(data: bytes) -> str:
+        kept = []
+        while True:
+            try:
+                return "".join([*kept, data.decode()])
+            except UnicodeDecodeError as broken:
+                kept.append(data[: broken.start].decode() + REPLACEMENT)
+                data = data[broken.start + 1 :]
+
+
+def _gathered(values: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """values[begin : begin + count] of every row, one after the other."""
+    ends = np.cumsum(counts)
+    return values[np.repeat(begins - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Codec:
-    """Encoder and decoder of one model with a bounded memory of stretches."""
+    """Encoder and decoder of one model with a bounded memory of stretches: a stretch
+    has a place, and there its ids and their normalised bytes."""
 
     def __init__(self, model: Model):
         if {USER_DEFINED, UNUSED} & set(model.kinds):
             raise ValueError("models with user-defined or unused pieces are not supported")
         self.model = model
-        self.merger = Merger(model)
-        self.known: dict[str, list[int]] = {}
+        self.merger, self.decode_all = Merger(model), Decoder(model)
         self.whole = not (model.splits and model.escape_whitespaces)
         self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         # normalised bytes of a piece; a byte piece's byte, -1 for others; bytes of the character a byte leads
@@ -353,13 +420,12 @@ class Codec:
         self.byte_of = np.full(len(model.pieces), -1, np.int64)
         self.byte_of[list(model.byte_ids.values())] = list(model.byte_ids)
         self.lead = np.repeat([1, 2, 3, 4], [0x80, 0x60, 0x10, 0x10])
-        decoded = []
-        for piece, kind in zip(model.pieces, model.kinds):
-            text = "" if kind == CONTROL else UNKNOWN_TEXT if kind == UNKNOWN else piece.replace(SPACE, " ")
-            decoded.append(bytes((int(piece[1:-1], 16),)) if kind == BYTE else text.encode())
-        self.blob = np.frombuffer(b"".join(decoded), np.uint8)
-        self.size_of = np.array([len(d) for d in decoded], np.int64)
-        self.start_of = np.cumsum(self.size_of) - self.size_of
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.begins = self.counts = np.empty(0, np.int64)
+        self.ids = self.widths = np.empty(0, np.int32)
 
     def piece_ids(self, piece: str) -> list[int]:
         m = self.model
@@ -367,51 +433,77 @@ class Codec:
             return [i]
         return [m.byte_ids[b] for b in piece.encode()] if m.byte_ids else [m.unknown]
 
-    def _ids(self, symbols: list[int]) -> list[int]:
-        if max(symbols) < self.merger.size:
-            return symbols
-        out: list[int] = []
-        for s in symbols:
-            out += [s] if s < self.merger.size else self.piece_ids(chr(s - self.merger.size))
-        return out
-
-    def learn(self, stretches: set[str]) -> None:
+    def _spelt(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, their normalised bytes, ids of each text) of a merger's symbols."""
+        outside = np.flatnonzero(symbols >= self.merger.size)
+        if not len(outside):
+            return symbols, self.wide[symbols], counts
+        spelt = [self.piece_ids(chr(c)) for c in (symbols[outside] - self.merger.size).tolist()]
+        times = np.ones(len(symbols), np.int64)
+        times[outside] = list(map(len, spelt))
+        ids = np.repeat(symbols, times)
+        at = np.repeat(symbols >= self.merger.size, times)
+        ids[at] = list(chain.from_iterable(spelt))
+        wide = self.wide[ids]
+        if not self.model.byte_ids:  # an unknown piece is as long as its character
+            wide[at] = [len(chr(c).encode()) for c in (symbols[outside] - self.merger.size).tolist()]
+        ends = np.cumsum(counts)
+        upto = np.concatenate(([0], np.cumsum(times)))
+        return ids, wide, upto[ends] - upto[ends - counts]
+
+    def learn(self, stretches: list[str]) -> None:
         """Encode stretches that the memory lacks, short ones together."""
-        if len(self.known) + len(stretches) > MEMORY:
-            self.known = {}
-        short = sorted((s for s in stretches if self.merger.usable and len(s) <= SHORT), key=len)
+        parts, names = [], []
+        takes = list(map(self.merger.takes, stretches))
+        short = sorted(compress(stretches, takes), key=len)
         for i in range(0, len(short), TOGETHER):
-            part = short[i : i + TOGETHER]
-            self.known.update(zip(part, map(self._ids, self.merger(part))))
-        for s in stretches.difference(short):
-            self.known[s] = [i for p in merge(self.model, s) for i in self.piece_ids(p)]
+            names += short[i : i + TOGETHER]
+            parts.append(self._spelt(*self.merger(short[i : i + TOGETHER])))
+        for s, taken in zip(stretches, takes):
+            if not taken:
+                cut = merge(self.model, s)
+                ids = [self.piece_ids(p) for p in cut]
+                wide = [self.wide[i] if self.model.byte_ids or p in self.model.ids else len(p.encode()) for p, own in zip(cut, ids) for i in own]
+                flat = np.fromiter(chain.from_iterable(ids), np.int32)
+                parts.append((flat, np.array(wide, np.int64), np.array([len(flat)])))
+                names.append(s)
+        ids, widths, counts = (np.concatenate(x) for x in zip(*parts))
+        self.begins = np.concatenate((self.begins, len(self.ids) + np.cumsum(counts) - counts))
+        self.counts = np.concatenate((self.counts, counts))
+        self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
+        self.widths = np.concatenate((self.widths, widths.astype(np.int32)))
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
 
     def stretches(self, norm: str) -> list[str]:
         return [norm] if self.whole else self.cut.findall(norm)
 
-    def code_all(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-        """(ids, begins, ends) of each text, without an end id: every piece's byte range
-        in the original text. The byte pieces of one character share its range."""
-        norms, sources = zip(*(aligned(self.model, t) for t in texts)) if texts else ((), ())
+    def _places(self, every: list[str]) -> np.ndarray:
+        places = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
+        lacking = np.flatnonzero(places < 0)
+        if not len(lacking):
+            return places
+        new = list(dict.fromkeys(every[i] for i in lacking.tolist()))
+        if len(self.known) + len(new) > MEMORY and self.known:
+            # the memory starts anew, so all of the batch are asked for
+            self._forget()
+            return self._places(every)
+        self.learn(new)
+        places[lacking] = np.fromiter((self.known[every[i]] for i in lacking.tolist()), np.int64, len(lacking))
+        return places
+
+    def code_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(pieces of each text, ids, begins, ends), one text after the other, without an
+        end id: every piece's byte range in its original text. The byte pieces of one
+        character share its range."""
+        norms, source = aligned(self.model, texts)
         cut = [self.stretches(n) for n in norms]
-        # a lacking stretch may push out the memory, so all of a batch are asked for
-        needed = set(chain.from_iterable(cut))
-        lacking = needed.difference(self.known)
-        self.learn(needed if len(self.known) + len(lacking) > MEMORY else lacking)
-        for stretches, source in zip(cut, sources):
-            ids = list(chain.from_iterable(map(self.known.__getitem__, stretches)))
-            begins, ends = self._ranges(np.array(ids, np.int64), stretches)
-            yield ids, source[begins], source[ends]
-
-    def _ranges(self, ids: np.ndarray, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and end of each piece in the normalised bytes."""
-        m = self.model
-        if not m.byte_ids and (ids == m.unknown).any():
-            # an unknown piece is as long as its character
-            wide = np.array([len(p.encode()) for s in stretches for p in merge(m, s)], np.int64)
-        else:
-            wide = self.wide[ids]
-        ends = np.cumsum(wide)
+        places = self._places(list(chain.from_iterable(cut)))
+        counts, begins = self.counts[places], self.begins[places]
+        ids, wide = _gathered(self.ids, begins, counts).astype(np.int64), _gathered(self.widths, begins, counts)
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        stops = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
+        per_text = np.diff(upto[np.concatenate(([0], stops))])
+        ends = np.cumsum(wide, dtype=np.int64)
         begins = ends - wide
         byte = self.byte_of[ids]
         at = np.flatnonzero(byte >= 0)
@@ -420,7 +512,16 @@ class Codec:
             first = np.maximum.accumulate(np.where(byte & 0xC0 != 0x80, np.arange(len(at)), 0))
             begins[at] = begins[at[first]]
             ends[at] = begins[at] + self.lead[byte[first]]
-        return begins, ends
+        # each text has one source more than it has bytes, its end
+        before = np.repeat(np.arange(len(texts)), per_text)
+        return per_text, ids, source[begins + before], source[ends + before]
+
+    def code_all(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """(ids, begins, ends) of each text."""
+        counts, *flat = self.code_batch(texts)
+        for stop, n in zip(np.cumsum(counts).tolist(), counts.tolist()):
+            ids, begins, ends = (x[stop - n : stop] for x in flat)
+            yield ids.tolist(), begins, ends
 
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
         """Piece ids of each text, without an end id."""
@@ -440,31 +541,17 @@ class Codec:
         put in front is dropped."""
         return next(self.decode_all(np.array(ids, np.int64), [len(ids)]))
 
-    def decode_all(self, flat: np.ndarray, counts: list[int]) -> Iterator[str]:
-        """The texts of ids that stand one after the other, ``counts`` of each."""
-        size = self.size_of[flat]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        # byte i of a piece comes from its place in the blob
-        blob = self.blob[np.repeat(self.start_of[flat] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
-        m, at = self.model, 0
-        trim = m.add_dummy_prefix or m.remove_extra_whitespaces
-        for n in counts:
-            data = blob[ends[at] : ends[at + n]]
-            first = next((i for i in flat[at : at + n] if m.kinds[i] != CONTROL), None)
-            if trim and first is not None and m.pieces[first].startswith(SPACE):
-                data = data.lstrip(b" ") if m.remove_extra_whitespaces else data[1:]
-            yield self._text(data)
-            at += n
 
-    @staticmethod
-    def _text(data: bytes) -> str:
-        kept = []
-        while True:
-            try:
-                return "".join([*kept, data.decode()])
-            except UnicodeDecodeError as broken:
-                kept.append(data[: broken.start].decode() + REPLACEMENT)
-                data = data[broken.start + 1 :]
+@lru_cache(maxsize=1)
+def codec_of(model: bytes) -> Codec:
+    """The codec of a model file. A worker process keeps it, with the stretches it has
+    met, for its next tasks."""
+    return Codec(Model.parse(model))
+
+
+@lru_cache(maxsize=1)
+def decoder_of(model: bytes) -> Decoder:
+    return Decoder(Model.parse(model))
 
 
 def read_model(path: str) -> bytes:
@@ -475,60 +562,53 @@ def read_model(path: str) -> bytes:
 
 
 #: Documents handed back together; bounds what a batch of long texts makes.
-ROWS = 128
+ROWS = 256
 
 
-def _mapped(docs: DataFrame, columns: list, fn, schema: pa.Schema, spark_schema: str) -> DataFrame:
-    """One output row per input row: ``fn()`` makes a task's worker, which turns the
-    array of the second column into the arrays of the columns after the id."""
+def encode_spans(
+    docs: DataFrame, model: bytes, text: str = "text", id_col: str = "doc_id", end: bool = False, names: bool = True, back: bool = False
+) -> DataFrame:
+    """(doc_id, ids, pieces, begins, ends): the whole text of every row, null as empty,
+    each piece with the byte range of the original text that it stands for. With
+    ``end`` the end id follows, an empty range after the text; empty text: the end id
+    alone, or nothing. Without ``names`` the pieces' texts, which the ids give, are left
+    out; with ``back`` the text that the ids decode to follows as ``decoded``. Repeated
+    rows and null ids are encoded like any other, extra columns are ignored, an empty
+    table gives no rows."""
+    ints = pa.list_(pa.int32())
+    fields = [("doc_id", pa.int64()), ("ids", ints)] + [("pieces", pa.list_(pa.string()))] * names
+    schema = pa.schema([*fields, ("begins", ints), ("ends", ints), *[("decoded", pa.string())] * back])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = fn()
+        codec = codec_of(model)
+        words = pa.array(codec.model.pieces, pa.string())
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
-                cols = [c if isinstance(c, pa.Array) else pa.array(c, schema.field(k + 1).type) for k, c in enumerate(work(part.column(1)))]
-                yield pa.RecordBatch.from_arrays([part.column(0), *cols], schema=schema)
-
-    return docs.select(*columns).mapInArrow(run, spark_schema)
-
-
-def encode_spans(docs: DataFrame, model: bytes, text: str = "text", id_col: str = "doc_id", end: bool = False) -> DataFrame:
-    """(doc_id, ids, pieces, begins, ends): the whole text of every row, null as empty,
-    each piece with the byte range of the original text that it stands for. With
-    ``end`` the end id follows, an empty range after the text; empty text: the end id
-    alone, or nothing. Repeated rows and null ids are encoded like any other, extra
-    columns are ignored, an empty table gives no rows."""
-
-    def worker():
-        codec = Codec(Model.parse(model))
-        names = pa.array(codec.model.pieces, pa.string())
-
-        def coded(texts: pa.Array) -> list[pa.Array]:
-            own = [t or "" for t in texts.to_pylist()]
-            ids, begins, ends, counts = [], [], [], [0]
-            for t, (i, b, e) in zip(own, codec.code_all(own)):
-                last = [len(t.encode())] * end
-                ids += [np.array(i + [codec.model.end] * end, np.int32)]
-                begins += [b, last]
-                ends += [e, last]
-                counts.append(len(ids[-1]))
-            places = pa.array(np.cumsum(counts), pa.int32())
-            flat = [pa.array(np.concatenate(x).astype(np.int32)) for x in (ids, begins, ends)]
-            flat.insert(1, names.take(flat[0]))
-            return [pa.ListArray.from_arrays(places, values) for values in flat]
-
-        return coded
-
-    own = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")]
-    ints = pa.list_(pa.int32())
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", ints), ("pieces", pa.list_(pa.string())), ("begins", ints), ("ends", ints)])
-    return _mapped(docs, own, worker, schema, "doc_id bigint, ids array<int>, pieces array<string>, begins array<int>, ends array<int>")
+                own = [t or "" for t in part.column(1).to_pylist()]
+                counts, ids, begins, ends = codec.code_batch(own)
+                if end:
+                    stops = np.cumsum(counts)
+                    last = np.fromiter((len(t.encode()) for t in own), np.int64, len(own))
+                    ids, begins, ends = np.insert(ids, stops, codec.model.end), np.insert(begins, stops, last), np.insert(ends, stops, last)
+                    counts = counts + 1
+                places = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+                flat = [pa.array(x.astype(np.int32)) for x in (ids, begins, ends)]
+                if names:
+                    flat.insert(1, words.take(flat[0]))
+                cols = [part.column(0), *[pa.ListArray.from_arrays(places, x) for x in flat]]
+                if back:
+                    cols.append(pa.array(codec.decode_all(ids, counts.tolist()), pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, schema=schema)
+
+    own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    listed = {"ids": "array<int>", "pieces": "array<string>", "begins": "array<int>", "ends": "array<int>", "decoded": "string"}
+    return own.mapInArrow(run, "doc_id bigint, " + ", ".join(f"{n} {listed[n]}" for n in schema.names[1:]))
 
 
 def encode(docs: DataFrame, model: bytes, text: str = "text", id_col: str = "doc_id", end: bool = True) -> DataFrame:
     """(doc_id, ids) of ``encode_spans``, with the end id unless ``end`` is false."""
-    return encode_spans(docs, model, text, id_col, end).select("doc_id", "ids")
+    return encode_spans(docs, model, text, id_col, end, names=False).select("doc_id", "ids")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -537,12 +617,12 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     at = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(Model.parse(model))
+        decoder = decoder_of(model)
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
                 ids = part.column(at)
-                texts = codec.decode_all(ids.flatten().to_numpy(), ids.value_lengths().fill_null(0).to_pylist())
+                texts = decoder(ids.flatten().to_numpy(), ids.value_lengths().fill_null(0).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))

@@ -45,19 +45,13 @@ def piece_model(path: str | None = None) -> bytes:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = piece_model()
-    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
-    # digests first, so that only the ids go to the decoder
-    coded = pieces.encode_spans(documents(spark, sf_dir), model, end=True).select(
+    coded = pieces.encode_spans(documents(spark, sf_dir), piece_model(), end=True, names=False, back=True)
+    return coded.select(
         "doc_id",
-        "ids",
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(joined("ids"), 256).alias("ids_sha256"),
-        F.sha2(joined("pieces"), 256).alias("pieces_sha256"),
-        F.sha2(F.concat_ws("|", joined("begins"), joined("ends")), 256).alias("spans_sha256"),
-    )
-    return pieces.decode(coded, model).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "pieces_sha256", "spans_sha256"
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.xxhash64("begins", "ends").alias("spans_hash"),
     )
 
 
@@ -207,7 +201,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """,
     "op10_source_mixing": r"""
 WITH d AS (
-  SELECT doc_id, coalesce('s' || source, 't') AS src, md5(CAST(doc_id AS VARCHAR)) AS ord,
+  SELECT doc_id, coalesce('s' || source, 't') AS src, md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')) AS ord,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT src, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY src),
 r AS (SELECT *, (row_number() OVER (ORDER BY src) - 1) % 3 AS weight_no FROM s),

@@ -8,6 +8,7 @@ import struct
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from farelens.llm import pieces, queries
@@ -147,8 +148,9 @@ def test_registered_query_and_stage_give_pieces_and_byte_ranges(spark, both):
         assert (r.begins[-1], r.ends[-1]) == (size, size)
         # nothing of the text is without a piece
         assert [0, *r.ends][: len(r.begins)] == r.begins or any(p.piece.startswith("<0x") for p in proto)
-        assert digests[i].pieces_sha256 == sha(" ".join(r.pieces))
-        assert digests[i].spans_sha256 == sha(" ".join(map(str, r.begins)) + "|" + " ".join(map(str, r.ends)))
+        assert digests[i].ids_sha256 == sha(" ".join(map(str, r.ids))) and digests[i].decoded_sha256 == sha(library.decode(r.ids))
+    spans = {r.doc_id: r.h for r in stage.select("doc_id", F.xxhash64("begins", "ends").alias("h")).collect()}
+    assert spans == {i: r.spans_hash for i, r in digests.items()}
 
 
 def test_end_id_is_an_empty_range_after_the_text(spark, both):
