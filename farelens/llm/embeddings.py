@@ -8,11 +8,11 @@ cosine is then computed in double precision."""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations, product
+from itertools import combinations, count, product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import join_hot, stored
@@ -24,6 +24,8 @@ PROBES = 16
 #: Lattice unit in the projected space, where a pair at the threshold is about 0.57 apart.
 WIDTH = 0.44
 SEED = 17
+#: A cell of more than one in CELL_SHARE home vectors is split into CELL_BLOCKS, each of which every asker visits.
+CELL_SHARE, CELL_BLOCKS = 1024, 64
 
 
 def roots() -> np.ndarray:
@@ -77,6 +79,37 @@ def cells(unit: np.ndarray, tables: int = TABLES, probes: int = PROBES, width: f
     return home, asked
 
 
+def _numbered(own: DataFrame) -> tuple[DataFrame, Column]:
+    """The classes (class, label, v, least, n) of equal vectors of a label, which combine
+    on the map side, and the hash that is their number. A seed under which two classes
+    share a number is given up for the next one, so a number stands for its vector."""
+    held = own.groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    for seed in count():
+        number = F.xxhash64(F.lit(seed), "label", "v")
+        classes = stored(held.select(number.alias("class"), "label", "v", "least", "n"), "classes")
+        if classes.groupBy("class").agg(F.count(F.lit(1)).alias("k")).where("k > 1").isEmpty():
+            return classes, number
+
+
+def _meetings(entries: DataFrame) -> DataFrame:
+    """(a, b): a lies in a cell that b asks. Home vectors of a crowded cell, of which
+    there are fewer than CELL_SHARE, are dealt to CELL_BLOCKS blocks and each asker
+    goes to all of them, so no task holds the cell."""
+    lies = entries.where("home").select("cell", F.col("class").alias("a"))
+    asks = entries.where(~F.col("home")).select("cell", F.col("class").alias("b"))
+    sizes = stored(lies.groupBy("cell").agg(F.count(F.lit(1)).alias("held")), "sizes")
+    most = max(CELL_BLOCKS, (sizes.agg(F.sum("held")).first()[0] or 0) // CELL_SHARE)
+    crowded = sizes.where(F.col("held") > most).select("cell")
+    if crowded.isEmpty():
+        return lies.join(asks, "cell").select("a", "b")
+    crowded = F.broadcast(crowded)
+    even = lies.join(crowded, "cell", "left_anti").join(asks.join(crowded, "cell", "left_anti"), "cell")
+    block = F.pmod(F.xxhash64("a"), F.lit(CELL_BLOCKS)).cast("int").alias("block")
+    some = lies.join(crowded, "cell").select("cell", "a", block)
+    every = asks.join(crowded, "cell").select("cell", "b", F.explode(F.sequence(F.lit(0), F.lit(CELL_BLOCKS - 1))).alias("block"))
+    return even.select("a", "b").unionByName(some.join(every, ["cell", "block"]).select("a", "b"))
+
+
 def near_vectors(
     rows: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label",
     min_cosine: float = MIN_COSINE, tables: int = TABLES, probes: int = PROBES,
@@ -96,13 +129,9 @@ def near_vectors(
     )
     good = F.col("label").isNotNull() & (F.size("v") > 0) & F.exists("v", lambda x: x != 0)
     good = good & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    own = own.withColumn("class", F.when(F.coalesce(good, F.lit(False)), F.xxhash64("label", "v")))
-    ids = stored(own.select("vec_id", "class"), "ids")
-    # of a class the smallest id and one vector; equal vectors combine on the map side
-    classes = own.where(F.col("class").isNotNull()).groupBy("class").agg(
-        F.first("v").alias("v"), F.first("label").alias("label"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n")
-    )
-    classes = stored(classes, "classes")
+    good = F.coalesce(good, F.lit(False))
+    classes, number = _numbered(own.where(good))
+    ids = stored(own.select("vec_id", F.when(good, number).alias("class")), "ids")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -117,14 +146,12 @@ def near_vectors(
                 who, lab = b.column(0).to_numpy()[at], b.column(1).to_numpy()[at]
                 salt = np.arange(tables) * 1_000_003 + d
                 keys = np.concatenate((home[:, :, None], asked), axis=2) * 31 + salt[None, :, None] + (lab * 0x2545F4914F6CDD1D)[:, None, None]
-                count = tables * (2 + probes)
+                times = tables * (2 + probes)
                 first = np.tile(np.arange(2 + probes) == 0, len(at) * tables)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(who, count)), pa.array(keys.ravel()), pa.array(first)], names=["class", "cell", "home"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(who, times)), pa.array(keys.ravel()), pa.array(first)], names=["class", "cell", "home"])
 
     entries = stored(classes.select("class", "label", "v").mapInArrow(hashed, "class bigint, cell bigint, home boolean"), "cells")
-    lies = entries.where("home").select("cell", F.col("class").alias("a"))
-    asks = entries.where(~F.col("home")).select("cell", F.col("class").alias("b"))
-    pairs = lies.join(asks, "cell").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = _meetings(entries).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     one = classes.select(F.col("class").alias("a"), F.col("v").alias("va"), F.col("label").alias("la"))
     two = classes.select(F.col("class").alias("b"), F.col("v").alias("vb"), F.col("label").alias("lb"))
     both = pairs.join(one, "a").join(two, "b").where("la = lb AND size(va) = size(vb)").select("a", "b", "va", "vb")

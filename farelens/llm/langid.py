@@ -12,14 +12,15 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import doc_crc, stored
+from .common import doc_crc, stored, whole_row
 
 PROFILE = 300
 UNDETERMINED = "und"
-#: Training documents a language at most, the ones with the smallest hash of the id: a bound on the fit.
+#: Training documents a language at most, the ones with the smallest hash of id and text: a bound on the fit.
 TRAIN_DOCS = 2000
 #: Labels at most; their counts are broadcast.
 MAX_LANGUAGES = 10_000
@@ -81,14 +82,14 @@ def most_frequent(text: str, size: int = PROFILE) -> np.ndarray:
 
 
 def _training_rows(docs: DataFrame, text: str, lang: str, id_col: str, usable: Column, most: int) -> DataFrame:
-    """(lang, text) of about ``most`` documents a language: those whose id hash is
-    below the share that ``most`` is of the language's documents."""
+    """(lang, text) of about ``most`` documents a language: those whose hash of id and
+    text is below the share that ``most`` is of the language's documents."""
     own = docs.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull())
     have = own.groupBy(F.col(lang).cast("string").alias("__lang")).agg(F.count(F.lit(1)).alias("__n")).limit(MAX_LANGUAGES + 1).collect()
     if len(have) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     have = docs.sparkSession.createDataFrame(have, "__lang string, __n bigint")
-    place = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.lit("profile")), 1).cast("double") / F.lit(float(1 << 63))
+    place = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.col(text).cast("string"), F.lit("profile")), 1).cast("double") / F.lit(float(1 << 63))
     rows = own.select(F.col(lang).cast("string").alias("__lang"), F.col(text).cast("string").alias("__text"), place.alias("__place"))
     return rows.join(F.broadcast(have), "__lang").where(F.col("__place") * F.col("__n") < most).select("__lang", "__text")
 
@@ -113,11 +114,12 @@ def fit(
 
     rows = _training_rows(docs, text, lang, id_col, F.lit(True) if usable is None else usable, most)
     sums = rows.mapInArrow(counted, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    sums = stored(sums, "grams")
+    # the top of each language is cut in every task before it moves
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    best = sums.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size).select("lang", "place", "gram")
     out: dict[str, list[int]] = {}
-    for name in sorted(r.lang for r in sums.select("lang").distinct().collect()):
-        best = sums.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(size)
-        out[name] = [r.gram for r in best.select("gram").collect()]
+    for r in sorted(best.collect()):
+        out.setdefault(r.lang, []).append(r.gram)
     return out
 
 
@@ -171,16 +173,16 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def drop_undetermined(docs: DataFrame, profiles: dict[str, list[int]], min_score: float, text: str = "text") -> DataFrame:
-    """``docs`` (all columns) without the documents whose language is undetermined or
+    """``docs`` (all columns, whatever their names) without the documents whose language is undetermined or
     whose score is below ``min_score``. Each row is judged by its own text, in the pass
-    that hands it on, so null and repeated ids have no part in it."""
-    read = docs.select(F.col(text).cast("string").alias("__text"), "*")
+    that hands it on, so null and repeated ids have no part in it. An empty table gives no rows."""
+    read = docs.select(whole_row(docs), F.col(text).cast("string").alias("text"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = _judge(profiles)
         for b in batches:
-            found = map(one, b.column(0).to_pylist())
+            found = map(one, b.column(1).to_pylist())
             stays = [name != UNDETERMINED and score >= min_score for name, score, _ in found]
-            yield b.select(list(range(1, b.num_columns))).filter(pa.array(stays, pa.bool_()))
+            yield b.select([0]).filter(pa.array(stays, pa.bool_()))
 
-    return read.mapInArrow(kept, docs.schema)
+    return read.mapInArrow(kept, StructType([StructField("row", docs.schema)])).select("row.*")

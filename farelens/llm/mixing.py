@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, clean_text, stored
+from .common import WORD, clean_text, stored, whole_row
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
@@ -71,6 +71,12 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, budget: float = BUDGET,
     return ranked.select("src", "source_size", "weight_no", target.alias("target"))
 
 
+def queue_key(text: str = "text", id_col: str = "doc_id") -> Column:
+    """The MD5 of id and text, by which documents queue: rows of one id, or of none, part."""
+    own_id = F.coalesce(F.col(id_col).cast("bigint").cast("string"), F.lit(""))
+    return F.md5(F.concat(own_id, F.lit("\n"), clean_text(text)).cast("binary"))
+
+
 def placements(
     docs: DataFrame,
     text: str = "text",
@@ -85,7 +91,7 @@ def placements(
     taken (words, repeats counted), positions (0 to 1, one per pass; null beyond
     the target).
 
-    A source's documents are queued in the order of a hash of their id, pass after
+    A source's documents are queued in the order of a hash of id and text, pass after
     pass, until its target is met: every document is taken whole in each pass but
     for the one where the target falls. Null or blank texts have size 0 and are
     never taken; a null source is a source of its own, last; ties and repeated
@@ -95,7 +101,7 @@ def placements(
     then documents in a block), so no window holds a whole source."""
     src = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("t"))
     own_id = F.col(id_col).cast("bigint")
-    order = F.md5(F.coalesce(own_id.cast("string"), F.lit("")).cast("binary"))
+    order = queue_key(text, id_col)
     sized = stored(docs.select(own_id.alias("doc_id"), src.alias("src"), order.alias("ord"), word_count(text).alias("size")), "sizes")
     n = sized.count()
     blocks = 1 << max(0, (max(1, n).bit_length() - 1) // 2)
@@ -121,24 +127,26 @@ def placements(
         for i, knots in enumerate(schedules):
             at = F.when(F.col("weight_no") == i, inverse_demand(F.least(middle, F.lit(1.0)), knots)).otherwise(at)
         positions.append(F.round(F.when((words < goal) & (F.col("size") > 0), at), 9))
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.array(*positions).alias("positions"))
+    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.array(*positions).alias("positions"), "ord")
 
 
 def curriculum(docs: DataFrame, **params) -> DataFrame:
     """``placements`` range-sorted by ``position``, that of the first copy (null:
     not taken, last)."""
-    first = placements(docs, **params).withColumn("position", F.element_at("positions", 1)).drop("positions")
+    first = placements(docs, **params).withColumn("position", F.element_at("positions", 1)).drop("positions", "ord")
     return first.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", **params) -> DataFrame:
-    """``docs`` (all columns) as the mix takes them, in training order: a document
-    comes once for every whole size taken, and the one where a source's target
-    falls comes whole if at least half of it was due. Texts are never cut. Rows
-    that share an id share the largest number of copies among them."""
+    """``docs`` (all columns, whatever their names) as the mix takes them, in training
+    order: a document comes once for every whole size taken, and the one where a
+    source's target falls comes whole if at least half of it was due. Texts are never
+    cut. Rows that share id and text share the largest number of copies among them.
+    An empty table gives no rows."""
     plan = placements(docs, text, source, id_col, **params).where("taken > 0")
     copies = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
-    plan = plan.groupBy(F.col("doc_id").alias("__id")).agg(F.max(F.struct(copies.alias("n"), "positions")).alias("__due"))
-    due = docs.join(plan.where("__due.n > 0"), F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")))
-    placed = due.withColumn("__at", F.explode(F.slice("__due.positions", F.lit(1), F.col("__due.n"))))
-    return placed.orderBy("__at", id_col).select(*docs.columns)
+    plan = plan.groupBy("ord").agg(F.max(F.struct(copies.alias("n"), "positions")).alias("due"))
+    own = docs.select(whole_row(docs), F.col(id_col).cast("bigint").alias("doc_id"), queue_key(text, id_col).alias("ord"))
+    due = own.join(plan.where("due.n > 0"), "ord")
+    placed = due.withColumn("at", F.explode(F.slice("due.positions", F.lit(1), F.col("due.n"))))
+    return placed.orderBy("at", "doc_id", "ord").select("row.*")

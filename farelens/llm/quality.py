@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 from operator import eq
@@ -15,8 +16,9 @@ from .common import doc_crc, stored
 
 #: Share of the pooled covariance in a class covariance, and of its mean variance in each.
 POOLED, SPHERE = 0.05, 0.01
-#: Characters read at a time; a word at a border counts as two.
+#: Characters read at a time, and on to the end of the word.
 BLOCK = 1 << 20
+_BLANK = re.compile(r"\s")
 FEATURES = (
     "words", "word_length", "upper", "digits", "stops", "symbols", "same_next", "distinct", "commonest", "line_length", "same_lines", "letters",
 )
@@ -49,12 +51,16 @@ def features(text: str | None) -> list[float]:
     kinds = np.zeros(7, np.int64)
     words = same_next = 0
     seen: dict[str, int] = {}
-    for i in range(0, len(text), BLOCK):
-        part = text[i : i + BLOCK]
+    i, last = 0, None
+    while i < len(text):
+        blank = _BLANK.search(text, i + BLOCK)
+        part = text[i : blank.start()] if blank else text[i:]
+        i += len(part)
         kinds += np.bincount(_kinds()[np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)], minlength=7)
         own = part.split()
         words += len(own)
-        same_next += sum(map(eq, own, own[1:]))
+        same_next += sum(map(eq, own, own[1:])) + (own[:1] == [last])
+        last = own[-1] if own else last
         for w in own:
             seen[w] = seen.get(w, 0) + 1
     lines = [line for r in text.split("\n") if (line := r.strip())]

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import clean_text, join_hot, stored
+from .common import clean_text, join_hot, stored, whole_row
 from .graph import components
 
 SHINGLE_WORDS = 3
@@ -142,14 +142,14 @@ def near_groups(
 
 
 def drop_near(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` (all columns) with one document of each near-duplicate group, the
-    smallest id; rows with a null id stay.
+    """``docs`` (all columns, whatever their names) with one document of each
+    near-duplicate group, the smallest id; rows with a null id stay. An empty table
+    gives no rows.
 
     Rows that repeat an id are each decided by the group of their own text: one goes
     if its group holds a smaller id, whatever becomes of the others. All rows of a
     group that have its smallest id stay."""
-    gone = near_groups(docs, text, id_col, digest=True).where("doc_id <> component_id")
-    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("sha").alias("__gone_sha")).distinct()
+    gone = near_groups(docs, text, id_col, digest=True).where("doc_id <> component_id").select("doc_id", "sha").distinct()
     # the fingerprint is a function of the text, so the text's digest stands for it
-    same = (F.col(id_col).cast("bigint") == F.col("__gone_id")) & (_digest(text) == F.col("__gone_sha"))
-    return docs.join(gone, same, "left_anti")
+    own = docs.select(whole_row(docs), F.col(id_col).cast("bigint").alias("doc_id"), _digest(text).alias("sha"))
+    return own.join(gone, ["doc_id", "sha"], "left_anti").select("row.*")

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that operators use for their own columns.
-CLASHES = ("kept", "score", "size", "key", "sha", "fp", "class", "label", "row", "at", "h", "bad", "lines", "position", "taken", "norm", "n")
+CLASHES = ("kept", "score", "size", "key", "sha", "fp", "class", "label", "row", "at", "h", "bad", "lines", "position", "taken", "norm", "n",
+           "__id", "__sha", "__gone_id", "__gone_sha", "__at", "__due", "__text", "__lang", "__place", "ord", "due", "keep_id", "text_sha256", "key_rows",
+           "chain_length", "bucket", "owner", "kept_rows", "group_size", "fingerprint", "component_id")
 
 ROWS = [
     (1, "The quick brown fox jumps over the lazy dog near the river bank", "en", "a", 1),

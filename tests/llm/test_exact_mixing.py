@@ -63,6 +63,32 @@ def test_drop_exact_keeps_columns_and_one_row_of_each_text(spark):
     assert {r.doc_id for r in rows} >= {2, 5, 9} and all(r.kept == "own kept" for r in rows)
 
 
+def test_drop_exact_keeps_the_longest_of_a_repeated_id(spark):
+    rows = [(1, "a b", "z"), (1, "ab", "y"), (1, "a  b", "x"), (1, "a  b", "w"), (2, "a b c d", "v"), (None, "n n", "u"), (None, "n  n", "t"), (None, "nn", "s")]
+    for parts in (1, 3, 8):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, note string").repartition(parts, "note")
+        assert sorted(map(tuple, exact.drop_exact(docs).collect()), key=str) == [(1, "a  b", "w"), (2, "a b c d", "v"), (None, "n  n", "t")]
+
+
+def test_hot_texts_are_combined_before_they_are_sent(spark):
+    """Hot and other keys meet in one index, with chains of colliding texts."""
+    rows = [(i, "the very common text" if i % 3 == 0 else f"text {i % 700}" + " " * (i % 4)) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    for bits, keys in ((60, 64), (5, 2)):
+        assert _found(exact.exact_groups(docs, bits=bits, bucket_keys=keys)) == _groups(rows)
+
+
+def test_owners_hold_whole_buckets(spark):
+    rows = [(i, f"text {i}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    digests = exact.digests(docs)
+    index = exact.build_index(docs, digests, 600, bucket_keys=16)
+    held = index.groupBy("bucket", "local_depth").agg(F.countDistinct("key").alias("n")).collect()
+    assert max(r.n for r in held) <= 16 and sum(r.n for r in held) == 600
+    for r in held:  # a bucket is the key range of its leading bits
+        assert r.bucket % (1 << (exact.KEY_BITS - r.local_depth)) == 0
+
+
 def _targets(sizes, weights=(5, 2, 1)):
     """Reshare the excess until none is above, step by step."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [s for s in sizes if s is None]
@@ -103,6 +129,14 @@ def test_mix_matches_targets(spark):
     assert again == out
 
 
+def test_documents_without_an_id_queue_by_their_text(spark):
+    rows = [(None, f"text {i} " * (1 + i % 5), None, "s", 0) for i in range(300)]
+    placed = mixing.placements(odd_docs(spark, rows))
+    assert placed.select("ord").distinct().count() == 300
+    taken = [r.taken for r in placed.collect()]
+    assert sum(taken) == math.floor(1.5 * sum(2 * (1 + i % 5) for i in range(300)))
+
+
 def test_schedule_shifts_positions():
     fade, flat = mixing.SCHEDULES[0], mixing.SCHEDULES[1]
     assert mixing.integral(fade) == mixing.integral(flat) == 1.0
