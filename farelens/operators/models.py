@@ -137,6 +137,30 @@ def fit_forest(train: DataFrame, params: Params = DEFAULT):
     return forest(params).fit(train)
 
 
+def fit_forest_parts(train: DataFrame, folder: str, params: Params = DEFAULT, part_trees: int = 10) -> list[RandomForestRegressionModel]:
+    """The forest of ``params`` as smaller forests of ``part_trees`` trees with seeds of
+    their own, each saved below ``folder`` when it is fitted. A rerun after a break fits
+    only the parts that were not saved whole. ``averaged`` scores them as one forest."""
+    parts = []
+    for i, begin in enumerate(range(0, params.forest_trees, part_trees)):
+        path = f"{folder}/part-{i:04d}"
+        if saved(path) is None:
+            trees = min(part_trees, params.forest_trees - begin)
+            save_model(fit_forest(train, params.with_(forest_trees=trees, seed=params.seed + i)), path)
+        parts.append(_load(RandomForestRegressionModel, path))
+    return parts
+
+
+def averaged(parts: list[RandomForestRegressionModel], frame: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """``frame`` with the mean prediction of all trees of the parts, in one pass."""
+    scored = frame
+    for i, part in enumerate(parts):
+        scored = part.copy({part.predictionCol: f"__part{i}"}).transform(scored)
+    trees = [p.getNumTrees for p in parts]
+    mean = sum((F.col(f"__part{i}") * n for i, n in enumerate(trees)), F.lit(0.0)) / sum(trees)
+    return scored.withColumn(prediction, mean).drop(*[f"__part{i}" for i in range(len(parts))])
+
+
 def fit_boosted(train: DataFrame, params: Params = DEFAULT):
     return boosted(params).fit(train)
 

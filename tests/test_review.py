@@ -201,3 +201,29 @@ def test_the_entry_does_without_the_corpus_packages(monkeypatch):
     finally:
         monkeypatch.undo()
         importlib.reload(entry)
+
+
+def test_a_forest_in_parts_goes_on_where_it_broke_off(spark, tmp_out, monkeypatch):
+    _, train, test = md.vectorize(stages.features(spark, SF_SMALL, carry=("key",)), SMALL_MODELS)
+    params, fitted, fit = SMALL_MODELS.with_(forest_trees=7, forest_depth=3), [], md.fit_forest
+
+    def counted(train, p):
+        if len(fitted) == 2 and not monkeypatch_done:
+            raise RuntimeError("broken off")
+        fitted.append((p.forest_trees, p.seed))
+        return fit(train, p)
+
+    monkeypatch_done = []
+    monkeypatch.setattr(md, "fit_forest", counted)
+    with pytest.raises(RuntimeError):
+        md.fit_forest_parts(train, tmp_out, params, part_trees=3)
+    monkeypatch_done.append(True)
+    parts = md.fit_forest_parts(train, tmp_out, params, part_trees=3)
+    assert fitted == [(3, params.seed), (3, params.seed + 1), (1, params.seed + 2)]  # the first two once
+    assert md.fit_forest_parts(train, tmp_out, params, part_trees=3) and len(fitted) == 3
+    scored = md.averaged(parts, test)
+    assert scored.columns == [*test.columns, "prediction"]
+    row = scored.first()
+    assert row.prediction == pytest.approx(sum(p.predict(row.features) * p.getNumTrees for p in parts) / 7)
+    spread = test.agg(F.stddev_pop("label")).first()[0]
+    assert md.regression_metrics(scored).first().rmse < 1.1 * spread
