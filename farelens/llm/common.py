@@ -38,7 +38,16 @@ def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}.parquet"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.stored_at = path
+    return kept
+
+
+def discard(*kept: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and nothing reads any more."""
+    for df in kept:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clean_text(text: str = "text") -> Column:

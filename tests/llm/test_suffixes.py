@@ -50,10 +50,10 @@ def _planted():
     return rows
 
 
-@pytest.mark.parametrize("partition_rows", [suffixes.PARTITION_ROWS, 7])
-def test_planted_passages(spark, monkeypatch, partition_rows):
-    """Small partitions put neighbours on both sides of many borders."""
-    monkeypatch.setattr(suffixes, "PARTITION_ROWS", partition_rows)
+@pytest.mark.parametrize("part_rows", [suffixes.PART_ROWS, 7, 1])
+def test_planted_passages(spark, monkeypatch, part_rows):
+    """Small parts put neighbours on both sides of many borders."""
+    monkeypatch.setattr(suffixes, "PART_ROWS", part_rows)
     rows = _planted()
     assert _found(odd_docs(spark, rows)) == _spans([(r[0], r[1]) for r in rows])
 
