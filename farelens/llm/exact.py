@@ -135,6 +135,10 @@ def _kept() -> Column:
     return F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("doc_id").isNull() & F.col("keep_id").isNull())
 
 
+def _row_key(doc_id: str, sha: str) -> Column:
+    return F.concat_ws(":", F.col(doc_id).cast("string"), F.col(sha)).alias("rk")
+
+
 def exact_groups(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", bits: int = KEY_BITS, bucket_keys: int = BUCKET_KEYS
 ) -> DataFrame:
@@ -157,18 +161,22 @@ def drop_exact(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
     row as JSON. An empty table gives no rows."""
     rows = digests(docs, text, id_col)
     n_rows = rows.count()
-    index = build_index(docs, rows, n_rows, text, id_col)
-    kept = _answers(rows, index, n_rows).where(_kept()).groupBy("text_sha256").agg(F.count(F.lit(1)).alias("kept_rows"))
-    index = stored(index.join(kept, "text_sha256"), "kept")
+    groups = _answers(rows, build_index(docs, rows, n_rows, text, id_col), n_rows)
+    # rows that are not the only one of their id and text, or go
+    told = groups.groupBy(_row_key("doc_id", "sha")).agg(F.count(F.lit(1)).alias("n"), F.max(_kept()).alias("stays"))
+    told = stored(told.where("n > 1 or not stays"), "told")
     # the caller's columns travel in one struct, so that no name of theirs meets one of ours
-    own = docs.select(
-        whole_row(docs), F.col(id_col).cast("bigint").alias("doc_id"),
-        F.sha2(normalised(text), 256).alias("sha"),
-    )
-    left = _answers(own.withColumn("key", _key(F.col("sha"), KEY_BITS)), index, n_rows).where(_kept())
-    if index.where("kept_rows > 1").isEmpty():
+    sha = F.sha2(normalised(text), 256)
+    own = docs.select(whole_row(docs), F.col(id_col).cast("bigint").alias("doc_id"), sha.alias("sha"))
+    own = own.select("row", _row_key("doc_id", "sha"))
+    hot = F.col("n") > n_rows // HOT_SHARE  # fewer than HOT_SHARE, by counting
+    others = own.join(F.broadcast(told.where(hot).select("rk")), "rk", "left_anti")
+    left = others.join(told.where(~hot).select("rk"), "rk", "left_anti")
+    if told.where("stays").isEmpty():
         return left.select("row.*")
+    again = own.join(F.broadcast(told.where(hot & F.col("stays")).select("rk")), "rk", "left_semi")
+    again = again.unionByName(others.join(told.where(~hot & F.col("stays")).select("rk"), "rk", "left_semi"))
     original = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
     order = F.struct(-F.length(original), original, F.to_json("row"))
-    one = left.where("kept_rows > 1").groupBy("sha").agg(F.min_by("row", order).alias("row"))
-    return left.where("kept_rows = 1").select("row").unionByName(one.select("row")).select("row.*")
+    one = again.groupBy("rk").agg(F.min_by("row", order).alias("row"))
+    return left.select("row").unionByName(one.select("row")).select("row.*")
