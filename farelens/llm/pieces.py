@@ -6,7 +6,7 @@ trie is replaced, else one character is copied; every output byte remembers the
 source byte it came from. A text in which no byte begins a key (every text, for an
 empty map) is copied at once, and its sources are running counts. Merges run on
 stretches between word boundaries that no piece spans, so a stretch is encoded once
-per worker and reused; the pieces' byte ranges follow from their added lengths."""
+per task and reused; the pieces' byte ranges follow from their added lengths."""
 
 from __future__ import annotations
 
@@ -30,8 +30,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 SPACE = "▁"
 UNKNOWN_TEXT = " ⁇ "
 REPLACEMENT = "�"
-#: Distinct stretches a worker remembers (some 200 bytes each); the memory starts anew when full.
-MEMORY = 700_000
+#: Distinct stretches a task remembers (some 300 bytes each). When they are too many,
+#: those that came again since they were learnt stay, if they are at most half.
+MEMORY = 160_000
 #: Longest stretch that is merged together with others, and how many are.
 SHORT = 32
 TOGETHER = 8192
@@ -420,12 +421,23 @@ class Codec:
         self.byte_of = np.full(len(model.pieces), -1, np.int64)
         self.byte_of[list(model.byte_ids.values())] = list(model.byte_ids)
         self.lead = np.repeat([1, 2, 3, 4], [0x80, 0x60, 0x10, 0x10])
-        self._forget()
+        self.clear()
 
-    def _forget(self) -> None:
+    def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.begins = self.counts = np.empty(0, np.int64)
         self.ids = self.widths = np.empty(0, np.int32)
+        self.again = np.empty(0, bool)
+
+    def _forget(self) -> None:
+        keep = np.flatnonzero(self.again)
+        if len(keep) > MEMORY // 2:
+            keep = keep[:0]
+        names = list(self.known)  # in the order of their places
+        self.known = {names[i]: k for k, i in enumerate(keep.tolist())}
+        begins, counts = self.begins[keep], self.counts[keep]
+        self.ids, self.widths = _gathered(self.ids, begins, counts), _gathered(self.widths, begins, counts)
+        self.begins, self.counts, self.again = np.cumsum(counts) - counts, counts, np.zeros(len(keep), bool)
 
     def piece_ids(self, piece: str) -> list[int]:
         m = self.model
@@ -470,6 +482,7 @@ class Codec:
         ids, widths, counts = (np.concatenate(x) for x in zip(*parts))
         self.begins = np.concatenate((self.begins, len(self.ids) + np.cumsum(counts) - counts))
         self.counts = np.concatenate((self.counts, counts))
+        self.again = np.concatenate((self.again, np.zeros(len(counts), bool)))
         self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
         self.widths = np.concatenate((self.widths, widths.astype(np.int32)))
         self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
@@ -480,13 +493,15 @@ class Codec:
     def _places(self, every: list[str]) -> np.ndarray:
         places = np.fromiter(map(self.known.get, every, repeat(-1)), np.int64, len(every))
         lacking = np.flatnonzero(places < 0)
+        self.again[places[places >= 0]] = True
         if not len(lacking):
             return places
         new = list(dict.fromkeys(every[i] for i in lacking.tolist()))
-        if len(self.known) + len(new) > MEMORY and self.known:
-            # the memory starts anew, so all of the batch are asked for
+        if 0 < len(self.known) > MEMORY - len(new):
+            before = len(self.known)
             self._forget()
-            return self._places(every)
+            if len(self.known) < before:  # places have changed, so all of the batch are asked for
+                return self._places(every)
         self.learn(new)
         places[lacking] = np.fromiter((self.known[every[i]] for i in lacking.tolist()), np.int64, len(lacking))
         return places
@@ -544,8 +559,7 @@ class Codec:
 
 @lru_cache(maxsize=1)
 def codec_of(model: bytes) -> Codec:
-    """The codec of a model file. A worker process keeps it, with the stretches it has
-    met, for its next tasks."""
+    """The codec of a model file; a worker process keeps it for its next tasks."""
     return Codec(Model.parse(model))
 
 
@@ -562,7 +576,7 @@ def read_model(path: str) -> bytes:
 
 
 #: Documents handed back together; bounds what a batch of long texts makes.
-ROWS = 256
+ROWS = 128
 
 
 def encode_spans(
@@ -600,6 +614,7 @@ def encode_spans(
                 if back:
                     cols.append(pa.array(codec.decode_all(ids, counts.tolist()), pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
+        codec.clear()  # other work of this process has the memory
 
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     listed = {"ids": "array<int>", "pieces": "array<string>", "begins": "array<int>", "ends": "array<int>", "decoded": "string"}
