@@ -28,16 +28,17 @@ def _lines(text: str) -> Column:
 def site_spread(refs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """(h, occurrences, sites, exact) of the lines on at least ``min_sites`` sites.
 
-    ``refs``: h, site. Equal (line, site) pairs are combined first, so a line that
-    holds a third of all rows brings one row per site and task. Sketches merge by
-    aggregation; a line whose estimate is within BAND standard errors (and at least
-    one site) of the threshold gets a distinct count instead."""
-    pairs = stored(refs.groupBy("h", "site").agg(F.count(F.lit(1)).alias("n")), "pairs")
-    sketches = pairs.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.sum("n").alias("occurrences"))
+    ``refs``: h, site. Every task sketches the sites of its own lines and the sketches
+    of a line merge, so a line that holds a third of all rows brings one row per task. A
+    line whose estimate is within BAND standard errors (and at least one site) of the
+    threshold gets a distinct count instead: only its (line, site) pairs are made."""
+    sketches = refs.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.count(F.lit(1)).alias("occurrences"))
     spread = stored(sketches.select("h", "occurrences", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") > 1), "spread")
     width = max(1.0, BAND * 1.04 / 2 ** (lg_k / 2) * min_sites)
     near = F.abs(F.col("sites") - min_sites) <= width
-    exact = pairs.join(spread.where(near).select("h", "occurrences"), "h").groupBy("h", "occurrences").agg(F.count(F.lit(1)).alias("sites"))
+    asked = join_hot(refs, spread.where(near).select("h", "occurrences"), "h", "occurrences", refs.count())
+    pairs = asked.groupBy("h", "site").agg(F.first("occurrences").alias("occurrences"))
+    exact = pairs.groupBy("h").agg(F.first("occurrences").alias("occurrences"), F.count(F.lit(1)).alias("sites"))
     sure = spread.where(~near & (F.col("sites") > min_sites)).withColumn("exact", F.lit(False))
     return sure.unionByName(exact.where(F.col("sites") >= min_sites).withColumn("exact", F.lit(True)))
 

@@ -141,7 +141,11 @@ def judge(
     own = pages.select(F.col(id_col).alias("page_id"), host(url).alias("host"), path(url).alias("path"))
     asked = own.withColumn("keys", candidates("host", "path", lengths))
     universe = stored(asked.select(F.explode("keys").alias("key")).distinct(), "universe")
-    listed = {v: spark.createDataFrame([(k,) for k, x in verdict_of.items() if x == v], "key string") for v in (ALLOW, BLOCK)}
+    # the lists are literals of the plan
+    listed = {
+        v: spark.range(1).select(F.explode(F.array(*[F.lit(k) for k, x in verdict_of.items() if x == v]).cast("array<string>")).alias("key"))
+        for v in (ALLOW, BLOCK)
+    }
     held = {v: build(t, universe, max_bits) for v, t in listed.items()}
     if any(c is None for c in held.values()):
         return _judge_by_join(asked, listed, default)
